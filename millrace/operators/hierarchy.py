@@ -9,35 +9,38 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
 from millrace.operators.ordered import running_max, running_sum
-from millrace.session import broadcast_if_small, pin
+from millrace.session import pin
 
-FRONTIER_BROADCAST_ROWS = 200_000
+COMPACT_ROUNDS = 16  # visited sets are rewritten as one after so many rounds
 
 
 def walk_hierarchy(edges: DataFrame, node: str, parent: str, depth: str = "depth") -> DataFrame:
     """All rows reachable from the roots (rows without parent), each once.
 
-    Every node name is expanded once, so cycles end and repeated rows count as
-    one. A round joins the edge table with the names found in the round before;
-    a counted-small frontier is broadcast, a larger one is shuffled. Rounds are
-    pinned in the shared folder: the plan does not grow with the depth.
+    The loop only follows names: a round joins the (node, parent) pairs with the
+    names found in the round before and keeps the names not seen yet, so every
+    name is expanded once and cycles end. The full rows are joined once, at the
+    end. Rounds are pinned in the shared folder: the plan does not grow with the
+    depth, a lost executor does not restart the walk, and Spark picks the join of
+    a round by the written size of its names.
     """
     rows = edges.distinct()
-    levels = [pin(rows.where(F.col(parent).isNull()))]
-    seen: list[DataFrame] = []
-    while True:
-        names = levels[-1].select(F.col(node).alias("_name")).where(F.col("_name").isNotNull()).distinct()
-        for old in seen:
-            names = names.join(old, "_name", "left_anti")
-        fresh = pin(names)
-        if fresh.isEmpty():
-            break
-        seen.append(fresh)
-        frontier = broadcast_if_small(fresh, FRONTIER_BROADCAST_ROWS)
-        found = rows.join(frontier, F.col(parent) == F.col("_name"), "left_semi")
-        levels.append(pin(found))
-    numbered = [level.withColumn(depth, F.lit(i)) for i, level in enumerate(levels)]
-    return reduce(DataFrame.unionByName, numbered)
+    pairs = pin(edges.select(F.col(node).alias("_node"), F.col(parent).alias("_up")).distinct())
+    links = pairs.where("_up IS NOT NULL AND _node IS NOT NULL")
+    fresh = pin(pairs.where("_up IS NULL AND _node IS NOT NULL").select(F.col("_node").alias("_name")).distinct())
+    seen = fresh.withColumn("_at", F.lit(0))
+    rounds = 0
+    while not fresh.isEmpty():
+        rounds += 1
+        below = links.join(fresh, F.col("_up") == F.col("_name"), "left_semi")
+        names = below.select(F.col("_node").alias("_name")).distinct()
+        fresh = pin(names.join(seen.select("_name"), "_name", "left_anti"))
+        seen = seen.unionByName(fresh.withColumn("_at", F.lit(rounds)))
+        if rounds % COMPACT_ROUNDS == 0:
+            seen = pin(seen)
+    roots = rows.where(F.col(parent).isNull()).withColumn(depth, F.lit(0))
+    reached = rows.join(seen, F.col(parent) == F.col("_name")).withColumn(depth, F.col("_at") + 1)
+    return roots.unionByName(reached.select(*rows.columns, depth))
 
 
 def hierarchy_paths(edges: DataFrame, node: str, parent: str, path: str = "path", sep: str = "/",
@@ -47,7 +50,7 @@ def hierarchy_paths(edges: DataFrame, node: str, parent: str, path: str = "path"
     A node under several parents gets one row per path. A cycle has no end and
     raises once ``max_depth`` is passed.
     """
-    rows = edges.distinct()
+    rows = pin(edges.distinct())
     level = pin(rows.where(F.col(parent).isNull()).withColumn(path, F.lit("")))
     levels = []
     while not level.isEmpty():
@@ -55,11 +58,10 @@ def hierarchy_paths(edges: DataFrame, node: str, parent: str, path: str = "path"
         if len(levels) > max_depth:
             raise RecursionError(f"hierarchy deeper than {max_depth}: cycle or larger limit needed")
         above = level.select(F.col(node).alias("_name"), F.col(path).alias("_above")).distinct()
-        above = broadcast_if_small(above, FRONTIER_BROADCAST_ROWS)
         below = rows.join(above, F.col(parent) == F.col("_name"))
         below = below.withColumn(path, F.concat("_above", F.lit(sep), F.col(parent)))
         level = pin(below.select(*rows.columns, path))
-    return reduce(DataFrame.unionByName, levels)
+    return reduce(DataFrame.unionByName, levels) if levels else level
 
 
 def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, chunk_rows: int = 100_000,

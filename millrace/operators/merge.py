@@ -42,7 +42,9 @@ def latest_group(df: DataFrame, group: str, moment: str) -> DataFrame:
     return spans.orderBy(F.desc("last"), group).limit(1)
 
 
-def top_per_group(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
-    """First ``n`` rows of each group (Spark trims groups before the shuffle)."""
-    ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col("_rn") <= n).drop("_rn")
+def top_per_group(df: DataFrame, keys: list[str], order: list, n: int, rank: str | None = None) -> DataFrame:
+    """First ``n`` rows of each group, optionally with their rank (Spark trims groups before the shuffle)."""
+    name = rank or "_rank"
+    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    kept = ranked.where(F.col(name) <= n)
+    return kept if rank else kept.drop(name)

@@ -21,7 +21,7 @@ _POSITION_BITS = 33  # row position inside its part, as laid out by monotonicall
 def pin_sorted(df: DataFrame, order: list) -> DataFrame:
     """Globally sorted rows, written once, with their part and position.
 
-    One range shuffle; the checkpoint fixes part numbers, so later jobs (and
+    One range shuffle; the written table fixes part numbers, so later jobs (and
     retries after lost executors) see the same numbers. Adds ``_part`` and
     ``_pos`` (zero-based position inside the part).
     """

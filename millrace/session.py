@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -44,29 +43,33 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    current = context.getCheckpointDir()
-    if current:
-        return os.path.dirname(current.rstrip("/"))
     folder = tempfile.mkdtemp(prefix="millrace-")
-    context.setCheckpointDir(folder)
+    spark.conf.set(CHECKPOINT_CONF, folder)
     return folder
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in this application's part of the shared folder.
+
+    Everything an application wrote there lies under one folder named after the
+    application id, which can be deleted once its results are no longer read.
+    """
+    root = shared_dir(spark).rstrip("/")
+    return f"{root}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def pin(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
+def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
+    """Cut lineage: write the rows once to the shared folder and read them back.
+
+    Unlike a checkpoint the plan runs only once, later reads prune columns, and
+    the file size lets Spark choose broadcast joins by the real size.
+    """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=eager)
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
