@@ -62,23 +62,31 @@ def with_previous(df: DataFrame, keys: list[str], order: str, chunk: Column, val
     return lagged.where("_real = 1").drop("_chunk", "_real")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], chunk: Column, amount: Column,
-                name: str) -> DataFrame:
-    """Sum of ``amount`` from the first row of the key up to and with each row."""
-    tagged = df.withColumn("_chunk", chunk).withColumn(name, amount).withColumn("_real", F.lit(1))
-    totals = tagged.groupBy(*keys, "_chunk").agg(F.sum(name).alias("_total"))
+def running_sums(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
+                 amounts: dict[str, Column]) -> DataFrame:
+    """Per name, the sum of its amount from the first row of the key up to and with each row."""
+    tagged = df.select("*", chunk.alias("_chunk"), *[a.alias(n) for n, a in amounts.items()], F.lit(1).alias("_real"))
+    totals = tagged.groupBy(*keys, "_chunk").agg(*[F.sum(n).alias(n) for n in amounts])
     along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    seeds = totals.select(*keys, "_chunk", F.sum("_total").over(along).alias(name), F.lit(0).alias("_real"))
-    rows = tagged.unionByName(seeds.where(F.col(name).isNotNull()), allowMissingColumns=True)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_chunk"))
+    before = [F.sum(n).over(along).alias(n) for n in amounts]
+    seeds = totals.select(*keys, "_chunk", *before, place.alias("_place"), F.lit(0).alias("_real"))
+    rows = tagged.unionByName(seeds.where("_place > 1").drop("_place"), allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return rows.withColumn(name, F.sum(name).over(upto)).where("_real = 1").drop("_chunk", "_real")
+    return rows.withColumns({n: F.sum(n).over(upto) for n in amounts}).where("_real = 1").drop("_chunk", "_real")
+
+
+def running_sum(df: DataFrame, keys: list[str], order: list[str], chunk: Column, amount: Column,
+                name: str) -> DataFrame:
+    return running_sums(df, keys, order, chunk, {name: amount})
 
 
-def running_max(df: DataFrame, keys: list[str], order: list[str], chunk: Column, value: str,
+def running_max(df: DataFrame, keys: list[str], order: list[str], chunk: Column, value: str | Column,
                 name: str) -> DataFrame:
     """Largest non-NULL ``value`` up to and with each row of the key."""
-    tagged = df.withColumn("_chunk", chunk).withColumn(name, F.col(value)).withColumn("_real", F.lit(1))
+    source = F.col(value) if isinstance(value, str) else value
+    tagged = df.select("*", chunk.alias("_chunk"), source.alias(name), F.lit(1).alias("_real"))
     tops = tagged.groupBy(*keys, "_chunk").agg(F.max(name).alias("_top"))
     along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     seeds = tops.select(*keys, "_chunk", F.max("_top").over(along).alias(name), F.lit(0).alias("_real"))
@@ -88,6 +96,22 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
     return rows.withColumn(name, F.max(name).over(upto)).where("_real = 1").drop("_chunk", "_real")
 
 
+def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], time: str, chunk, values: list[str],
+                prefix: str = "last_") -> DataFrame:
+    """Each left row with the values of the latest right row of its key at or before its time.
+
+    ``chunk`` maps a time column to its bucket. Both sides become one ordered
+    stream per key; the latest right row is a running maximum over
+    ``(time, values)``, so nothing is joined by inequality.
+    """
+    carried = F.struct(F.col(time), *values)
+    stream = left.withColumn("_turn", F.lit(1)).unionByName(
+        right.select(*keys, time, carried.alias("_row"), F.lit(0).alias("_turn")), allowMissingColumns=True
+    )
+    held = running_max(stream, keys, [time, "_turn"], chunk(F.col(time)), "_row", "_latest").where("_turn = 1")
+    return held.select(*left.columns, *[F.col(f"_latest.{c}").alias(prefix + c) for c in [time, *values]])
+
+
 def maxima_around(df: DataFrame, line: str, place: str, value: str, tile: int, before: str,
                   after: str) -> DataFrame:
     """Largest value strictly before and strictly after each place of a line.
