@@ -320,7 +320,7 @@ def layout_bucket20min(spark, d):
     path = fresh_path(spark, "events-20min")
     sinks.write_time_buckets(table(spark, d, "events").select("event_id", "ts"), path, "ts", 20 * 60)
     counts = spark.read.parquet(path).groupBy("part_start").agg(F.count("*").alias("n"))
-    return counts.select(F.col("part_start").cast("string").alias("part_start"), "n")
+    return counts.select(F.date_format("part_start", "yyyyMMdd-HHmmss").alias("part_start"), "n")
 
 
 @query("layout_time_chunks", """
