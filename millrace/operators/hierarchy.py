@@ -85,7 +85,7 @@ def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, ch
     chunk = F.floor(F.col("_id") / chunk_rows)
     at = running_sum(moves, ["_s"], ["_id"], chunk, step, "_depth")
     checked = F.assert_true(F.col("_depth") >= 0, F.lit("cannot leave an empty path"))
-    at = at.withColumn("_depth", F.when(checked.isNull(), F.col("_depth")))
+    at = pin(at.withColumn("_depth", F.when(checked.isNull(), F.col("_depth"))))
 
     # one row to offer an entered directory at its depth, one to ask for the
     # directory around it, one to ask for the directory of a file
@@ -104,13 +104,14 @@ def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, ch
     asked = at.select("*", F.inline(roles))
     held = running_max(asked, ["_s", "_level"], ["_id", "_turn"], chunk, "_enter", "_inside")
 
+    held = pin(held.where("_turn <> 1").select("_s", "_id", "_depth", "_dir", "_size", "_turn", "_inside"))
     entered = held.where("_turn = 0").select(
         "_s", F.col("_id").alias("_enter"), F.col("_depth").alias("_level"), "_dir",
         F.col("_inside").alias("_parent"),
     )
     direct = held.where("_turn = 2 AND _inside IS NOT NULL").groupBy("_s", F.col("_inside").alias("_enter"))
     direct = direct.agg(F.sum("_size").alias("size"))
-    paths = _enter_paths(pin(entered), pin_levels)
+    paths = _enter_paths(entered, pin_levels)
     out = paths.join(direct, ["_s", "_enter"], "left")
     return out.select(F.col("_s").alias(session), F.col("_path").alias("dir"), "size")
 

@@ -112,15 +112,18 @@ def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], time: str, c
     return held.select(*left.columns, *[F.col(f"_latest.{c}").alias(prefix + c) for c in [time, *values]])
 
 
-def maxima_around(df: DataFrame, line: str, place: str, value: str, tile: int, before: str,
-                  after: str) -> DataFrame:
+def maxima_around(df: DataFrame, line: str, place: str, value: str, tile: int, before: str, after: str,
+                  plain: DataFrame | None = None) -> DataFrame:
     """Largest value strictly before and strictly after each place of a line.
 
     Each line is cut into tiles of ``tile`` places; a tile gets one seed row in
-    front and one behind, so both directions share one shuffle.
+    front and one behind, so both directions share one shuffle. ``plain`` holds the
+    same cells without derived columns, when that is cheaper for the tile maxima.
     """
-    tagged = df.withColumn("_chunk", F.floor(F.col(place) / tile)).withColumn("_side", F.lit(0))
-    tops = tagged.groupBy(line, "_chunk").agg(F.max(value).alias("_top"))
+    chunk = F.floor(F.col(place) / tile)
+    tagged = df.withColumn("_chunk", chunk).withColumn("_side", F.lit(0))
+    cells = df if plain is None else plain
+    tops = cells.groupBy(line, chunk.alias("_chunk")).agg(F.max(value).alias("_top"))
     along = Window.partitionBy(line).orderBy("_chunk")
     ahead = F.max("_top").over(along.rowsBetween(Window.unboundedPreceding, -1))
     behind = F.max("_top").over(along.rowsBetween(1, Window.unboundedFollowing))
@@ -143,7 +146,7 @@ def grid_visibility(cells: DataFrame, x: str = "x", y: str = "y", value: str = "
                     tile: int = 4096) -> DataFrame:
     """Cells with ``visible``: higher than all cells on one of its four sides."""
     columns = maxima_around(cells, x, y, value, tile, "_north", "_south")
-    both = maxima_around(columns, y, x, value, tile, "_west", "_east")
+    both = maxima_around(columns, y, x, value, tile, "_west", "_east", plain=cells)
     height = F.col(value)
     seen = None
     for side in ("_north", "_south", "_west", "_east"):

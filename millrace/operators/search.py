@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
+from millrace.session import pin
 
 BEST = 3  # fixed value: how many of the rarest trigrams a search uses
 
 
-def trigram_index(names: DataFrame, id_col: str, name_col: str) -> DataFrame:
-    """Distinct ``(trigram, id)`` pairs; written sorted by trigram it serves lookups."""
-    return names.select(F.explode(tx.ngrams(F.col(name_col))).alias("trigram"), F.col(id_col).alias("id"))
+def trigram_index(names: DataFrame, id_col: str, name_col: str, keep_name: bool = False) -> DataFrame:
+    """Distinct ``(trigram, id)`` pairs; written sorted by trigram it serves lookups.
+
+    ``keep_name`` carries the name along, so that a search needs no join back to it.
+    """
+    carried = [F.col(name_col).alias("name")] if keep_name else []
+    return names.select(F.explode(tx.ngrams(F.col(name_col))).alias("trigram"), F.col(id_col).alias("id"), *carried)
 
 
 def trigram_frequency(index: DataFrame) -> DataFrame:
@@ -34,33 +39,34 @@ def best_trigrams_wide(best: DataFrame, query_id: str) -> DataFrame:
     return best.groupBy(query_id).agg(*picked)
 
 
-def matching_ids(wide: DataFrame, index: DataFrame, names: DataFrame, query_id: str, id_col: str,
-                 name_col: str) -> DataFrame:
+def matching_names(wide: DataFrame, index: DataFrame, query_id: str) -> DataFrame:
     """Names that hold every chosen trigram of a search, as ``query_id, id, name``.
 
-    Searches with the same trigrams are looked up once. Only the postings of the
-    rarest trigram are read; the other two are checked on the name itself, which
-    equals the intersection of the three id lists.
+    ``index`` carries the names. Searches with the same trigrams are looked up
+    once. Only the postings of the rarest trigram are read; the other two are
+    checked on the name itself, which equals the intersection of the id lists.
     """
     picks = [f"trigram{k}" for k in range(1, BEST + 1)]
-    chosen = wide.where(F.col(picks[0]).isNotNull())
-    keyed = chosen.select(query_id, F.array_compact(F.array(*picks)).alias("_set"))
-    postings = index.withColumnRenamed("trigram", "_rarest")
-    found = keyed.select("_set").distinct().withColumn("_rarest", F.element_at("_set", 1)).join(postings, "_rarest")
-    named = found.join(names.select(F.col(id_col).alias("id"), name_col), "id")
-    kept = named.where(F.size(F.array_except("_set", tx.ngrams(F.col(name_col)))) == 0)
-    return keyed.join(kept, "_set").select(query_id, "id", name_col)
+    keyed = wide.where(F.col(picks[0]).isNotNull()).select(query_id, F.array_compact(F.array(*picks)).alias("_set"))
+    sets = keyed.select("_set").distinct().withColumn("_rarest", F.element_at("_set", 1))
+    found = index.withColumnRenamed("trigram", "_rarest").join(sets, "_rarest")
+    others = F.slice("_set", 2, BEST)
+    kept = found.where(F.forall(others, lambda t: F.contains(F.col("name"), t)))
+    return keyed.join(kept.select("_set", "id", "name"), "_set").select(query_id, "id", "name")
 
 
 def name_search(searches: DataFrame, names: DataFrame, query_id: str, text_col: str, id_col: str,
                 name_col: str, index: DataFrame | None = None,
                 frequency: DataFrame | None = None) -> DataFrame:
-    """Names that share the best trigrams, for a whole table of searches."""
-    index = trigram_index(names, id_col, name_col) if index is None else index
+    """Names that share the best trigrams, for a whole table of searches.
+
+    Pass a stored ``index`` (with names) and ``frequency`` when they exist. The
+    chosen trigrams are pinned: one row per search, used twice.
+    """
+    index = trigram_index(names, id_col, name_col, keep_name=True) if index is None else index
     frequency = trigram_frequency(index) if frequency is None else frequency
-    best = best_trigrams(searches, frequency, query_id, text_col)
-    wide = best_trigrams_wide(best, query_id)
-    return matching_ids(wide, index, names, query_id, id_col, name_col)
+    wide = pin(best_trigrams_wide(best_trigrams(searches, frequency, query_id, text_col), query_id))
+    return matching_names(wide, index, query_id).withColumnRenamed("name", name_col)
 
 
 def name_totals(hits: DataFrame, facts: DataFrame, fact_id: str, group: list[str], year: str, amount: str,

@@ -18,6 +18,7 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -81,3 +82,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give costly per-row work all cores when a small file has only few splits.
+
+    A large table has more splits than cores and is returned as it is, without
+    a shuffle. ``scan`` must be a plain scan or projection.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -59,13 +59,14 @@ def received(messages: DataFrame) -> DataFrame:
     Well-formed text with a value of the wrong type and broken text are told apart.
     """
     body = F.col("message_body")
-    typed = docs.parse_envelope(body, ID_FIELD, "bigint")
-    loose = docs.parse_envelope(body, ID_FIELD, "string")
-    parsed = messages.where(F.col("message_type_name") == ORDER_MESSAGE).withColumns({"_typed": typed, "_loose": loose})
-    well_formed = F.col(f"_loose.{docs.CORRUPT}").isNull() & F.col(f"_loose.{docs.ENVELOPE_ROW}").isNotNull()
+    parsed = messages.where(F.col("message_type_name") == ORDER_MESSAGE)
+    parsed = parsed.withColumn("_typed", docs.parse_envelope(body, ID_FIELD, "bigint"))
     readable = F.col(f"_typed.{docs.CORRUPT}").isNull()
-    code = F.when(~well_formed, UNREADABLE).when(~readable, CONVERSION_FAILED)
-    reason = F.when(~well_formed, "message is not well-formed").when(~readable, "conversion failed for the order id")
+    # only the messages that failed are parsed again, with the id as text
+    parsed = parsed.withColumn("_loose", F.when(~readable, docs.parse_envelope(body, ID_FIELD, "string")))
+    well_formed = F.col(f"_loose.{docs.CORRUPT}").isNull() & F.col(f"_loose.{docs.ENVELOPE_ROW}").isNotNull()
+    code = F.when(~readable & well_formed, CONVERSION_FAILED).when(~readable, UNREADABLE)
+    reason = F.when(well_formed, "conversion failed for the order id").otherwise("message is not well-formed")
     text = F.concat_ws(" | ", "message_type_name", "message_body", reason)
     ids = F.array_distinct(F.transform(F.col(f"_typed.{docs.ENVELOPE_ROW}"), lambda r: r[ID_FIELD]))
     return parsed.withColumns({

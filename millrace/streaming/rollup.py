@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans import rollup
+from millrace.session import spread
 from millrace.streaming import batches, queue
 
 DELTA_SCHEMA = "CustomerID bigint, StockItemID bigint, SalesMonth int, SalesYear int, Quantity bigint, TotalItemSale decimal(19,4)"
@@ -28,13 +29,14 @@ class OrderRollup:
         self.spark, self.root, self.tables, self.mode = spark, root.rstrip("/"), tables, mode
 
     def on_batch(self, messages: DataFrame, batch_id: int) -> None:
-        taken = queue.received(messages)
+        taken = queue.received(spread(messages)).persist()  # parsed once for errors and ids
         batches.write_batch(queue.errors(taken), f"{self.root}/errors", batch_id)
         times = queue.fan_out(taken).groupBy("OrderID").agg(F.count("*").alias("_times"))
         if self.mode == "recompute":
             batches.write_batch(times.select("OrderID"), f"{self.root}/orders", batch_id)
         else:
             batches.write_batch(self._delta(times), f"{self.root}/deltas", batch_id)
+        taken.unpersist()
 
     def _delta(self, times: DataFrame) -> DataFrame:
         lines, orders, customers, items = self.tables()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import rand, waves
 from millrace.plans import sampledata
 from millrace.sources import series
-from registry import query, table
+from registry import query, spread_table, table
 
 HOUR = dt.timedelta(hours=1)
 
@@ -214,7 +214,7 @@ SELECT o_orderkey, round(u_cpu * -97 + 100, 4) AS cpu, CAST(floor(u_temp * -55 +
 FROM sized
 """)
 def sample_table(spark, d):
-    rows = table(spark, d, "orders").select("o_orderkey")
+    rows = spread_table(spark, d, "orders", "o_orderkey")
     return sampledata.device_readings(rows, ["o_orderkey"], seed=7, portable=True)
 
 
@@ -238,5 +238,5 @@ def sample_grid(spark, d):
 @query("sample_bulk")
 def sample_bulk(spark, d):
     """Load-test rows, one per line item."""
-    keys = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
+    keys = spread_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
     return sampledata.bulk_rows(keys, ["l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"], seed=3)
