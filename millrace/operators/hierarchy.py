@@ -83,7 +83,7 @@ def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, ch
     ).where("_dir IS NOT NULL OR _size IS NOT NULL")
     step = F.when(F.col("_dir").isNull(), 0).when(F.col("_dir") == "..", -1).otherwise(1)
     chunk = F.floor(F.col("_id") / chunk_rows)
-    at = running_sum(moves, ["_s"], ["_id"], chunk, step, "_depth")
+    at = running_sum(moves, ["_s"], ["_id"], step, "_depth", chunk)
     checked = F.assert_true(F.col("_depth") >= 0, F.lit("cannot leave an empty path"))
     at = pin(at.withColumn("_depth", F.when(checked.isNull(), F.col("_depth"))))
 
@@ -102,7 +102,7 @@ def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, ch
         lambda role: role.isNotNull(),
     )
     asked = at.select("*", F.inline(roles))
-    held = running_max(asked, ["_s", "_level"], ["_id", "_turn"], chunk, "_enter", "_inside")
+    held = running_max(asked, ["_s", "_level"], ["_id", "_turn"], "_enter", "_inside", chunk)
 
     held = pin(held.where("_turn <> 1").select("_s", "_id", "_depth", "_dir", "_size", "_turn", "_inside"))
     entered = held.where("_turn = 0").select(

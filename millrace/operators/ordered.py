@@ -6,6 +6,11 @@ levels instead: rows are windowed inside ``(key, chunk)`` and every chunk
 starts from a *seed row* that carries what came before it. Seeds come from one
 row per chunk, so the second level stays small. ``chunk`` must not decrease
 along the order (a time bucket, ``id div n``, or the part of a pinned sort).
+
+Without a given ``chunk`` the operators count first: a table that fits one task
+is windowed plainly, a larger one is cut into even pieces of its order column,
+and when a piece would still be too heavy the rows are sorted and pinned, and
+the parts of that sort are the chunks.
 """
 
 from __future__ import annotations
@@ -16,6 +21,46 @@ from pyspark.sql import functions as F
 from millrace.session import pin
 
 _POSITION_BITS = 33  # row position inside its part, as laid out by monotonically_increasing_id
+CHUNK_ROWS = 1_000_000  # rows that one task may window
+UNEVEN = 4  # an even piece may hold this many times its share
+
+
+def _distance(order: str, low, kind: str) -> Column:
+    """How far a row lies behind the lowest value, as a number."""
+    if kind.startswith("timestamp"):
+        return F.timestamp_diff("MICROSECOND", F.lit(low.isoformat(sep=" ")).cast(kind), F.col(order))
+    if kind == "date":
+        return F.date_diff(F.col(order), F.lit(low))
+    return F.col(order) - F.lit(low)
+
+
+def chunked(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None = None,
+            measured: DataFrame | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
+    """``df`` with a ``_chunk`` column for the windows over ``keys`` and ``order``.
+
+    The sizes are measured before they are relied on: one count, and for large
+    tables one histogram of the order column (an aggregate over one column).
+    ``measured`` is a cheaper table with the same order column and at least as
+    many rows, for a ``df`` that takes shuffles to compute.
+    """
+    if chunk is not None:
+        return df.withColumn("_chunk", chunk)
+    first = order[0]
+    base = df if measured is None else measured
+    shape = base.agg(F.count("*").alias("n"), F.min(first).alias("lo"), F.max(first).alias("hi")).first()
+    if shape["n"] <= target_rows:
+        return df.withColumn("_chunk", F.lit(0).cast("bigint"))
+    kind = df.schema[first].dataType.simpleString()
+    if kind.split("(")[0] in ("timestamp", "timestamp_ntz", "date", "tinyint", "smallint", "int", "bigint", "double", "decimal"):
+        pieces = -(-shape["n"] // target_rows)
+        span = base.select(F.max(_distance(first, shape["lo"], kind)).cast("double")).first()[0]
+        if span > 0:
+            piece = F.floor(_distance(first, shape["lo"], kind) / F.lit(span / pieces))
+            place = F.coalesce(piece, F.lit(-1).cast("bigint")).alias("_chunk")
+            heaviest = base.groupBy(place).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+            if heaviest <= UNEVEN * target_rows:
+                return df.select("*", place)
+    return pin_sorted(df, [*keys, *order]).withColumnRenamed("_part", "_chunk").drop("_pos")
 
 
 def pin_sorted(df: DataFrame, order: list) -> DataFrame:
@@ -44,13 +89,14 @@ def global_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFra
     return numbered.withColumn(name, F.col("_before") + F.col("_pos") + 1).select(*df.columns, name)
 
 
-def with_previous(df: DataFrame, keys: list[str], order: str, chunk: Column, values: list[str],
-                  prefix: str = "prev_") -> DataFrame:
+def with_previous(df: DataFrame, keys: list[str], order: str, values: list[str], chunk: Column | None = None,
+                  prefix: str = "prev_", measured: DataFrame | None = None,
+                  target_rows: int = CHUNK_ROWS) -> DataFrame:
     """``lag`` of each value along ``order`` inside ``keys``; NULL on first rows.
 
     ``order`` must be unique inside a key.
     """
-    tagged = df.withColumn("_chunk", chunk).withColumn("_real", F.lit(1))
+    tagged = chunked(df, keys, [order], chunk, measured, target_rows).withColumn("_real", F.lit(1))
     last = tagged.groupBy(*keys, "_chunk").agg(*[F.max_by(v, order).alias(v) for v in values])
     along = Window.partitionBy(*keys).orderBy("_chunk")
     before = F.lag(F.struct(*values)).over(along)
@@ -62,10 +108,11 @@ def with_previous(df: DataFrame, keys: list[str], order: str, chunk: Column, val
     return lagged.where("_real = 1").drop("_chunk", "_real")
 
 
-def running_sums(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
-                 amounts: dict[str, Column]) -> DataFrame:
+def running_sums(df: DataFrame, keys: list[str], order: list[str], amounts: dict[str, Column],
+                 chunk: Column | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per name, the sum of its amount from the first row of the key up to and with each row."""
-    tagged = df.select("*", chunk.alias("_chunk"), *[a.alias(n) for n, a in amounts.items()], F.lit(1).alias("_real"))
+    cut = chunked(df, keys, order, chunk, target_rows=target_rows)
+    tagged = cut.select("*", *[a.alias(n) for n, a in amounts.items()], F.lit(1).alias("_real"))
     totals = tagged.groupBy(*keys, "_chunk").agg(*[F.sum(n).alias(n) for n in amounts])
     along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("_chunk"))
@@ -77,16 +124,17 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str], chunk: Column
     return rows.withColumns({n: F.sum(n).over(upto) for n in amounts}).where("_real = 1").drop("_chunk", "_real")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], chunk: Column, amount: Column,
-                name: str) -> DataFrame:
-    return running_sums(df, keys, order, chunk, {name: amount})
+def running_sum(df: DataFrame, keys: list[str], order: list[str], amount: Column, name: str,
+                chunk: Column | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
+    return running_sums(df, keys, order, {name: amount}, chunk, target_rows)
 
 
-def running_max(df: DataFrame, keys: list[str], order: list[str], chunk: Column, value: str | Column,
-                name: str) -> DataFrame:
+def running_max(df: DataFrame, keys: list[str], order: list[str], value: str | Column, name: str,
+                chunk: Column | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
     """Largest non-NULL ``value`` up to and with each row of the key."""
     source = F.col(value) if isinstance(value, str) else value
-    tagged = df.select("*", chunk.alias("_chunk"), source.alias(name), F.lit(1).alias("_real"))
+    cut = chunked(df, keys, order, chunk, target_rows=target_rows)
+    tagged = cut.select("*", source.alias(name), F.lit(1).alias("_real"))
     tops = tagged.groupBy(*keys, "_chunk").agg(F.max(name).alias("_top"))
     along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     seeds = tops.select(*keys, "_chunk", F.max("_top").over(along).alias(name), F.lit(0).alias("_real"))
@@ -96,19 +144,18 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], chunk: Column,
     return rows.withColumn(name, F.max(name).over(upto)).where("_real = 1").drop("_chunk", "_real")
 
 
-def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], time: str, chunk, values: list[str],
-                prefix: str = "last_") -> DataFrame:
+def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], time: str, values: list[str],
+                chunk: Column | None = None, prefix: str = "last_", target_rows: int = CHUNK_ROWS) -> DataFrame:
     """Each left row with the values of the latest right row of its key at or before its time.
 
-    ``chunk`` maps a time column to its bucket. Both sides become one ordered
-    stream per key; the latest right row is a running maximum over
-    ``(time, values)``, so nothing is joined by inequality.
+    Both sides become one ordered stream per key; the latest right row is a
+    running maximum over ``(time, values)``, so nothing is joined by inequality.
     """
     carried = F.struct(F.col(time), *values)
     stream = left.withColumn("_turn", F.lit(1)).unionByName(
         right.select(*keys, time, carried.alias("_row"), F.lit(0).alias("_turn")), allowMissingColumns=True
     )
-    held = running_max(stream, keys, [time, "_turn"], chunk(F.col(time)), "_row", "_latest").where("_turn = 1")
+    held = running_max(stream, keys, [time, "_turn"], "_row", "_latest", chunk, target_rows).where("_turn = 1")
     return held.select(*left.columns, *[F.col(f"_latest.{c}").alias(prefix + c) for c in [time, *values]])
 
 
@@ -155,9 +202,9 @@ def grid_visibility(cells: DataFrame, x: str = "x", y: str = "y", value: str = "
     return both.select(*cells.columns, seen.alias("visible"))
 
 
-def island_sums(df: DataFrame, order: str, chunk: Column, separator: Column, value: str) -> DataFrame:
+def island_sums(df: DataFrame, order: str, separator: Column, value: str, chunk: Column | None = None) -> DataFrame:
     """Sum ``value`` per island, where each separator row opens the next island."""
-    flagged = running_sum(df, [], [order], chunk, F.when(separator, 1).otherwise(0), "island")
+    flagged = running_sum(df, [], [order], F.when(separator, 1).otherwise(0), "island", chunk)
     return flagged.groupBy("island").agg(F.sum(value).alias("total"))
 
 

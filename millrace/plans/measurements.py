@@ -21,13 +21,18 @@ def station_summary(readings: DataFrame, station: str = "station_name",
     return summary.orderBy(station)
 
 
-def summary_line(summary: DataFrame, station: str = "station_name") -> DataFrame:
-    """The whole summary as one text ``{a=min/mean/max, ...}`` (one row per station went in)."""
+def summary_line(summary: DataFrame, station: str = "station_name", max_stations: int = 1_000_000) -> DataFrame:
+    """The whole summary as one text ``{a=min/mean/max, ...}``, from one row per station.
+
+    The result is a single value, so more than ``max_stations`` rows raise.
+    """
     figures = F.concat_ws("/", "min_measurement", "mean_measurement", "max_measurement")
     entry = F.concat(F.col(station), F.lit("="), figures)
     items = F.array_sort(F.collect_list(F.struct(F.col(station).alias("k"), entry.alias("v"))))
     body = F.array_join(F.transform(items, lambda item: item["v"]), ", ")
-    return summary.agg(F.concat(F.lit("{"), body, F.lit("}")).alias("result"))
+    text = F.concat(F.lit("{"), body, F.lit("}"))
+    fits = F.assert_true(F.count("*") <= max_stations, F.lit("too many stations for one text"))
+    return summary.agg(F.when(fits.isNull(), text).alias("result"))
 
 
 def summary_entries(readings: DataFrame, station: str, measurement: str, mean_type: str = "decimal(8,1)") -> DataFrame:

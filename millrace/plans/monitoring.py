@@ -20,10 +20,6 @@ BLOCK_BYTES = 8192  # fixed value: size of one storage block
 QUERY_KEY = ["queryid", "datname", "rolname"]
 
 
-def _day(ts: Column) -> Column:
-    return F.to_date(ts)
-
-
 def _ntz(moment: dt.datetime) -> Column:
     return dates.as_ntz(moment.isoformat(sep=" "))
 
@@ -51,10 +47,10 @@ def ingest_snapshot(stats: DataFrame, roles: DataFrame, databases: DataFrame, ro
     sinks.bulk_append(rows, f"{root}/statements")
 
 
-def _deltas(df: DataFrame, keys: list[str], counters: list[str]) -> DataFrame:
+def _deltas(df: DataFrame, keys: list[str], counters: list[str], measured: DataFrame | None = None) -> DataFrame:
     """Differences to the row before of the same key, and the seconds between."""
     stamped = df.withColumn("_at", F.col("created"))
-    lagged = ordered.with_previous(stamped, keys, "created", _day(F.col("created")), ["_at", *counters])
+    lagged = ordered.with_previous(stamped, keys, "created", ["_at", *counters], measured=measured)
     changes = {f"delta_{c}": F.col(c) - F.col(f"prev_{c}") for c in counters}
     seconds = dates.epoch_seconds_between(F.col("created"), F.col("prev__at"))
     return lagged.withColumns({**changes, "delta_seconds": seconds})
@@ -139,7 +135,8 @@ def query_drilldown(statements: DataFrame, snapshots: DataFrame, start: dt.datet
     epochs = snapshots.where(inside).select("created", "stats_reset")
     counters = ["calls", "plans", "rows", "shared_blks_hit", "shared_blks_read", "temp_blks_written",
                 "total_exec_time", "total_plan_time", "wal_bytes"]
-    d = _deltas(rows.join(epochs, "created"), [*QUERY_KEY, "stats_reset"], counters).where("delta_calls > 0")
+    d = _deltas(rows.join(epochs, "created"), [*QUERY_KEY, "stats_reset"], counters, measured=rows)
+    d = d.where("delta_calls > 0")
     per_second = F.nullif(F.col("delta_seconds"), F.lit(0.0))
 
     def rate(c: str, scale: float = 1) -> Column:

@@ -229,14 +229,50 @@ def sample_drift(spark, d):
     return means.select(F.round("avg_cpu", 3).alias("avg_cpu"), F.round("avg_temp", 3).alias("avg_temp"))
 
 
-@query("sample_grid")
-def sample_grid(spark, d):
-    """Readings over the whole event time grid with the fast hash (rows only)."""
-    return sampledata.device_readings(_grid(spark, d), ["time", "device_id"], seed=1)
+_BULK_KEYS = ["l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"]
+
+
+def _bulk_u(*keys):
+    return _U.format(keys=", ".join(["'3'", *_BULK_KEYS, *keys]))
+
+
+def _bulk_text(label, hi):
+    size = f"CAST(floor({_bulk_u(repr(label))} * {hi - 1} + 1) AS INTEGER)"
+    symbol = f"CAST(floor({_bulk_u(repr(label), 'i')} * {len(rand.SYMBOLS)}) AS INTEGER) + 1"
+    return f"array_to_string(list_transform(generate_series(1, {size}), lambda i: substr('{rand.SYMBOLS}', {symbol}, 1)), '')"
+
+
+@query("sample_bulk_portable", f"""
+SELECT {", ".join(_BULK_KEYS)}, CAST(floor({_bulk_u("1")} * -99 + 100) AS BIGINT) AS val1,
+       CAST(floor({_bulk_u("2")} * -999 + 1000) AS BIGINT) AS val2, CAST(floor({_bulk_u("3")} * -9999 + 10000) AS BIGINT) AS val3,
+       CAST(floor({_bulk_u("4")} * -99999 + 100000) AS BIGINT) AS val4, round({_bulk_u("5")} * -100 + 100, 2) AS val5,
+       round({_bulk_u("6")} * -100 + 100, 5) AS val6, round({_bulk_u("7")} * -10000 + 10000, 7) AS val7,
+       {_bulk_text("t8", 25)} AS val8, {_bulk_text("t9", 50)} AS val9
+FROM lineitem
+""")
+def sample_bulk_portable(spark, d):
+    """Load-test rows, one per line item, with the hash that the SQL check has as well."""
+    return sampledata.bulk_rows(spread_table(spark, d, "lineitem", *_BULK_KEYS), _BULK_KEYS, seed=3, portable=True)
 
 
 @query("sample_bulk")
 def sample_bulk(spark, d):
     """Load-test rows, one per line item."""
-    keys = spread_table(spark, d, "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_suppkey")
-    return sampledata.bulk_rows(keys, ["l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"], seed=3)
+    return sampledata.bulk_rows(spread_table(spark, d, "lineitem", *_BULK_KEYS), _BULK_KEYS, seed=3)
+
+
+def _grid_u(*keys):
+    return _U.format(keys=", ".join(["'1'", "time", "device_id", *keys]))
+
+
+@query("sample_grid", f"""
+SELECT device_id, count(*) AS n, round(avg(round({_grid_u("'cpu'")} * -97 + 100, 4)), 4) AS mean_cpu,
+       CAST(sum(floor({_grid_u("'temperature'")} * -55 + 83)) AS BIGINT) AS temperatures
+FROM {_GRID} GROUP BY device_id
+""")
+def sample_grid(spark, d):
+    """Readings over the whole event time grid, per device."""
+    rows = sampledata.device_readings(_grid(spark, d), ["time", "device_id"], seed=1, portable=True)
+    return rows.groupBy("device_id").agg(
+        F.count("*").alias("n"), F.round(F.avg("cpu"), 4).alias("mean_cpu"), F.sum("temperature_c").alias("temperatures")
+    )

@@ -38,9 +38,9 @@ def test_chunked_windows_equal_plain_windows(spark, items, width):
     data = [(k, i, v) for i, (k, v) in enumerate(items)]
     df = spark.createDataFrame(data, "k int, i bigint, v int")
     chunk = F.floor(F.col("i") / width)
-    lag = {(r["k"], r["i"]): r["prev_v"] for r in ordered.with_previous(df, ["k"], "i", chunk, ["v"]).collect()}
-    sums = {(r["k"], r["i"]): r["s"] for r in ordered.running_sum(df, ["k"], ["i"], chunk, F.col("v"), "s").collect()}
-    tops = {(r["k"], r["i"]): r["m"] for r in ordered.running_max(df, ["k"], ["i"], chunk, "v", "m").collect()}
+    lag = {(r["k"], r["i"]): r["prev_v"] for r in ordered.with_previous(df, ["k"], "i", ["v"], chunk).collect()}
+    sums = {(r["k"], r["i"]): r["s"] for r in ordered.running_sum(df, ["k"], ["i"], F.col("v"), "s", chunk).collect()}
+    tops = {(r["k"], r["i"]): r["m"] for r in ordered.running_max(df, ["k"], ["i"], "v", "m", chunk).collect()}
     assert len(lag) == len(sums) == len(tops) == len(data)
     for k, i, _ in data:
         past = [v for kk, ii, v in data if kk == k and ii <= i]
@@ -52,10 +52,34 @@ def test_chunked_windows_equal_plain_windows(spark, items, width):
 
 def test_hot_key_is_split_over_chunks(spark, plan_of):
     df = spark.range(1000).select(F.lit(1).alias("k"), "id")
-    out = ordered.running_sum(df, ["k"], ["id"], F.floor(F.col("id") / 100), F.col("id"), "s")
+    out = ordered.running_sum(df, ["k"], ["id"], F.col("id"), "s", F.floor(F.col("id") / 100))
     assert "_chunk" in [line for line in plan_of(out).splitlines() if "hashpartitioning" in line.lower()][0]
 
 
+@pytest.mark.parametrize("kind", ["bigint", "double", "timestamp_ntz", "date", "string"])
+def test_chunks_are_measured(spark, kind):
+    """Small tables stay whole, even ones are cut, and a burst at one time falls back to the pinned sort."""
+    base = spark.range(400).select(F.lit(1).alias("k"), "id")
+    start = F.lit("2024-01-01").cast("date")
+    order = {"bigint": F.col("id") * 10, "double": F.col("id") / 3,
+             "timestamp_ntz": F.timestamp_add("SECOND", F.col("id"), start.cast("timestamp_ntz")),
+             "date": F.date_add(start, F.col("id").cast("int")), "string": F.lpad(F.col("id").cast("string"), 4, "0")}[kind]
+    df = base.withColumn("o", order)
+    assert ordered.chunked(df, ["k"], ["o"]).select("_chunk").distinct().count() == 1
+    out = ordered.running_sum(df, ["k"], ["o"], F.col("id"), "s", target_rows=50)
+    assert {r["id"]: r["s"] for r in out.collect()} == {i: i * (i + 1) // 2 for i in range(400)}
+
+
+def test_burst_is_sorted_and_pinned(spark):
+    # 1 of 400 rows lies far away, so even pieces would leave the rest in one
+    df = spark.range(400).select(F.lit(1).alias("k"), F.when(F.col("id") == 399, 10**9).otherwise(F.col("id")).alias("o"))
+    cut = ordered.chunked(df, ["k"], ["o"], target_rows=40)
+    assert cut.count() == 400 and len(cut.inputFiles()) >= 1
+    lag = ordered.with_previous(df, ["k"], "o", ["o"], target_rows=40)
+    assert {r["o"]: r["prev_o"] for r in lag.collect()} == {o: (p if o else None) for o, p in zip(
+        [*range(399), 10**9], [None, *range(399)])}
+
+
 def visible_by_force(grid):
     height, width = len(grid), len(grid[0])
 
@@ -79,7 +103,7 @@ def test_grid_visibility_equals_brute_force(spark, tile):
 def test_island_sums(spark, as_rows):
     data = [(1, "1000"), (2, "2000"), (3, None), (4, "500")]
     df = spark.createDataFrame(data, "id bigint, calories string").withColumn("c", F.col("calories").cast("bigint"))
-    out = ordered.island_sums(df, "id", F.floor(F.col("id") / 2), F.col("calories").isNull(), "c")
+    out = ordered.island_sums(df, "id", F.col("calories").isNull(), "c", F.floor(F.col("id") / 2))
     assert as_rows(out, "total") == [(3000,), (500,)]
 
 
@@ -93,7 +117,7 @@ def test_pages(spark):
 def test_asof_latest(spark, as_rows):
     left = spark.createDataFrame([("a", 5, "x"), ("a", 1, "y"), ("b", 9, "z")], "k string, t int, id string")
     right = spark.createDataFrame([("a", 2, 20), ("a", 5, 50), ("a", 7, 70)], "k string, t int, v int")
-    out = ordered.asof_latest(left, right, ["k"], "t", lambda t: F.floor(t / 3), ["v"])
+    out = ordered.asof_latest(left, right, ["k"], "t", ["v"], F.floor(F.col("t") / 3))
     assert as_rows(out, "id", "last_t", "last_v") == [("x", 5, 50), ("y", None, None), ("z", None, None)]
 
 
