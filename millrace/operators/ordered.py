@@ -38,6 +38,8 @@ def chunked(df: DataFrame, keys: list[str], order: list[str], chunk: Column | No
             measured: DataFrame | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
     """``df`` with a ``_chunk`` column for the windows over ``keys`` and ``order``.
 
+    A table that fits one task comes back as it is, without the column.
+
     The sizes are measured before they are relied on: one count, and for large
     tables one histogram of the order column (an aggregate over one column).
     ``measured`` is a cheaper table with the same order column and at least as
@@ -49,7 +51,7 @@ def chunked(df: DataFrame, keys: list[str], order: list[str], chunk: Column | No
     base = df if measured is None else measured
     shape = base.agg(F.count("*").alias("n"), F.min(first).alias("lo"), F.max(first).alias("hi")).first()
     if shape["n"] <= target_rows:
-        return df.withColumn("_chunk", F.lit(0).cast("bigint"))
+        return df
     kind = df.schema[first].dataType.simpleString()
     if kind.split("(")[0] in ("timestamp", "timestamp_ntz", "date", "tinyint", "smallint", "int", "bigint", "double", "decimal"):
         pieces = -(-shape["n"] // target_rows)
@@ -96,7 +98,11 @@ def with_previous(df: DataFrame, keys: list[str], order: str, values: list[str],
 
     ``order`` must be unique inside a key.
     """
-    tagged = chunked(df, keys, [order], chunk, measured, target_rows).withColumn("_real", F.lit(1))
+    cut = chunked(df, keys, [order], chunk, measured, target_rows)
+    if "_chunk" not in cut.columns:
+        whole = Window.partitionBy(*keys).orderBy(order)
+        return df.select("*", *[F.lag(v).over(whole).alias(prefix + v) for v in values])
+    tagged = cut.withColumn("_real", F.lit(1))
     last = tagged.groupBy(*keys, "_chunk").agg(*[F.max_by(v, order).alias(v) for v in values])
     along = Window.partitionBy(*keys).orderBy("_chunk")
     before = F.lag(F.struct(*values)).over(along)
@@ -112,6 +118,9 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str], amounts: dict
                  chunk: Column | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
     """Per name, the sum of its amount from the first row of the key up to and with each row."""
     cut = chunked(df, keys, order, chunk, target_rows=target_rows)
+    if "_chunk" not in cut.columns:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", *[F.sum(a).over(whole).alias(n) for n, a in amounts.items()])
     tagged = cut.select("*", *[a.alias(n) for n, a in amounts.items()], F.lit(1).alias("_real"))
     totals = tagged.groupBy(*keys, "_chunk").agg(*[F.sum(n).alias(n) for n in amounts])
     along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -134,6 +143,9 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], value: str | C
     """Largest non-NULL ``value`` up to and with each row of the key."""
     source = F.col(value) if isinstance(value, str) else value
     cut = chunked(df, keys, order, chunk, target_rows=target_rows)
+    if "_chunk" not in cut.columns:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", F.max(source).over(whole).alias(name))
     tagged = cut.select("*", source.alias(name), F.lit(1).alias("_real"))
     tops = tagged.groupBy(*keys, "_chunk").agg(F.max(name).alias("_top"))
     along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,4 +1,4 @@
-"""Session settings, shared scratch space, and size-checked broadcasts."""
+"""Session settings, shared scratch space, and spreading of small scans."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -73,17 +72,6 @@ def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast only when it has been counted to be small.
-
-    The count stops after ``max_rows + 1`` rows. A larger side is returned
-    unmarked and Spark joins it by shuffle (with AQE skew splitting).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def spread(scan: DataFrame) -> DataFrame:
     """Give costly per-row work all cores when a small file has only few splits.
 

@@ -266,7 +266,7 @@ def _grid_u(*keys):
 
 
 @query("sample_grid", f"""
-SELECT device_id, count(*) AS n, round(avg(round({_grid_u("'cpu'")} * -97 + 100, 4)), 4) AS mean_cpu,
+SELECT device_id, count(*) AS n, CAST(sum(CAST(round({_grid_u("'cpu'")} * -97 + 100, 4) AS DECIMAL(10,4))) AS DOUBLE) AS cpu_total,
        CAST(sum(floor({_grid_u("'temperature'")} * -55 + 83)) AS BIGINT) AS temperatures
 FROM {_GRID} GROUP BY device_id
 """)
@@ -274,5 +274,6 @@ def sample_grid(spark, d):
     """Readings over the whole event time grid, per device."""
     rows = sampledata.device_readings(_grid(spark, d), ["time", "device_id"], seed=1, portable=True)
     return rows.groupBy("device_id").agg(
-        F.count("*").alias("n"), F.round(F.avg("cpu"), 4).alias("mean_cpu"), F.sum("temperature_c").alias("temperatures")
+        F.count("*").alias("n"), F.sum(F.col("cpu").cast("decimal(10,4)")).cast("double").alias("cpu_total"),
+        F.sum("temperature_c").alias("temperatures"),
     )

@@ -145,3 +145,28 @@ def stream_alerts(spark, d):
                              databases=["signup"])
     _drain(active, job.on_batch)
     return job.known().select("session_id", "email_sent", "email2_sent")
+
+
+@query("change_envelopes", """
+SELECT DISTINCT l_orderkey AS OrderID FROM lineitem WHERE l_returnflag = 'R' AND l_discount > 0.05
+AND (l_orderkey, l_quantity + 1, l_extendedprice, l_tax) NOT IN (SELECT (l_orderkey, l_quantity, l_extendedprice, l_tax) FROM lineitem)
+""")
+def change_envelopes(spark, d):
+    """Changed orders packed into messages with many ids each, then read back by a consumer."""
+    from registry.reports import changed_orders
+
+    envelopes = queue.change_messages(changed_orders(spark, d))
+    return queue.fan_out(queue.received(envelopes)).select("OrderID")
+
+
+@query("dead_letter_replay", """
+SELECT o_orderkey AS OrderID, 1 AS attempts FROM orders WHERE o_orderstatus = 'P'
+""")
+def dead_letter_replay(spark, d):
+    """Messages with a bad id are repaired from their handle and sent again; unreadable ones are discarded."""
+    dead = _drained_rollup(spark, d, "recompute").errors()
+    kept = queue.discard(dead, dead.where(F.col("errorCode") == queue.UNREADABLE))
+    repaired = docs.xml_envelope(F.array(docs.xml_row("OrderID", F.col("conversation_handle"))))
+    again = queue.replay(kept).withColumn("message_body", repaired)
+    ids = queue.fan_out(queue.received(again).withColumn("queuing_order", F.col("attempts")))
+    return ids.select("OrderID", F.col("queuing_order").alias("attempts"))

@@ -239,3 +239,27 @@ def xml_envelopes(spark, d):
     valid = parsed.where(F.col(f"_p.{docs.CORRUPT}").isNull())
     return valid.select("body", F.get(ids, F.lit(0)).alias("first_id"), F.element_at(ids, -1).alias("last_id"),
                         F.size(ids).alias("rows_in"))
+
+
+@query("sql_functions", f"""
+SELECT p_partkey, w[1] AS first_word, array_to_string(w[2:3], ',') AS middle, list_has_all(w, ['red']) AS red,
+       instr('{tx.PRIORITY_LETTERS}', left(p_name, 1)) AS priority, len(p_name) - 2 AS grams,
+       (p_size <= 10 AND 20 >= p_size + 5) OR (10 <= p_size AND p_size + 5 >= 20) AS nested
+FROM (SELECT p_partkey, p_name, p_size, string_split(p_name || ' ' || p_type, ' ') AS w FROM part)
+""")
+def sql_functions(spark, d):
+    """The helpers called from SQL; the n-gram table function runs as a lateral join."""
+    from millrace.functions import sql
+
+    sql.register(spark)
+    return spark.sql("""
+        SELECT p_partkey, first_word, middle, red, priority, nested, count(*) + max(repeats) AS grams
+        FROM (SELECT p_partkey, p_name, array_item(w, 1) AS first_word, array_join(array_between(w, 2, 3), ',') AS middle,
+                     array_holds_all(w, array('red')) AS red, item_priority(left(p_name, 1)) AS priority,
+                     ranges_nested(p_size, 20, 10, p_size + 5) AS nested,
+                     length(p_name) - 2 - size(trigrams_of(p_name)) AS repeats
+              FROM (SELECT p_partkey, p_name, p_size, split(concat_ws(' ', p_name, p_type), ' ') AS w FROM {part})),
+             LATERAL generate_trigrams(p_name)
+        GROUP BY ALL
+    """, part=table(spark, d, "part")).select(
+        "p_partkey", "first_word", "middle", "red", "priority", "grams", "nested")

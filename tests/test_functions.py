@@ -131,3 +131,19 @@ def test_waves_and_dates(spark):
     assert one(spark, dates.bucket_start(ts, 1200)) == dt.datetime(2024, 3, 19, 0, 20)
     assert one(spark, dates.before(ts, 90)) == dt.datetime(2024, 3, 19, 0, 24)
     assert one(spark, dates.epoch_seconds_between(ts, dates.before(ts, 1.5))) == 1.5
+
+
+def test_sql_functions_agree_with_the_column_helpers(spark, as_rows):
+    from millrace.functions import sql
+
+    sql.register(spark)
+    row = spark.sql("""
+        SELECT array_item(array('a', 'b'), 0) AS none, array_item(array('a', 'b'), 2) AS b,
+               array_between(array('a', 'b', 'c'), 2, 9) AS tail, first_match('x=1', '(\\\\w)=') AS k, first_match('x', '=') AS miss,
+               random_between(uniform_of(1, 'r'), 3, 100, 2) AS r2, random_between(uniform_of(1, 'r'), 3, 100) AS r0,
+               length(random_text(1, 'r', 12)) AS size, item_priority('Z') AS p
+    """).first()
+    assert (row["none"], row["b"], row["tail"], row["k"], row["miss"]) == (None, "b", ["b", "c"], "x", None)
+    assert 3 <= row["r0"] <= row["r2"] < 100 and row["size"] == 12 and row["p"] == 52
+    assert as_rows(spark.sql("SELECT * FROM generate_trigrams('Vivi')")) == [("Viv",), ("ivi",)]
+    assert as_rows(spark.sql("SELECT * FROM split_rows('a\\r\\nb\\nc')")) == [(1, "a"), (2, "b"), (3, "c")]
