@@ -54,7 +54,7 @@ def chunked(df: DataFrame, keys: list[str], order: list[str], chunk: Column | No
         return df
     kind = df.schema[first].dataType.simpleString()
     if kind.split("(")[0] in ("timestamp", "timestamp_ntz", "date", "tinyint", "smallint", "int", "bigint", "double", "decimal"):
-        pieces = -(-shape["n"] // target_rows)
+        pieces = -(-shape["n"] // target_rows)  # rounded up
         span = base.select(F.max(_distance(first, shape["lo"], kind)).cast("double")).first()[0]
         if span > 0:
             piece = F.floor(_distance(first, shape["lo"], kind) / F.lit(span / pieces))
@@ -62,17 +62,20 @@ def chunked(df: DataFrame, keys: list[str], order: list[str], chunk: Column | No
             heaviest = base.groupBy(place).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
             if heaviest <= UNEVEN * target_rows:
                 return df.select("*", place)
-    return pin_sorted(df, [*keys, *order]).withColumnRenamed("_part", "_chunk").drop("_pos")
+    parts = -(-shape["n"] // target_rows)
+    return pin_sorted(df, [*keys, *order], parts).withColumnRenamed("_part", "_chunk").drop("_pos")
 
 
-def pin_sorted(df: DataFrame, order: list) -> DataFrame:
+def pin_sorted(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
     """Globally sorted rows, written once, with their part and position.
 
     One range shuffle; the written table fixes part numbers, so later jobs (and
     retries after lost executors) see the same numbers. Adds ``_part`` and
-    ``_pos`` (zero-based position inside the part).
+    ``_pos`` (zero-based position inside the part). ``parts`` sets their number;
+    without it the session's shuffle partitions apply.
     """
-    placed = pin(df.orderBy(*order).withColumn("_row", F.monotonically_increasing_id()))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order) if parts else df.orderBy(*order)
+    placed = pin(placed.withColumn("_row", F.monotonically_increasing_id()))
     row = F.col("_row")
     return placed.select(
         *df.columns,

@@ -59,10 +59,10 @@ WHERE m.y = y0 OR m.y = y1 OR m.x = x0 OR m.x = x1 GROUP BY m.x
 def grid_border(spark, d):
     """Cells on the border, found with the one-row bounds of the grid."""
     cells = _cells(spark, d)
-    bounds = cells.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    at_edge = (F.col("y") == F.col("y0")) | (F.col("y") == F.col("y1")) | (F.col("x") == F.col("x0")) | (F.col("x") == F.col("x1"))
-    rows = cells.crossJoin(F.broadcast(bounds)).where(at_edge)  # an aggregate without keys is one row
-    return rows.groupBy("x").agg(F.count("*").alias("border_cells"), F.sum("tree").alias("trees"))
+    ends = F.struct(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    edge = cells.agg(ends.alias("ends")).scalar()
+    at_edge = F.col("y").isin(edge["y0"], edge["y1"]) | F.col("x").isin(edge["x0"], edge["x1"])
+    return cells.where(at_edge).groupBy("x").agg(F.count("*").alias("border_cells"), F.sum("tree").alias("trees"))
 
 
 _EDGES = """
