@@ -78,7 +78,7 @@ def unnest(df: DataFrame, array: str | Column, value: str, ordinal: str | None =
     if ordinal is None:
         return df.select("*", F.explode(source).alias(value))
     out = df.select("*", F.posexplode(source).alias(ordinal, value))
-    return out.withColumn(ordinal, F.col(ordinal) + 1)
+    return out.withColumn(ordinal, (F.col(ordinal) + 1).cast("bigint"))
 
 
 def zip_rows(df: DataFrame, arrays: dict[str, Column], keep: list[str] = ()) -> DataFrame:

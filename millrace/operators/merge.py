@@ -47,4 +47,4 @@ def top_per_group(df: DataFrame, keys: list[str], order: list, n: int, rank: str
     name = rank or "_rank"
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     kept = ranked.where(F.col(name) <= n)
-    return kept if rank else kept.drop(name)
+    return kept.withColumn(name, F.col(name).cast("bigint")) if rank else kept.drop(name)

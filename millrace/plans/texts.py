@@ -32,7 +32,7 @@ def guess_scores(posts: DataFrame, text: str) -> DataFrame:
     rows = guesses.withColumn("_letters", letters).where(F.size("_letters") > 0)
 
     def hits(*kinds: str):
-        return F.size(F.filter("_letters", lambda letter: letter.isin(*kinds)))
+        return F.size(F.filter("_letters", lambda letter: letter.isin(*kinds))).cast("bigint")
 
     return rows.select(
         *[c for c in posts.columns if c != text], "guess_num", hits("🟩").alias("c_correct"),

@@ -40,7 +40,7 @@ def array_subscript(spark, d):
 SELECT p_partkey, array_to_string(words[1:2], ',') AS first_two, array_to_string(words[1:1], ',') AS first_one,
        array_to_string(words[2:], ',') AS tail, array_to_string(words[1:len(words)-1], ',') AS but_last,
        array_to_string(CASE WHEN p_size % 5 = 0 THEN [] ELSE words[1:p_size % 5] END, ',') AS sized,
-       len(words) AS size
+       CAST(len(words) AS INTEGER) AS size
 FROM {_PARTS}
 """)
 def array_slice(spark, d):
@@ -111,7 +111,7 @@ def array_unnest(spark, d):
 
 
 @query("array_zip_rows", """
-SELECT label, place, count(*) AS n, CAST(sum(CAST(CAST(a AS DOUBLE) AS DECIMAL(18,4))) AS DOUBLE) AS sum_a,
+SELECT label, CAST(place AS INTEGER) AS place, count(*) AS n, CAST(sum(CAST(CAST(a AS DOUBLE) AS DECIMAL(18,4))) AS DOUBLE) AS sum_a,
        count(b) AS n_b, CAST(sum(CAST(CAST(b AS DOUBLE) AS DECIMAL(18,4))) AS DOUBLE) AS sum_b
 FROM (SELECT label, n AS place, embedding[n] AS a, embedding[n + 1] AS b
       FROM (SELECT label, embedding, unnest(generate_series(1, len(embedding))) AS n FROM embeddings))
@@ -175,5 +175,5 @@ FROM (SELECT event_id, user_id, row_number() OVER (ORDER BY ts, event_id) AS rn
 def chunk_arrays(spark, d):
     rows = table(spark, d, "events").select("ts", "event_id", "user_id")
     pages = chunked_pages(rows, ["ts", "event_id"], 1000, ["event_id", "user_id"])
-    return pages.select("page", F.size("event_id").alias("rows_in"), F.array_min("event_id").alias("first_id"),
+    return pages.select("page", F.size("event_id").cast("bigint").alias("rows_in"), F.array_min("event_id").alias("first_id"),
                         _text(F.col("user_id").cast("array<string>")).alias("users"))

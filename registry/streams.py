@@ -12,9 +12,9 @@ from registry import query, table
 from registry.reports import _SALES, _clock, _money, _sales_inputs
 
 
-def _stream(spark, d, name):
+def _stream(spark, d, name, max_files=None):
     # a pattern serves both a single file and a folder of files
-    return batches.read_stream(spark, f"{d}/{name}.parque[t]", table(spark, d, name).schema)
+    return batches.read_stream(spark, f"{d}/{name}.parque[t]", table(spark, d, name).schema, max_files)
 
 
 def _drain(stream, on_batch):
@@ -104,7 +104,8 @@ FROM events WINDOW w AS (PARTITION BY user_id, date_trunc('week', ts) ORDER BY t
 def stream_deltas(spark, d):
     """The event number as a growing counter per user, restarting every week."""
     path = fresh_path(spark, "deltas")
-    events = _stream(spark, d, "events").select(
+    # few files per batch: the rows of one user in a batch are sorted in one task
+    events = _stream(spark, d, "events", max_files=8).select(
         "user_id", F.col("ts").cast("timestamp").alias("created"), "event_id",
         F.date_trunc("week", F.col("ts").cast("timestamp")).alias("stats_reset"),
     )

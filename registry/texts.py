@@ -23,7 +23,7 @@ def text_lines(spark, d):
 
 
 @query("text_lines_loaded", r"""
-SELECT len(line) AS size, count(*) AS lines FROM (
+SELECT CAST(len(line) AS INTEGER) AS size, count(*) AS lines FROM (
   SELECT unnest(string_split_regex(text, '\r?\n')) AS line FROM documents) WHERE line <> '' GROUP BY 1
 """)
 def text_lines_loaded(spark, d):
@@ -123,7 +123,7 @@ def word_ordinals(spark, d):
 @query("text_scalars", """
 SELECT c_custkey, split_part(c_name, '#', 2) AS number, split_part(c_name, '#', 3) AS missing,
        rtrim(c_name, '0123456789') AS stem, left(c_mktsegment, 4) AS short_segment,
-       replace(c_mktsegment, 'I', 'i') AS swapped, length(c_name) AS size,
+       replace(c_mktsegment, 'I', 'i') AS swapped, CAST(length(c_name) AS INTEGER) AS size,
        CASE WHEN c_name || '' LIKE '%#%' THEN '[' || c_nationkey || ']' END AS boxed,
        concat_ws('/', c_mktsegment, NULL, c_nationkey) AS joined,
        CASE WHEN contains(c_name, ':') THEN regexp_extract(c_name, '(.*):', 1) END AS before_colon
@@ -243,7 +243,7 @@ def xml_envelopes(spark, d):
 
 @query("sql_functions", f"""
 SELECT p_partkey, w[1] AS first_word, array_to_string(w[2:3], ',') AS middle, list_has_all(w, ['red']) AS red,
-       instr('{tx.PRIORITY_LETTERS}', left(p_name, 1)) AS priority, len(p_name) - 2 AS grams,
+       CAST(instr('{tx.PRIORITY_LETTERS}', left(p_name, 1)) AS INTEGER) AS priority, len(p_name) - 2 AS grams,
        (p_size <= 10 AND 20 >= p_size + 5) OR (10 <= p_size AND p_size + 5 >= 20) AS nested
 FROM (SELECT p_partkey, p_name, p_size, string_split(p_name || ' ' || p_type, ' ') AS w FROM part)
 """)
