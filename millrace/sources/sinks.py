@@ -67,23 +67,16 @@ def read_span(spark: SparkSession, path: str, ts: str, start: dt.datetime | None
               stop: dt.datetime | None = None, after: dt.datetime | None = None) -> DataFrame:
     """Rows with ``start <= ts < stop`` (or ``ts > after``), reading only the months in reach."""
     df = spark.read.parquet(path)
-    month = F.col(MONTH).cast("string")
-    for moment, keep in ((start, ts_at_least), (after, ts_later)):
-        if moment is not None:
-            df = df.where((month >= moment.strftime("%Y-%m")) & keep(ts, moment))
+    month, moment = F.col(MONTH).cast("string"), F.col(ts)
+    if start is not None:
+        df = df.where((month >= start.strftime("%Y-%m")) & (moment >= _ntz(start)))
+    if after is not None:
+        df = df.where((month >= after.strftime("%Y-%m")) & (moment > _ntz(after)))
     if stop is not None:
-        df = df.where((month <= stop.strftime("%Y-%m")) & (F.col(ts) < _ntz(stop)))
+        df = df.where((month <= stop.strftime("%Y-%m")) & (moment < _ntz(stop)))
     return df
 
 
-def ts_at_least(ts: str, moment: dt.datetime) -> Column:
-    return F.col(ts) >= _ntz(moment)
-
-
-def ts_later(ts: str, moment: dt.datetime) -> Column:
-    return F.col(ts) > _ntz(moment)
-
-
 def _ntz(moment: dt.datetime) -> Column:
     return dates.as_ntz(moment.isoformat(sep=" "))
 
@@ -113,19 +106,18 @@ def write_time_chunks(df: DataFrame, path: str, ts: str, segment: list[str], nam
     placed.sortWithinPartitions(name, *segment, ts).write.partitionBy(name).parquet(path)
 
 
+def _fs(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def _months(spark: SparkSession, path: str) -> list[str]:
     """Month folders of a table, from the folder listing only."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    folder, fs = _fs(spark, path)
     names = [status.getPath().getName() for status in fs.listStatus(folder) if status.isDirectory()]
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{MONTH}="))
 
 
-def _fs(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def drop_months_before(spark: SparkSession, path: str, cutoff: str) -> list[str]:
     """Retention: delete whole month folders with key < ``cutoff`` (``'2024-02'``)."""
     dropped = [m for m in _months(spark, path) if m < cutoff]
