@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import neardup
+from millrace.llm import decontaminate, neardup
 from millrace.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of benchmark passages in all documents; documents without any have no row."""
+    return decontaminate.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_minhash")
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: two-word windows, similarity 0.8."""
