@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, neardup, packing
+from millrace.llm import decontaminate, neardup, packing, quality
 from millrace.llm.common import table
 
 def tokenizer_file(name: str) -> str:
@@ -36,6 +36,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of the line-first rules for all documents."""
+    return quality.judged(table(spark, sf_dir, "documents"), with_text=False)
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens, as pieces with their places."""
