@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, neardup, packing, quality
+from millrace.llm import decontaminate, linededup, neardup, packing, quality
 from millrace.llm.common import table
 
 def tokenizer_file(name: str) -> str:
@@ -48,6 +48,39 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+@query("op5_line_dedup", """
+with lines as (
+  select doc_id, i, line, trim(line) <> '' as filled
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as i from documents)
+), filled as (
+  select doc_id, i, trim(line) as t, row_number() over (partition by doc_id order by i) as p from lines where filled
+), threes as (
+  select doc_id, p, t as t1, lead(t) over w as t2, lead(t, 2) over w as t3 from filled window w as (partition by doc_id order by p)
+), ranked as (
+  select doc_id, p, row_number() over (partition by t1, t2, t3 order by doc_id, p) as r from threes where t3 is not null
+), covered as (
+  select distinct doc_id, p + unnest([0, 1, 2]) as p from ranked where r > 1
+), judged as (
+  select l.doc_id, l.i, l.line, l.filled, case when l.filled then c.p is null end as stays
+  from lines l left join filled f on l.doc_id = f.doc_id and l.i = f.i left join covered c on f.doc_id = c.doc_id and f.p = c.p
+), settled as (
+  select *, coalesce(stays,
+      coalesce(last_value(stays ignore nulls) over (partition by doc_id order by i rows between unbounded preceding and current row), false)
+      or coalesce(first_value(stays ignore nulls) over (partition by doc_id order by i rows between current row and unbounded following), false)
+      or not bool_or(filled) over (partition by doc_id)) as final
+  from judged
+)
+select d.doc_id,
+  case when d.text is not null then coalesce(string_agg(s.line, chr(10) order by s.i) filter (s.final), '') end as text,
+  count(*) filter (s.filled) as n_lines, count(*) filter (s.filled and not s.final) as n_lines_removed
+from documents d join settled s using (doc_id) group by d.doc_id, d.text
+""")
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the later places of repeated three-line windows."""
+    return linededup.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op7_minhash")
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: two-word windows, similarity 0.8."""
