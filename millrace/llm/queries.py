@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, linededup, neardup, packing, quality
+from millrace.llm import decontaminate, linededup, neardup, packing, quality, tokencounts
 from millrace.llm.common import table
 
 def tokenizer_file(name: str) -> str:
@@ -85,3 +86,15 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: two-word windows, similarity 0.8."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents before and after private data is taken out, encoding only what changed."""
+    import public_tokenizers
+
+    files = tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    before = tokencounts.counted(table(spark, sf_dir, "documents", "doc_id", "text"), *files)
+    edits = tokencounts.redactions(before.withColumn("n_tokens_before", F.col("n_tokens")))
+    after = tokencounts.recounted(edits.withColumn("n_edits", F.size("edits").cast("long")), *files)
+    return after.select("doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_encoded", F.size("tree.tokens").cast("long").alias("n_leaves"))
