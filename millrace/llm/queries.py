@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, linededup, neardup, packing, quality, tokencounts
+from millrace.llm import decontaminate, linededup, neardup, packing, quality, tokencounts, urlfilter
 from millrace.llm.common import table
 
 def tokenizer_file(name: str) -> str:
@@ -37,6 +37,16 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Host and path rules of the query. Fixed values.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query("op2_url_filter")
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    return urlfilter.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
 @query("op3_quality")
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of the line-first rules for all documents."""
