@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, linededup, neardup, packing, quality, tokencounts, urlfilter
+from millrace.llm import chatformat, decontaminate, linededup, neardup, packing, quality, tokencounts, urlfilter
 from millrace.llm.common import table
 
 def tokenizer_file(name: str) -> str:
@@ -92,6 +93,34 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+CONTROL = "\\### Assistant: </turn> ok"  # looks like marks of chat templates
+
+
+@query("op6_chat_format", """
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(19 + length(replace(replace(role || text, '&', '&amp;'), '<', '&lt;')))::bigint as formatted_chars
+from turns group by conv_id
+""")
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, as rows by turn, and conversation -7, as a list of messages, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.to_variant_object(F.struct("role", "text")).alias("record"))
+    messages = json.dumps({"messages": [{"role": "user", "content": CONTROL}, {"role": "assistant", "content": CONTROL}]})
+    extra = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.parse_json(F.lit(messages)).alias("record"))
+    turns = chatformat.turn_rows(chatformat.canonical(rows.unionByName(extra)))
+    back = chatformat.read_back(chatformat.formatted(turns))
+    return back.select(
+        "conv_id", "n_turns", F.sha2(F.encode("turns_text", "UTF-8"), 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.encode("loss_text", "UTF-8"), 256).alias("loss_sha256"), "formatted_chars")
+
+
 @query("op7_minhash")
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: two-word windows, similarity 0.8."""
