@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chatformat, decontaminate, linededup, neardup, packing, quality, tokencounts, urlfilter
+from millrace.llm import chatformat, decontaminate, linededup, neardup, packing, quality, tokencounts, urlfilter, warc
 from millrace.llm.common import table
 
 def tokenizer_file(name: str) -> str:
@@ -127,6 +127,23 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+@query("op8_warc", """
+with p as (
+  select page_id, coalesce(html, '') as html from pages
+), q as (
+  select page_id, strlen(html) as payload_bytes, sha1(html) as payload_digest,
+    case when strlen(html) >= 1000 then max(page_id) over (partition by html) end as latest from p
+)
+select page_id, payload_bytes, payload_digest,
+  case when latest <> page_id then 'revisit' else 'response' end as record_type,
+  case when latest <> page_id then latest end as refers_to
+from q
+""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in ZIP archives, read back by range."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents before and after private data is taken out, encoding only what changed."""
