@@ -95,6 +95,8 @@ MEASURES = (
     "kept boolean, n_lines long, n_lines_removed long, chars_left long, reason string"
 )
 
+_KEPT = [f.split()[0] for f in MEASURES.split(", ")].index("kept")
+
 
 def measured(text: str | None, rules: Rules) -> tuple:
     """``MEASURES`` of a text and the text of its good lines."""
@@ -155,3 +157,19 @@ def judged(docs: DataFrame, rules: Rules = Rules(), with_text: bool = True) -> D
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(batches, ddl)
+
+
+def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The kept rows of ``docs`` with failing lines taken out of text, and n_chars to match if there is such a column."""
+    names = docs.columns
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            judgements = [measured(text, rules) for text in batch.column(names.index("text")).to_pylist()]
+            texts = [text for _, text in judgements]
+            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())}
+            changed = pa.RecordBatch.from_arrays([new.get(n, batch.column(k)) for k, n in enumerate(names)], names=names)
+            yield changed.filter(pa.array([values[_KEPT] for values, _ in judgements], pa.bool_()))
+
+    ddl = ", ".join(f"`{name}` {'long' if name == 'n_chars' else kind}" for name, kind in docs.dtypes)
+    return docs.mapInArrow(batches, ddl)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chatformat, decontaminate, linededup, neardup, packing, quality, tokencounts, urlfilter, warc
+from millrace.llm import chatformat, decontaminate, htmltext, linededup, neardup, packing, quality, tokencounts, urlfilter, warc
 from millrace.llm.common import table
 
 def tokenizer_file(name: str) -> str:
@@ -144,6 +144,12 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op9_html_extraction")
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by the template of its host."""
+    return htmltext.extracted(table(spark, sf_dir, "pages"))
+
+
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents before and after private data is taken out, encoding only what changed."""
