@@ -173,7 +173,8 @@ def counted(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     All columns are kept; those named n_tokens and tree are replaced.
     """
     own = docs.drop("n_tokens", "tree")
-    spot = own.columns.index("text")
+    names = own.columns
+    spot = names.index("text")
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(ranks, pattern)
@@ -183,7 +184,7 @@ def counted(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 chars, tokens = _leaves(pieces.pattern.findall(text or ""), pieces)
                 totals.append(int(tokens.sum()))
                 trees.append({"chars": chars, "tokens": tokens})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(totals, pa.int64()), pa.array(trees, _TREE_TYPE)], names=[*own.columns, "n_tokens", "tree"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(totals, pa.int64()), pa.array(trees, _TREE_TYPE)], names=[*names, "n_tokens", "tree"])
 
     return own.mapInArrow(batches, _ddl(own, f"n_tokens long, tree {TREE}"))
 
@@ -235,7 +236,8 @@ def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
 def redactions(docs: DataFrame, private: str = PRIVATE, replacement: str = "[removed]") -> DataFrame:
     """``docs`` with the column edits that takes out what matches ``private``."""
     own = docs.drop("edits")
-    spot = own.columns.index("text")
+    names = own.columns
+    spot = names.index("text")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("replacement", pa.string())]))
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,6 +245,6 @@ def redactions(docs: DataFrame, private: str = PRIVATE, replacement: str = "[rem
         for batch in stream:
             found = [[{"start": m.start(), "end": m.end(), "replacement": replacement} for m in pattern.finditer(text or "")]
                      for text in batch.column(spot).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*own.columns, "edits"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*names, "edits"])
 
     return own.mapInArrow(batches, _ddl(own, f"edits {EDITS}"))
