@@ -6,7 +6,7 @@ pattern of m characters inside a document, with at most e edits, shares at
 least m + 1 - q * (e + 1) q-grams with it, all on e + 1 neighbouring diagonals.
 Bands of 2 * (e + 1) diagonals that overlap by half hold any such run, so a
 band with fewer shared q-grams is dropped without loss. The others are aligned
-inside their band.
+on their diagonals and those that an alignment can reach below them.
 
 The patterns travel to the tasks in blocks of bounded size, each with a pass
 over the documents; a benchmark below the bound is one block.
@@ -144,7 +144,7 @@ class Search:
         return (h >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
     def bands(self, codes: np.ndarray) -> list[tuple[int, int]]:
-        """(pattern, lowest diagonal) of the bands of ``codes`` with enough q-grams."""
+        """(pattern, lowest diagonal that an alignment can use) of the bands of ``codes`` with enough q-grams."""
         p = self.p
         h = gram_hashes(codes)
         at = np.flatnonzero(self.filter[self._slot(h)])
@@ -166,9 +166,9 @@ class Search:
         after = np.searchsorted(keys, keys + 1)
         has = (after < len(keys)) & (keys[np.minimum(after, len(keys) - 1)] == keys + 1)
         sums = counts + np.where(has, counts[np.minimum(after, len(keys) - 1)], 0)
-        # a band whose lower half is empty lies within one that starts a half earlier
+        # the path may leave its q-grams for lower diagonals, within the half below the lowest of them
         good = keys[sums >= p.least[keys >> 40]]
-        return [(int(k >> 40), int((k & ((1 << 40) - 1)) * (p.budget[k >> 40] + 1) - p.longest)) for k in good]
+        return [(int(k >> 40), int(((k & ((1 << 40) - 1)) - 1) * (p.budget[k >> 40] + 1) - p.longest)) for k in good]
 
     def spans(self, units: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(unit, pattern, start, end, edits) of the places within the budget."""
@@ -178,10 +178,10 @@ class Search:
         for at in range(0, len(found), _CASES):
             cases = []
             for number, low in found[at : at + _CASES]:
-                middle = low + (len(self.p.codes[number]) >> 1) + int(self.p.budget[number])
+                middle = low + (len(self.p.codes[number]) + 3 * int(self.p.budget[number]) >> 1)
                 unit = min(max(int(np.searchsorted(starts, middle, "right")) - 1, 0), len(units) - 1)
                 cases.append((number, unit, low - int(starts[unit])))
-            width = 2 * max(int(self.p.budget[n]) + 1 for n, _, _ in cases)
+            width = 3 * max(int(self.p.budget[n]) + 1 for n, _, _ in cases)
             costs = band_costs([self.p.codes[n] for n, _, _ in cases], [units[u] for _, u, _ in cases],
                                [low for _, _, low in cases], np.zeros((len(cases), width), np.int32))
             for (number, unit, low), row in zip(cases, costs):
@@ -197,10 +197,8 @@ def _reads(text: str, letters: np.ndarray, overlap: int) -> Iterator[tuple[np.nd
     codes, at = np.zeros(0, np.uint32), np.zeros(0, np.int64)
     for begin in range(0, len(text), READ_CHARS):
         more, where = normalized(text[begin : begin + READ_CHARS], letters)
-        if len(codes) and begin:  # a word may run on here, or a separator may end: both read as one blank at most
-            joint = text[begin - 1 : begin + 1]
-            if normalized(joint, letters)[0].size < 2:
-                codes, at = np.append(codes, np.uint32(_BLANK)), np.append(at, begin - 1)
+        if len(codes) and codes[-1] != _BLANK and normalized(text[begin - 1 : begin + 1], letters)[0].size < 2:  # separators at the cut
+            codes, at = np.append(codes, np.uint32(_BLANK)), np.append(at, at[-1] + 1)
         codes, at = np.concatenate([codes[-overlap:], more]), np.concatenate([at[-overlap:], where + begin])
         yield codes, at
 
