@@ -7,7 +7,7 @@ and partial sums are made before the shuffle. Tokens with the same vector, on
 at least half of the pages, are an equivalence class. A class is valid if it
 hangs below one place of another class, and valid classes nest into the
 template of the host. Their elements are the slots. A slot is dropped when its
-text is the same on all pages or mostly links, outside the article; a slot of a
+text is the same on all its pages or mostly links, outside the article; a slot of a
 known kind (menu, header, footer, sidebar, notice, advert, form, comments) by
 its kind. A text belongs to the nearest slot around it; what is left is the
 article.
@@ -251,7 +251,7 @@ def templates(pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: int
     nested = often.join(above, ["host", "parent"], "left").withColumn("outside", F.when(~F.col("above").eqNullSafe(F.col("vector")), F.col("parent")))
     classes = nested.groupBy("host", "vector").agg(F.min("outside").alias("first"), F.max("outside").alias("last")).where("first is null or first = last")
     slots = nested.join(classes.select("host", "vector"), ["host", "vector"], "left_semi")
-    same = (F.col("host_pages") >= least_pages) & (F.col("pages") == F.col("host_pages")) & (F.col("low") == F.col("high"))
+    same = (F.col("pages") >= least_pages) & (F.col("low") == F.col("high"))
     drop = (F.col("main") == 0) & (F.col("chars") > 0) & (same | (F.col("links") > link_share * F.col("chars")))
     return slots.groupBy("host").agg(F.collect_list(F.when(drop, F.col("path"))).alias("dropped"), F.collect_list("path").alias("slots"))
 
