@@ -70,7 +70,7 @@ def mined_rules(items: DataFrame, support: float = SUPPORT, least_pages: int = L
     items = scratch.pin(items)
     n = items.count()
     if n < least_pages:
-        return spark.createDataFrame([], "tokens array<string>, index_token string, confidence double, support double")
+        return spark.range(0).selectExpr("array('') as tokens", "'' as index_token", "0d as confidence", "0d as support")
     model = FPGrowth(itemsCol="items", minSupport=max(support, least_pages / n), minConfidence=confidence).fit(items)
     rules = model.associationRules.where(F.element_at("consequent", 1) == BAD).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     often = model.freqItemsets.where("size(items) = 1").select(F.element_at("items", 1).alias("token"), "freq")
