@@ -7,11 +7,10 @@ first (optimal densification), so that two sets agree in any bin with their
 Jaccard similarity. Bands of bins make buckets.
 
 A bucket links its members to one centre, not to each other: as many pairs as
-members. Pairs are confirmed on the full shingle sets. Where a bucket still
-holds several components, rounds with 8, 64, ... centres, outliers of its main
-component first, compare the centres with the members of other components until
-one component is left, so no pair of a bucket goes unseen unless it is
-connected already.
+members. Pairs are confirmed on the full shingle sets. Where the members of a
+bucket then lie in several components, those outside the main component are
+compared in blocks with all bucket mates by sketches that bound the similarity
+from above, so no pair of a bucket goes unseen unless it is connected already.
 """
 
 from __future__ import annotations
@@ -29,6 +28,8 @@ from millrace.llm.common import LOWER_ASCII, Scratch
 BANDS, ROWS = 40, 7
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _WORDS_KEPT = 500_000
+#: Bits of a sketch; documents in a block; parts over which the query blocks of a family are spread.
+_SKETCH_BITS, _BLOCK, _SPREAD = 2048, 256, 8
 
 SIGNATURE = "doc_id long, n_shingles long, set_key binary, buckets array<long>"
 
@@ -183,6 +184,69 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def odd_sketches(texts: DataFrame, words: int) -> DataFrame:
+    """(rep, n, sketch): a bit of the sketch says whether an odd number of shingles fell on it.
+
+    Common shingles cancel out when two sketches are xor-ed, so the bits left
+    are at most as many as the shingles that only one of the sets has.
+    """
+    schema = pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary())])
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _WordHashes()
+        for batch in stream:
+            rows = []
+            for node, text in zip(*(c.to_pylist() for c in batch.columns)):
+                hashes = shingle_hashes(words_of(text), words, cache)
+                odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % _SKETCH_BITS, minlength=_SKETCH_BITS) & 1
+                rows.append((node, len(hashes), np.packbits(odd.astype(np.uint8)).tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows)) or [()] * 3, schema)], schema=schema)
+
+    return texts.select("doc_id", "text").mapInArrow(batches, "rep long, n long, sketch binary")
+
+
+def block_pairs(open_: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (a, b) of different components, in one family of open buckets, whose sketches allow the similarity.
+
+    ``open_``: bucket, rep, centre, component. Families are the components of
+    bucket mates. The members outside the main component of a family are the
+    queries: blocks of them meet blocks of the family, and only pairs within
+    the bound leave the task.
+    """
+    family = components(open_.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")), scratch)
+    nodes = open_.select("rep", "component").distinct().join(family.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep")
+    wanted = texts.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    sketched = scratch.pin(nodes.join(odd_sketches(wanted, words), "rep"))
+    counts = sketched.groupBy("family", "component").count().groupBy("family").agg(
+        F.sum("count").alias("size"), F.max_by("component", F.struct("count", "component")).alias("main"))
+    slotted = sketched.join(counts, "family").withColumn("slot", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / _BLOCK)))
+    entry = F.struct("rep", "n", "component", "sketch")
+    mine = slotted.where("component <> main").groupBy("family", "slot").agg(F.collect_list(entry).alias("queries"))
+    all_ = slotted.groupBy("family", "slot").agg(F.collect_list(entry).alias("others")).select(
+        "family", F.explode(F.sequence(F.lit(0), F.lit(_SPREAD - 1))).alias("salt"), "others")
+    blocks = mine.select("family", (F.col("slot") % _SPREAD).cast("int").alias("salt"), "queries").join(all_, ["family", "salt"]).select("queries", "others")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def columns(block: pa.Array) -> tuple[np.ndarray, ...]:
+        rep, n, component, sketch = (block.field(k) for k in ("rep", "n", "component", "sketch"))
+        bits = np.frombuffer(b"".join(sketch.to_pylist()), np.uint64).reshape(len(rep), -1)
+        return rep.to_numpy(), n.to_numpy(), component.to_numpy(), bits
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for row in range(batch.num_rows):
+                rep_q, n_q, component_q, bits_q = columns(batch.column(0)[row].values)
+                rep_o, n_o, component_o, bits_o = columns(batch.column(1)[row].values)
+                for k in range(len(rep_q)):
+                    apart = np.bitwise_count(bits_o ^ bits_q[k]).sum(axis=1, dtype=np.int64)
+                    near = (apart * (100 + percent) <= (100 - percent) * (n_o + n_q[k])) & (component_o != component_q[k])
+                    if near.any():
+                        other = rep_o[near]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, rep_q[k])), pa.array(np.maximum(other, rep_q[k]))], schema=schema)
+
+    return blocks.mapInArrow(batches, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -211,24 +275,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     pairs = members.where("rep <> centre").join(centres, "bucket").where(sizes("n", "n_a")).select("a", F.col("rep").alias("b")).distinct()
     links = scratch.pin(confirmed(pairs, texts, words, percent))
     labels = components(links, scratch)
-    rest, width = members.where("rep <> centre").select("bucket", "rep", "n"), 1
-    while True:
-        labelled = rest.join(labels, rest["rep"] == labels["node"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        open_ = scratch.pin(labelled.join(mixed, "bucket", "left_semi"))
-        if open_.isEmpty():
-            break
-        width *= 8
-        main = open_.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-        picked = open_.join(main, "bucket").groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(width)).alias("slot")).agg(
-            F.min(F.struct(F.col("component") == F.col("main"), "rep", "n", "component")).alias("c"))
-        picked = scratch.pin(picked.select("bucket", F.col("c.rep").alias("a"), F.col("c.n").alias("n_a"), F.col("c.component").alias("component_a")))
-        pairs = open_.join(picked, "bucket").where(sizes("n", "n_a") & F.expr("component <> component_a")).select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
-        more = scratch.pin(confirmed(pairs, texts, words, percent))
-        if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links, scratch)
-        rest = open_.join(picked.select("bucket", F.col("a").alias("rep")), ["bucket", "rep"], "left_anti").select("bucket", "rep", "n")
+    labelled = members.join(labels, members["rep"] == labels["node"], "left").select("bucket", "rep", "centre", F.coalesce("component", "rep").alias("component"))
+    mixed = labelled.where("rep <> centre").groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    open_ = scratch.pin(labelled.join(mixed, "bucket", "left_semi"))
+    if not open_.isEmpty():
+        met = block_pairs(open_, texts, words, percent, scratch)
+        labels = components(links.union(scratch.pin(confirmed(met, texts, words, percent))), scratch)
     copies = reps.where("copies > 1").select("set_key", "rep")
     own = signed.select("doc_id", "n_shingles", "set_key").join(copies, "set_key", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     grouped = own.join(labels, own["rep"] == labels["node"], "left").withColumn("component_id", F.coalesce("component", "rep"))
