@@ -30,8 +30,8 @@ from millrace.llm.common import Scratch
 WINDOW, END_ID = 4096, 2
 #: Pieces that one task ranks.
 SLICE_ROWS = 100_000
-#: Words, and cores of words, that a Python worker remembers.
-_WORDS_KEPT = 600_000
+#: Words, and cores of words, of a generation that a Python worker remembers.
+_WORDS_KEPT = 500_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -48,7 +48,25 @@ def core_of(word: str) -> tuple[str, str]:
     return word, ""
 
 
-class WordIds(dict):
+class _Recent:
+    """Values of the keys used lately: a full generation becomes the old one, whose keys return when they are used."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.young) >= _WORDS_KEPT:
+            self.old, self.young = self.young, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Bring back what the old generation knows; the rest of ``keys`` is unknown."""
+        known = self.old.keys() & keys if self.old else ()
+        self.young.update((key, self.old[key]) for key in known)
+        return [key for key in keys if key not in self.young]
+
+
+class WordIds:
     """Ids of the parts of texts between blanks, as bytes; new parts are encoded together.
 
     Only for tokenizers that lower-case, drop white space and never join over
@@ -56,11 +74,10 @@ class WordIds(dict):
     """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cores: dict[str, bytes] = {}
+        self.words, self.cores = _Recent(), _Recent()
 
     def _encode(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
@@ -73,21 +90,20 @@ class WordIds(dict):
         return ((word, ids[ends[k] : ends[k + 1]]) for k, word in enumerate(words))
 
     def documents(self, texts: list[str | None]) -> list[bytes]:
-        for known in (self, self.cores):
-            if len(known) >= _WORDS_KEPT:
-                known.clear()
+        self.words.turn()
+        self.cores.turn()
+        known = self.words.young
         parts = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        found = [list(map(self.get, words)) for words in parts]
+        found = [list(map(known.get, words)) for words in parts]
         lacking = [k for k, ids in enumerate(found) if None in ids]
-        split = {word: core_of(word) for k in lacking for word, ids in zip(parts[k], found[k]) if ids is None}
-        needed = {core for core, _ in split.values()}
-        needed.update(tail for _, tail in split.values() if tail)
-        cores = self.cores
-        if new := list(needed.difference(cores)):
-            cores.update(self._encode(new))
-        self.update((word, cores[core] + cores[tail] if tail else cores[core]) for word, (core, tail) in split.items())
+        unknown = self.words.missing({word for k in lacking for word, ids in zip(parts[k], found[k]) if ids is None})
+        split = [core_of(word) for word in unknown]
+        if new := self.cores.missing({part for pair in split for part in pair}):
+            self.cores.young.update(self._encode(new))
+        cores = self.cores.young
+        known.update((word, cores[core] + cores[tail] if tail else cores[core]) for word, (core, tail) in zip(unknown, split))
         for k in lacking:
-            found[k] = map(self.__getitem__, parts[k])
+            found[k] = map(known.__getitem__, parts[k])
         return [b"".join(ids) for ids in found]
 
 
