@@ -86,3 +86,21 @@ def zip_rows(df: DataFrame, arrays: dict[str, Column], keep: list[str] = ()) ->
     named = [value.alias(name) for name, value in arrays.items()]
     zipped = df.select(*keep, *named).select(*keep, F.arrays_zip(*arrays).alias("_zipped"))
     return zipped.select(*keep, F.inline("_zipped"))
+
+
+def ordered_array_agg(value: Column, order: list[str], where: Column | None = None) -> Column:
+    """Aggregate to an array in the given order, NULLs of the order last; duplicates and NULL values stay.
+
+    ``where`` leaves rows out; no rows give NULL. A group lies in one task, so
+    groups must be bounded; ``chunked_pages`` cuts larger ones.
+    """
+    keys = [c for k, name in enumerate(order) for c in (F.col(name).isNull().alias(f"n{k}"), F.col(name).alias(f"o{k}"))]
+    entry = F.struct(*keys, value.alias("v"))
+    found = F.array_sort(F.collect_list(entry if where is None else F.when(where, entry)))
+    return F.when(F.size(found) > 0, F.transform(found, lambda e: e["v"]))
+
+
+def ordered_text_agg(value: Column, separator: str, order: list[str], where: Column | None = None) -> Column:
+    """Aggregate to one text in the given order; duplicates stay, NULL values are left out."""
+    found = F.filter(ordered_array_agg(value, order, where), lambda v: v.isNotNull())
+    return F.when(F.size(found) > 0, F.array_join(found.cast("array<string>"), separator))

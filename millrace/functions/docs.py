@@ -17,15 +17,21 @@ def json_entries(df: DataFrame, column: str, key: str = "key", value: str = "val
     return df.select("*", F.explode(parsed).alias(key, value))
 
 
+def _json(value: Column) -> Column:
+    """JSON text of one value."""
+    text = F.to_json(F.array(value), {"ignoreNullFields": "false"})
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
 def json_object(pairs: Column) -> Column:
-    """JSON object text from an array of ``struct<key, value>``."""
-    return F.to_json(F.map_from_entries(pairs))
+    """JSON object text from an array of ``struct<key, value>``; repeated keys stay, as do NULL values."""
+    members = F.transform(pairs, lambda p: F.concat(_json(p["key"].cast("string")), F.lit(":"), _json(p["value"])))
+    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 
 def json_object_agg(key: str, value: str) -> Column:
-    """Aggregate rows to one JSON object, keys in order."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.col(value).alias("v"))))
-    return F.to_json(F.map_from_entries(pairs))
+    """Aggregate rows to one JSON object, keys in order; repeated keys stay. Group sizes must be bounded."""
+    return json_object(F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("key"), F.col(value).alias("value")))))
 
 
 def escape_xml(text: Column) -> Column:

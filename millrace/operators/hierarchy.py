@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,29 +41,31 @@ def walk_hierarchy(edges: DataFrame, node: str, parent: str, depth: str = "depth
     return roots.unionByName(reached.select(*rows.columns, depth))
 
 
-def hierarchy_paths(edges: DataFrame, node: str, parent: str, path: str = "path", sep: str = "/",
-                    max_depth: int = 1000) -> DataFrame:
+def hierarchy_paths(edges: DataFrame, node: str, parent: str, path: str = "path", sep: str = "/") -> DataFrame:
     """Rows with the path above them: '' for roots, parent path + sep + parent below.
 
-    A node under several parents gets one row per path. A cycle has no end and
-    raises once ``max_depth`` is passed.
+    A node under several parents gets one row per path. Every round doubles how
+    far up a row has looked, so depth costs rounds by its logarithm and has no
+    limit. A path longer than there are nodes comes back to a node and raises.
     """
     rows = pin(edges.distinct())
-    level = pin(rows.where(F.col(parent).isNull()).withColumn(path, F.lit("")))
-    levels = []
-    while not level.isEmpty():
-        levels.append(level)
-        if len(levels) > max_depth:
-            raise RecursionError(f"hierarchy deeper than {max_depth}: cycle or larger limit needed")
-        above = level.select(F.col(node).alias("_name"), F.col(path).alias("_above")).distinct()
-        below = rows.join(above, F.col(parent) == F.col("_name"))
-        below = below.withColumn(path, F.concat("_above", F.lit(sep), F.col(parent)))
-        level = pin(below.select(*rows.columns, path))
-    return reduce(DataFrame.unionByName, levels) if levels else level
-
-
-def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, chunk_rows: int = 100_000,
-                       pin_levels: int = 8) -> DataFrame:
+    nodes = rows.select(node).distinct().count()
+    suffix = F.when(F.col(parent).isNull(), "").otherwise(F.concat(F.lit(sep), F.col(parent)))
+    state = pin(rows.select("*", F.col(parent).alias("_top"), suffix.alias(path), F.when(F.col(parent).isNull(), 0).otherwise(1).cast("bigint").alias("_steps")))
+    reach = 1
+    while reach <= 2 * nodes and not (ahead := state.where("_top IS NOT NULL")).isEmpty():
+        jumps = state.select(F.col(node).alias("_name"), F.col("_top").alias("_next"), F.col(path).alias("_above"), F.col("_steps").alias("_more")).distinct()
+        met = ahead.join(jumps, F.col("_top") == F.col("_name"))
+        met = met.select(*rows.columns, F.col("_next").alias("_top"), F.concat("_above", path).alias(path), (F.col("_steps") + F.col("_more")).alias("_steps"))
+        state = pin(state.where("_top IS NULL").unionByName(met))
+        reach *= 2
+    done = state.where("_top IS NULL")
+    if (again := done.where(F.col("_steps") >= nodes).first()) is not None:
+        raise RecursionError(f"cycle above {again[node]}")
+    return done.drop("_top", "_steps")
+
+
+def replay_transcripts(lines: DataFrame, session: str, order: str, line: str) -> DataFrame:
     """Directories of shell transcripts with the file bytes directly inside.
 
     Returns ``session, dir (array), size``; a directory that was entered more
@@ -82,10 +82,9 @@ def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, ch
         F.when(is_cd, target).alias("_dir"), size.alias("_size"),
     ).where("_dir IS NOT NULL OR _size IS NOT NULL")
     step = F.when(F.col("_dir").isNull(), 0).when(F.col("_dir") == "..", -1).otherwise(1)
-    chunk = F.floor(F.col("_id") / chunk_rows)
-    at = running_sum(moves, ["_s"], ["_id"], step, "_depth", chunk)
+    at = running_sum(moves, ["_s"], ["_id"], step, "_depth")
     checked = F.assert_true(F.col("_depth") >= 0, F.lit("cannot leave an empty path"))
-    at = pin(at.withColumn("_depth", F.when(checked.isNull(), F.col("_depth"))))
+    at = at.withColumn("_depth", F.when(checked.isNull(), F.col("_depth")))
 
     # one row to offer an entered directory at its depth, one to ask for the
     # directory around it, one to ask for the directory of a file
@@ -102,7 +101,7 @@ def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, ch
         lambda role: role.isNotNull(),
     )
     asked = at.select("*", F.inline(roles))
-    held = running_max(asked, ["_s", "_level"], ["_id", "_turn"], "_enter", "_inside", chunk)
+    held = running_max(asked, ["_s", "_level"], ["_id", "_turn"], "_enter", "_inside")
 
     held = pin(held.where("_turn <> 1").select("_s", "_id", "_depth", "_dir", "_size", "_turn", "_inside"))
     entered = held.where("_turn = 0").select(
@@ -111,24 +110,22 @@ def replay_transcripts(lines: DataFrame, session: str, order: str, line: str, ch
     )
     direct = held.where("_turn = 2 AND _inside IS NOT NULL").groupBy("_s", F.col("_inside").alias("_enter"))
     direct = direct.agg(F.sum("_size").alias("size"))
-    paths = _enter_paths(entered, pin_levels)
+    paths = _enter_paths(entered)
     out = paths.join(direct, ["_s", "_enter"], "left")
     return out.select(F.col("_s").alias(session), F.col("_path").alias("dir"), "size")
 
 
-def _enter_paths(entered: DataFrame, pin_levels: int) -> DataFrame:
-    """Full path of every entered directory, one join per depth level."""
+def _enter_paths(entered: DataFrame) -> DataFrame:
+    """Full path of every entered directory; each round doubles how far up a row has looked."""
     deepest = entered.agg(F.max("_level")).first()[0] or 0
-    here = entered.where("_level = 1").select("_s", "_enter", F.array("_dir").alias("_path"))
-    done = [here]
-    for level in range(2, deepest + 1):
-        above = here.select("_s", F.col("_enter").alias("_parent"), F.col("_path").alias("_above"))
-        here = entered.where(F.col("_level") == level).join(above, ["_s", "_parent"])
-        here = here.select("_s", "_enter", F.array_append("_above", F.col("_dir")).alias("_path"))
-        if level % pin_levels == 0:
-            here = pin(here)
-        done.append(here)
-    return reduce(DataFrame.unionByName, done)
+    here = entered.select("_s", "_enter", "_parent", F.array("_dir").alias("_path"))
+    reach = 1
+    while reach < deepest:
+        above = here.select("_s", F.col("_enter").alias("_top"), F.col("_parent").alias("_next"), F.col("_path").alias("_above"))
+        met = here.join(above.withColumnRenamed("_top", "_parent"), ["_s", "_parent"], "left")
+        here = pin(met.select("_s", "_enter", F.col("_next").alias("_parent"), F.concat(F.coalesce("_above", F.array().cast("array<string>")), "_path").alias("_path")))
+        reach *= 2
+    return here.select("_s", "_enter", "_path")
 
 
 def directory_totals(direct: DataFrame, keys: list[str], path: str = "dir", size: str = "size") -> DataFrame:

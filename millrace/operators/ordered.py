@@ -2,15 +2,11 @@
 
 A window partitioned only by a key runs each key in one task, and a window
 without a key runs everything in one task. The operators here work in two
-levels instead: rows are windowed inside ``(key, chunk)`` and every chunk
-starts from a *seed row* that carries what came before it. Seeds come from one
-row per chunk, so the second level stays small. ``chunk`` must not decrease
-along the order (a time bucket, ``id div n``, or the part of a pinned sort).
-
-Without a given ``chunk`` the operators count first: a table that fits one task
-is windowed plainly, a larger one is cut into even pieces of its order column,
-and when a piece would still be too heavy the rows are sorted and pinned, and
-the parts of that sort are the chunks.
+levels instead: the rows are range-sorted by key and order and pinned, the
+parts of that sort are chunks, and rows are windowed inside ``(key, chunk)``.
+Only a key that does not fit one part lies in several. Every chunk starts from
+a *seed row* that carries what came before it in its key; seeds come from one
+row per key and chunk. The plan is the same for every size of table.
 """
 
 from __future__ import annotations
@@ -21,49 +17,28 @@ from pyspark.sql import functions as F
 from millrace.session import pin
 
 _POSITION_BITS = 33  # row position inside its part, as laid out by monotonically_increasing_id
-CHUNK_ROWS = 1_000_000  # rows that one task may window
-UNEVEN = 4  # an even piece may hold this many times its share
 
 
-def _distance(order: str, low, kind: str) -> Column:
-    """How far a row lies behind the lowest value, as a number."""
-    if kind.startswith("timestamp"):
-        return F.timestamp_diff("MICROSECOND", F.lit(low.isoformat(sep=" ")).cast(kind), F.col(order))
-    if kind == "date":
-        return F.date_diff(F.col(order), F.lit(low))
-    return F.col(order) - F.lit(low)
+def _parts(df: DataFrame) -> int:
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def chunked(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None = None,
-            measured: DataFrame | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``df`` with a ``_chunk`` column for the windows over ``keys`` and ``order``.
+def chunked(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` with a ``_chunk`` column that does not decrease along ``keys`` and ``order``."""
+    return pin_sorted(df, [*keys, *order], _parts(df)).withColumnRenamed("_part", "_chunk").drop("_pos")
 
-    A table that fits one task comes back as it is, without the column.
 
-    The sizes are measured before they are relied on: one count, and for large
-    tables one histogram of the order column (an aggregate over one column).
-    ``measured`` is a cheaper table with the same order column and at least as
-    many rows, for a ``df`` that takes shuffles to compute.
+def _carried(ends: DataFrame, keys: list[str], along: dict[str, Column], ahead: dict[str, Column], parts: int) -> DataFrame:
+    """What the earlier chunks of a key leave to each of its chunks, from one row per key and chunk.
+
+    ``along`` are window expressions over the chunks of a key. Without keys there
+    is one row per chunk; it is offered to all later chunks and ``ahead``
+    aggregates what a chunk was offered.
     """
-    if chunk is not None:
-        return df.withColumn("_chunk", chunk)
-    first = order[0]
-    base = df if measured is None else measured
-    shape = base.agg(F.count("*").alias("n"), F.min(first).alias("lo"), F.max(first).alias("hi")).first()
-    if shape["n"] <= target_rows:
-        return df
-    kind = df.schema[first].dataType.simpleString()
-    if kind.split("(")[0] in ("timestamp", "timestamp_ntz", "date", "tinyint", "smallint", "int", "bigint", "double", "decimal"):
-        pieces = -(-shape["n"] // target_rows)  # rounded up
-        span = base.select(F.max(_distance(first, shape["lo"], kind)).cast("double")).first()[0]
-        if span > 0:
-            piece = F.floor(_distance(first, shape["lo"], kind) / F.lit(span / pieces))
-            place = F.coalesce(piece, F.lit(-1).cast("bigint")).alias("_chunk")
-            heaviest = base.groupBy(place).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-            if heaviest <= UNEVEN * target_rows:
-                return df.select("*", place)
-    parts = -(-shape["n"] // target_rows)
-    return pin_sorted(df, [*keys, *order], parts).withColumnRenamed("_part", "_chunk").drop("_pos")
+    if keys:
+        return ends.select(*keys, "_chunk", *[c.alias(n) for n, c in along.items()])
+    offered = ends.withColumn("_from", F.col("_chunk")).withColumn("_chunk", F.explode(F.sequence(F.col("_chunk") + 1, F.lit(parts))))
+    return offered.groupBy("_chunk").agg(*[c.alias(n) for n, c in ahead.items()])
 
 
 def pin_sorted(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
@@ -86,81 +61,63 @@ def pin_sorted(df: DataFrame, order: list, parts: int | None = None) -> DataFram
 
 def global_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFrame:
     """Dense 1..n over the whole table in the given (total) order."""
-    placed = pin_sorted(df, order)
+    parts = _parts(df)
+    placed = pin_sorted(df, order, parts)
     counts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
-    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    numbered = placed.join(F.broadcast(offsets), "_part")
+    later = counts.select(F.explode(F.sequence(F.col("_part"), F.lit(parts))).alias("_at"), "_part", "_rows")
+    offsets = later.groupBy(F.col("_at").alias("_part")).agg(F.coalesce(F.sum(F.when(F.col("_at") > F.col("_part"), F.col("_rows"))), F.lit(0)).alias("_before"))
+    numbered = placed.join(F.broadcast(offsets), "_part")  # one row per part
     return numbered.withColumn(name, F.col("_before") + F.col("_pos") + 1).select(*df.columns, name)
 
 
-def with_previous(df: DataFrame, keys: list[str], order: str, values: list[str], chunk: Column | None = None,
-                  prefix: str = "prev_", measured: DataFrame | None = None,
-                  target_rows: int = CHUNK_ROWS) -> DataFrame:
+def with_previous(df: DataFrame, keys: list[str], order: str, values: list[str], prefix: str = "prev_") -> DataFrame:
     """``lag`` of each value along ``order`` inside ``keys``; NULL on first rows.
 
     ``order`` must be unique inside a key.
     """
-    cut = chunked(df, keys, [order], chunk, measured, target_rows)
-    if "_chunk" not in cut.columns:
-        whole = Window.partitionBy(*keys).orderBy(order)
-        return df.select("*", *[F.lag(v).over(whole).alias(prefix + v) for v in values])
-    tagged = cut.withColumn("_real", F.lit(1))
-    last = tagged.groupBy(*keys, "_chunk").agg(*[F.max_by(v, order).alias(v) for v in values])
-    along = Window.partitionBy(*keys).orderBy("_chunk")
-    before = F.lag(F.struct(*values)).over(along)
-    seeds = last.select(*keys, "_chunk", before.alias("_before")).where(F.col("_before").isNotNull())
-    seeds = seeds.select(*keys, "_chunk", "_before.*", F.lit(0).alias("_real"))
+    tagged = chunked(df, keys, [order]).withColumn("_real", F.lit(1))
+    last = tagged.groupBy(*keys, "_chunk").agg(F.max_by(F.struct(*values), order).alias("_last"))
+    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk"))
+    seeds = _carried(last, keys, {"_before": before}, {"_before": F.max_by("_last", "_from")}, _parts(df))
+    seeds = seeds.where(F.col("_before").isNotNull()).select(*keys, "_chunk", "_before.*", F.lit(0).alias("_real"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", order)
     rows = tagged.unionByName(seeds, allowMissingColumns=True)
     lagged = rows.select("*", *[F.lag(v).over(inside).alias(prefix + v) for v in values])
     return lagged.where("_real = 1").drop("_chunk", "_real")
 
 
-def running_sums(df: DataFrame, keys: list[str], order: list[str], amounts: dict[str, Column],
-                 chunk: Column | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
+def running_sums(df: DataFrame, keys: list[str], order: list[str], amounts: dict[str, Column]) -> DataFrame:
     """Per name, the sum of its amount from the first row of the key up to and with each row."""
-    cut = chunked(df, keys, order, chunk, target_rows=target_rows)
-    if "_chunk" not in cut.columns:
-        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(a).over(whole).alias(n) for n, a in amounts.items()])
-    tagged = cut.select("*", *[a.alias(n) for n, a in amounts.items()], F.lit(1).alias("_real"))
+    tagged = chunked(df.select("*", *[a.alias(n) for n, a in amounts.items()]), keys, order).withColumn("_real", F.lit(1))
     totals = tagged.groupBy(*keys, "_chunk").agg(*[F.sum(n).alias(n) for n in amounts])
     along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_chunk"))
-    before = [F.sum(n).over(along).alias(n) for n in amounts]
-    seeds = totals.select(*keys, "_chunk", *before, place.alias("_place"), F.lit(0).alias("_real"))
-    rows = tagged.unionByName(seeds.where("_place > 1").drop("_place"), allowMissingColumns=True)
+    earlier = {**{n: F.sum(n).over(along) for n in amounts}, "_n": F.count(F.lit(1)).over(along)}
+    offered = {**{n: F.sum(n) for n in amounts}, "_n": F.count(F.lit(1))}
+    seeds = _carried(totals, keys, earlier, offered, _parts(df)).where("_n > 0").drop("_n").withColumn("_real", F.lit(0))
+    rows = tagged.unionByName(seeds, allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.withColumns({n: F.sum(n).over(upto) for n in amounts}).where("_real = 1").drop("_chunk", "_real")
 
 
-def running_sum(df: DataFrame, keys: list[str], order: list[str], amount: Column, name: str,
-                chunk: Column | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
-    return running_sums(df, keys, order, {name: amount}, chunk, target_rows)
+def running_sum(df: DataFrame, keys: list[str], order: list[str], amount: Column, name: str) -> DataFrame:
+    return running_sums(df, keys, order, {name: amount})
 
 
-def running_max(df: DataFrame, keys: list[str], order: list[str], value: str | Column, name: str,
-                chunk: Column | None = None, target_rows: int = CHUNK_ROWS) -> DataFrame:
+def running_max(df: DataFrame, keys: list[str], order: list[str], value: str | Column, name: str) -> DataFrame:
     """Largest non-NULL ``value`` up to and with each row of the key."""
     source = F.col(value) if isinstance(value, str) else value
-    cut = chunked(df, keys, order, chunk, target_rows=target_rows)
-    if "_chunk" not in cut.columns:
-        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", F.max(source).over(whole).alias(name))
-    tagged = cut.select("*", source.alias(name), F.lit(1).alias("_real"))
-    tops = tagged.groupBy(*keys, "_chunk").agg(F.max(name).alias("_top"))
+    tagged = chunked(df.select("*", source.alias(name)), keys, order).withColumn("_real", F.lit(1))
+    tops = tagged.groupBy(*keys, "_chunk").agg(F.max(name).alias(name))
     along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    seeds = tops.select(*keys, "_chunk", F.max("_top").over(along).alias(name), F.lit(0).alias("_real"))
-    rows = tagged.unionByName(seeds.where(F.col(name).isNotNull()), allowMissingColumns=True)
+    seeds = _carried(tops, keys, {name: F.max(name).over(along)}, {name: F.max(name)}, _parts(df))
+    rows = tagged.unionByName(seeds.where(F.col(name).isNotNull()).withColumn("_real", F.lit(0)), allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.withColumn(name, F.max(name).over(upto)).where("_real = 1").drop("_chunk", "_real")
 
 
-def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], time: str, values: list[str],
-                chunk: Column | None = None, prefix: str = "last_", target_rows: int = CHUNK_ROWS) -> DataFrame:
+def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], time: str, values: list[str], prefix: str = "last_") -> DataFrame:
     """Each left row with the values of the latest right row of its key at or before its time.
 
     Both sides become one ordered stream per key; the latest right row is a
@@ -170,7 +127,7 @@ def asof_latest(left: DataFrame, right: DataFrame, keys: list[str], time: str, v
     stream = left.withColumn("_turn", F.lit(1)).unionByName(
         right.select(*keys, time, carried.alias("_row"), F.lit(0).alias("_turn")), allowMissingColumns=True
     )
-    held = running_max(stream, keys, [time, "_turn"], "_row", "_latest", chunk, target_rows).where("_turn = 1")
+    held = running_max(stream, keys, [time, "_turn"], "_row", "_latest").where("_turn = 1")
     return held.select(*left.columns, *[F.col(f"_latest.{c}").alias(prefix + c) for c in [time, *values]])
 
 
@@ -217,9 +174,9 @@ def grid_visibility(cells: DataFrame, x: str = "x", y: str = "y", value: str = "
     return both.select(*cells.columns, seen.alias("visible"))
 
 
-def island_sums(df: DataFrame, order: str, separator: Column, value: str, chunk: Column | None = None) -> DataFrame:
+def island_sums(df: DataFrame, order: str, separator: Column, value: str) -> DataFrame:
     """Sum ``value`` per island, where each separator row opens the next island."""
-    flagged = running_sum(df, [], [order], F.when(separator, 1).otherwise(0), "island", chunk)
+    flagged = running_sum(df, [], [order], F.when(separator, 1).otherwise(0), "island")
     return flagged.groupBy("island").agg(F.sum(value).alias("total"))
 
 

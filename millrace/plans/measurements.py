@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import pin_sorted
+
 
 def station_summary(readings: DataFrame, station: str = "station_name",
                     measurement: str = "measurement") -> DataFrame:
@@ -21,18 +23,19 @@ def station_summary(readings: DataFrame, station: str = "station_name",
     return summary.orderBy(station)
 
 
-def summary_line(summary: DataFrame, station: str = "station_name", max_stations: int = 1_000_000) -> DataFrame:
+def summary_line(summary: DataFrame, station: str = "station_name") -> DataFrame:
     """The whole summary as one text ``{a=min/mean/max, ...}``, from one row per station.
 
-    The result is a single value, so more than ``max_stations`` rows raise.
+    The parts of a sort by station are joined to texts side by side; the last
+    step puts one text per part together.
     """
     figures = F.concat_ws("/", "min_measurement", "mean_measurement", "max_measurement")
-    entry = F.concat(F.col(station), F.lit("="), figures)
-    items = F.array_sort(F.collect_list(F.struct(F.col(station).alias("k"), entry.alias("v"))))
-    body = F.array_join(F.transform(items, lambda item: item["v"]), ", ")
-    text = F.concat(F.lit("{"), body, F.lit("}"))
-    fits = F.assert_true(F.count("*") <= max_stations, F.lit("too many stations for one text"))
-    return summary.agg(F.when(fits.isNull(), text).alias("result"))
+    entries = summary.select(F.col(station).alias("k"), F.concat(F.col(station), F.lit("="), figures).alias("v"))
+    placed = pin_sorted(entries, ["k"])
+    parts = placed.groupBy("_part").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("items"))
+    texts = parts.select("_part", F.array_join("items.v", ", ").alias("text"))
+    whole = F.array_join(F.array_sort(F.collect_list(F.struct("_part", "text")))["text"], ", ")
+    return texts.agg(F.concat(F.lit("{"), whole, F.lit("}")).alias("result"))
 
 
 def summary_entries(readings: DataFrame, station: str, measurement: str, mean_type: str = "decimal(8,1)") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates
 from millrace.functions import text as tx
 from millrace.operators import merge, ordered
-from millrace.sources import sinks
+from millrace.session import path_exists, pin
 
 BLOCK_BYTES = 8192  # fixed value: size of one storage block
 QUERY_KEY = ["queryid", "datname", "rolname"]
@@ -24,33 +24,49 @@ def _ntz(moment: dt.datetime) -> Column:
     return dates.as_ntz(moment.isoformat(sep=" "))
 
 
-def cluster_snapshot(stats: DataFrame, created: Column, counters: list[str], stats_reset: Column) -> DataFrame:
-    """All statements added up to one row for the snapshot time."""
+# The counters of a statement, in the order of the statistics view.
+COUNTERS = [
+    "calls", "total_plan_time", "total_exec_time", "rows", "shared_blks_hit", "shared_blks_read", "shared_blks_dirtied", "shared_blks_written",
+    "local_blks_hit", "local_blks_read", "local_blks_dirtied", "local_blks_written", "temp_blks_read", "temp_blks_written", "blk_read_time",
+    "blk_write_time", "wal_records", "wal_fpi", "wal_bytes",
+]
+
+
+def cluster_snapshot(stats: DataFrame, created: Column, counters: list[str], log_position: Column, started: Column) -> DataFrame:
+    """All statements added up to one row for the snapshot time, with the log position and the start of the server."""
     sums = stats.agg(*[F.sum(c).alias(c) for c in counters])
-    return sums.select(created.alias("created"), *counters, stats_reset.alias("stats_reset"))
+    return sums.select(created.alias("created"), *counters, log_position.alias("log_position"), started.alias("stats_reset"))
 
 
-def ingest_snapshot(stats: DataFrame, roles: DataFrame, databases: DataFrame, root: str, created: Column,
-                    stats_reset: Column, counters: list[str], first: bool = False) -> None:
-    """Append one snapshot to the tables ``queries``, ``snapshots`` and ``statements`` under ``root``.
+def ingest_snapshot(stats: DataFrame, roles: DataFrame, databases: DataFrame, root: str, taken: dt.datetime,
+                    log_position: Column, started: Column, counters: list[str] = COUNTERS) -> None:
+    """Write one snapshot to the tables ``queries``, ``snapshots`` and ``statements`` under ``root``.
 
-    Query texts are stored once per (queryid, datname, rolname); a known query
-    keeps its text. Role and database names come from their small catalogs.
+    Each snapshot owns the folder ``taken=...`` of every table, so writing it
+    again replaces it. Query texts are stored once per (queryid, datname,
+    rolname); a query known from another snapshot keeps its text. Role and
+    database names come from their small catalogs.
     """
-    spark = stats.sparkSession
-    named = stats.join(roles, "userid").join(databases, "dbid")
+    spark, root = stats.sparkSession, root.rstrip("/")
+    folder, created = f"taken={taken:%Y%m%dT%H%M%S%f}", _ntz(taken)
+    named = pin(stats.join(roles, "userid").join(databases, "dbid"), "snapshot")
     texts = named.select(*QUERY_KEY, "query")
-    known = texts.limit(0) if first else spark.read.parquet(f"{root}/queries")
-    sinks.bulk_append(merge.insert_ignore(known, texts, QUERY_KEY, ["query"]), f"{root}/queries")
-    sinks.bulk_append(cluster_snapshot(named, created, counters, stats_reset), f"{root}/snapshots")
-    rows = named.select(created.alias("created"), *QUERY_KEY, *counters)
-    sinks.bulk_append(rows, f"{root}/statements")
+    if path_exists(spark, f"{root}/queries"):
+        known = spark.read.schema(f"{texts.schema.toDDL()}, taken string").parquet(f"{root}/queries").where(F.col("taken") != folder.removeprefix("taken="))
+    else:
+        known = texts.limit(0)
+    for name, rows in (
+        ("queries", merge.insert_ignore(known.select(texts.columns), texts, QUERY_KEY, ["query"])),
+        ("snapshots", cluster_snapshot(named, created, counters, log_position, started)),
+        ("statements", named.select(created.alias("created"), *QUERY_KEY, *counters)),
+    ):
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/{folder}")
 
 
-def _deltas(df: DataFrame, keys: list[str], counters: list[str], measured: DataFrame | None = None) -> DataFrame:
+def _deltas(df: DataFrame, keys: list[str], counters: list[str]) -> DataFrame:
     """Differences to the row before of the same key, and the seconds between."""
     stamped = df.withColumn("_at", F.col("created"))
-    lagged = ordered.with_previous(stamped, keys, "created", ["_at", *counters], measured=measured)
+    lagged = ordered.with_previous(stamped, keys, "created", ["_at", *counters])
     changes = {f"delta_{c}": F.col(c) - F.col(f"prev_{c}") for c in counters}
     seconds = dates.epoch_seconds_between(F.col("created"), F.col("prev__at"))
     return lagged.withColumns({**changes, "delta_seconds": seconds})
@@ -135,7 +151,7 @@ def query_drilldown(statements: DataFrame, snapshots: DataFrame, start: dt.datet
     epochs = snapshots.where(inside).select("created", "stats_reset")
     counters = ["calls", "plans", "rows", "shared_blks_hit", "shared_blks_read", "temp_blks_written",
                 "total_exec_time", "total_plan_time", "wal_bytes"]
-    d = _deltas(rows.join(epochs, "created"), [*QUERY_KEY, "stats_reset"], counters, measured=rows)
+    d = _deltas(rows.join(epochs, "created"), [*QUERY_KEY, "stats_reset"], counters)
     d = d.where("delta_calls > 0")
     per_second = F.nullif(F.col("delta_seconds"), F.lit(0.0))
 

@@ -72,11 +72,24 @@ def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def drop_paths(spark: SparkSession, name: str = "") -> None:
+    """Delete this application's folders in the shared folder whose names begin with ``name``, once nothing reads them."""
+    home = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}")
+    fs = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(home) if fs.exists(home) else []:
+        if status.getPath().getName().startswith(name):
+            fs.delete(status.getPath(), True)
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Give costly per-row work all cores when a small file has only few splits.
+    """Deal the rows of a scan out evenly for costly work per row.
 
-    A large table has more splits than cores and is returned as it is, without
-    a shuffle. ``scan`` must be a plain scan or projection.
+    The rebalance hint leaves the number of partitions to AQE, which follows the
+    size of the data; the plan is the same for every size.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.hint("rebalance")

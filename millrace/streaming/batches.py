@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.session import fresh_path
-
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -39,10 +37,13 @@ def read_stream(spark: SparkSession, path: str, schema, max_files: int | None =
     return reader.load(path)
 
 
-def run(stream: DataFrame, on_batch, checkpoint: str | None = None, every: str | None = None) -> StreamingQuery:
-    """Start ``on_batch(df, batch_id)``: on a timer (``every='1 minute'``), or once over what is there."""
-    place = checkpoint or fresh_path(stream.sparkSession, "stream-checkpoint")
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", place)
+def run(stream: DataFrame, on_batch, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Start ``on_batch(df, batch_id)``: on a timer (``every='1 minute'``), or once over what is there.
+
+    ``checkpoint`` must be the same folder when the application starts again;
+    otherwise everything would be read and counted a second time.
+    """
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if every:
         return writer.trigger(processingTime=every).start()
     return writer.trigger(availableNow=True).start()

@@ -1,4 +1,4 @@
-"""Message queues: produce, receive, validate, fan out, dead letters, lifecycle.
+"""Message queues: produce, receive, validate, fan out, dead letters.
 
 A queue is a stream (or table) of messages ``conversation_handle,
 message_type_name, message_body, service_contract_name, queuing_order,
@@ -104,19 +104,3 @@ def replay(dead: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
 def quarantined(dead: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     return dead.where(F.col("attempts") >= max_attempts)
 
-
-# The steps of a conversation, in order.
-STEPS = ["started", "conversing", "ended_by_target", "closed"]
-
-
-def conversation_steps(events: DataFrame, handle: str, step: str) -> DataFrame:
-    """Furthest step per conversation. A maximum merges across batches, so no stream state is kept."""
-    place = F.array_position(F.array(*[F.lit(s) for s in STEPS]), F.col(step))
-    furthest = events.groupBy(handle).agg(F.max(place).cast("int").alias("place"))
-    return furthest
-
-
-def step_names(furthest: DataFrame, handle: str) -> DataFrame:
-    """Merge the batches of ``conversation_steps`` and name the step."""
-    merged = furthest.groupBy(handle).agg(F.max("place").alias("place"))
-    return merged.select(handle, F.get(F.array(*[F.lit(s) for s in STEPS]), F.col("place") - 1).alias("step"))

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import dates
+from millrace.operators import ordered
 from millrace.plans import alerts
 from millrace.streaming import batches
 
@@ -27,44 +26,58 @@ def snapshot_batch(path: str, created: str, amount: str):
     return on_batch
 
 
-def live_deltas(stream: DataFrame, keys: list[str], created: str, reset: str, counter: str) -> DataFrame:
-    """Difference of a growing counter to the row before of the same key, as rows arrive.
+class LiveDeltas:
+    """Differences of a growing counter to the row before of its key, as rows arrive.
 
-    ``lag`` is not available on streams, so the last counter per key is kept as
-    state. A changed ``reset`` value starts over with a NULL difference. Rows of
-    a key must arrive in time order across batches; inside a batch they are
-    sorted here, and the batch size bounds what one key can bring.
-    ``created`` must be a zoned timestamp.
+    Rows hold the key columns, ``created``, ``stats_reset`` and the counter; a
+    key has one row at a time. A changed ``stats_reset`` starts over with NULL,
+    as does a NULL counter; counters are subtracted as integers. Each batch
+    joins the last row per key of the batch before and writes its own version of
+    them, so a replayed batch starts from the same state. Rows that are not
+    later than that state are set aside, and ``read`` works out their keys anew:
+    the result does not depend on the order of arrival.
     """
-    key_fields = [f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys]
-    output = ", ".join([*key_fields, "created timestamp", "delta bigint", "seconds double"])
-
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values(created, kind="stable")
-        counters, resets, times = rows[counter], rows[reset], rows[created]
-        previous, before, epoch = counters.shift(), times.shift(), resets.shift()
-        if state.exists:
-            last_counter, last_time, last_reset = state.get
-            first = rows.index[0]
-            previous.iloc[0] = last_counter
-            before.iloc[0] = pd.Timestamp(last_time, unit="us")
-            epoch.iloc[0] = pd.Timestamp(last_reset, unit="us")
-        same = (epoch == resets).to_numpy()
-        delta = (counters - previous).where(same)
-        seconds = ((times - before).dt.total_seconds()).where(same)
-        state.update((
-            int(counters.iloc[-1]), int(times.iloc[-1].value // 1000), int(resets.iloc[-1].value // 1000)
-        ))
-        out = pd.DataFrame({k: key[i] for i, k in enumerate(keys)}, index=range(len(rows)))
-        out["created"] = times.to_numpy()
-        out["delta"] = delta.astype("Int64").to_numpy(dtype=object, na_value=None)
-        out["seconds"] = seconds.to_numpy()
-        yield out
-
-    narrow = stream.select(*keys, created, reset, counter)
-    return narrow.groupBy(*keys).applyInPandasWithState(
-        step, output, "last_counter bigint, last_time bigint, last_reset bigint", "append", "NoTimeout"
-    )
+
+    def __init__(self, spark: SparkSession, root: str, key_schema: str, counter: str):
+        self.spark, self.root, self.counter = spark, root.rstrip("/"), counter
+        self.keys = [field.split()[0] for field in key_schema.split(", ")]
+        self.schema = f"{key_schema}, created timestamp_ntz, stats_reset timestamp_ntz, {counter} bigint"
+        self.columns = [*self.keys, "created", "stats_reset", counter]
+
+    def _version(self, name: str, batch: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{name}/batch_id={batch}")
+
+    def _deltas(self, rows: DataFrame) -> DataFrame:
+        stamped = rows.withColumn("_at", F.col("created"))
+        lagged = ordered.with_previous(stamped, self.keys, "created", ["_at", "stats_reset", self.counter])
+        same = F.col("prev_stats_reset") == F.col("stats_reset")
+        seconds = dates.epoch_seconds_between(F.col("created"), F.col("prev__at"))
+        return lagged.withColumns({
+            "delta": F.when(same, F.col(self.counter) - F.col(f"prev_{self.counter}")), "seconds": F.when(same, seconds)})
+
+    def on_batch(self, df: DataFrame, batch_id: int) -> None:
+        rows = df.select(*self.columns)
+        before = [b for b in batches.batch_ids(self.spark, f"{self.root}/state") if b < batch_id]
+        state = self._version("state", before[-1]) if before else rows.limit(0)
+        met = rows.join(state.select(*self.keys, F.col("created").alias("_last")), self.keys, "left")
+        on_time = met.where("_last IS NULL OR created > _last").select(*self.columns)
+        batches.write_batch(met.where("created <= _last").select(*self.columns), f"{self.root}/late", batch_id)
+        ordered_rows = on_time.withColumn("_new", F.lit(True)).unionByName(state.withColumn("_new", F.lit(False)))
+        fresh = self._deltas(ordered_rows).where("_new").select(*self.columns, "delta", "seconds")
+        batches.write_batch(fresh, f"{self.root}/deltas", batch_id)
+        latest = ordered_rows.groupBy(*self.keys).agg(F.max_by(F.struct("created", "stats_reset", self.counter), "created").alias("l"))
+        batches.write_batch(latest.select(*self.keys, "l.*"), f"{self.root}/state", batch_id)
+
+    def read(self) -> DataFrame:
+        """All rows so far with ``delta`` and ``seconds``."""
+        out = [*self.columns, "delta", "seconds"]
+        timely = batches.read_batches(self.spark, f"{self.root}/deltas", f"{self.schema}, delta bigint, seconds double").select(*out)
+        late = batches.read_batches(self.spark, f"{self.root}/late", self.schema).select(*self.columns)
+        if late.isEmpty():
+            return timely
+        keys = late.select(*self.keys).distinct()
+        again = timely.select(*self.columns).join(keys, self.keys, "left_semi").unionByName(late)
+        return timely.join(keys, self.keys, "left_anti").unionByName(self._deltas(again).select(*out))
 
 
 class AlertJob:

@@ -255,12 +255,6 @@ def sample_bulk_portable(spark, d):
     return sampledata.bulk_rows(spread_table(spark, d, "lineitem", *_BULK_KEYS), _BULK_KEYS, seed=3, portable=True)
 
 
-@query("sample_bulk")
-def sample_bulk(spark, d):
-    """Load-test rows, one per line item."""
-    return sampledata.bulk_rows(spread_table(spark, d, "lineitem", *_BULK_KEYS), _BULK_KEYS, seed=3)
-
-
 def _grid_u(*keys):
     return _U.format(keys=", ".join(["'1'", "time", "device_id", *keys]))
 

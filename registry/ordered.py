@@ -19,7 +19,7 @@ def islands_sum(spark, d):
     is_error = F.col("event_type") == "error"
     value = F.when(~is_error, F.col("value").cast("decimal(12,2)"))
     rows = table(spark, d, "events").select("event_id", "event_type", value.alias("calories"))
-    sums = ordered.island_sums(rows, "event_id", is_error, "calories", chunk=F.floor(F.col("event_id") / 100_000))
+    sums = ordered.island_sums(rows, "event_id", is_error, "calories")
     return sums.select("island", F.col("total").cast("double").alias("total"))
 
 
@@ -204,6 +204,5 @@ FROM events
 """)
 def running_totals(spark, d):
     rows = table(spark, d, "events").select("event_id", "user_id", "value")
-    chunk = F.floor(F.col("event_id") / 100_000)
-    out = ordered.running_sum(rows, ["user_id"], ["event_id"], F.col("value").cast("decimal(12,2)"), "so_far", chunk)
+    out = ordered.running_sum(rows, ["user_id"], ["event_id"], F.col("value").cast("decimal(12,2)"), "so_far")
     return out.select("event_id", F.col("so_far").cast("double").alias("so_far"))

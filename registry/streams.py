@@ -18,7 +18,7 @@ def _stream(spark, d, name, max_files=None):
 
 
 def _drain(stream, on_batch):
-    batches.run(stream, on_batch).awaitTermination()
+    batches.run(stream, on_batch, fresh_path(stream.sparkSession, "checkpoint")).awaitTermination()
 
 
 def _order_stream(spark, d):
@@ -102,33 +102,14 @@ SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created, event_id - lag(
 FROM events WINDOW w AS (PARTITION BY user_id, date_trunc('week', ts) ORDER BY ts)
 """)
 def stream_deltas(spark, d):
-    """The event number as a growing counter per user, restarting every week."""
-    path = fresh_path(spark, "deltas")
-    # few files per batch: the rows of one user in a batch are sorted in one task
-    events = _stream(spark, d, "events", max_files=8).select(
-        "user_id", F.col("ts").cast("timestamp").alias("created"), "event_id",
-        F.date_trunc("week", F.col("ts").cast("timestamp")).alias("stats_reset"),
-    )
-    deltas = snapshots.live_deltas(events, ["user_id"], "created", "stats_reset", "event_id")
-    writer = deltas.writeStream.format("parquet").option("checkpointLocation", fresh_path(spark, "stream-checkpoint"))
-    writer.trigger(availableNow=True).start(path).awaitTermination()
-    rows = spark.read.parquet(path)
-    shown = rows.select("user_id", "created", "delta", F.round("seconds", 6).alias("seconds"))
-    return _clock(shown, "created")
-
-
-@query("stream_lifecycle", """
-SELECT conv_id, CASE max(CASE WHEN turn = 0 THEN 1 WHEN role = 'user' THEN 2 WHEN turn < 5 THEN 3 ELSE 4 END)
-       WHEN 1 THEN 'started' WHEN 2 THEN 'conversing' WHEN 3 THEN 'ended_by_target' ELSE 'closed' END AS step
-FROM conversations GROUP BY 1
-""")
-def stream_lifecycle(spark, d):
-    path = fresh_path(spark, "steps")
-    step = (F.when(F.col("turn") == 0, "started").when(F.col("role") == "user", "conversing")
-            .when(F.col("turn") < 5, "ended_by_target").otherwise("closed"))
-    events = _stream(spark, d, "conversations").select("conv_id", step.alias("kind"))
-    _drain(events, lambda df, n: batches.write_batch(queue.conversation_steps(df, "conv_id", "kind"), path, n))
-    return queue.step_names(batches.read_batches(spark, path, "conv_id bigint, place int"), "conv_id")
+    """The event number as a growing counter per user, restarting every week; the rows arrive in three files."""
+    files, root = fresh_path(spark, "counters"), fresh_path(spark, "deltas")
+    rows = table(spark, d, "events").select(
+        "user_id", F.col("ts").alias("created"), "event_id", F.date_trunc("week", "ts").cast("timestamp_ntz").alias("stats_reset"))
+    rows.repartitionByRange(3, "created").write.parquet(files)
+    job = snapshots.LiveDeltas(spark, root, "user_id bigint", "event_id")
+    batches.run(batches.read_stream(spark, files, rows.schema, max_files=1), job.on_batch, fresh_path(spark, "checkpoint")).awaitTermination()
+    return _clock(job.read().select("user_id", "created", "delta", F.round("seconds", 6).alias("seconds")), "created")
 
 
 @query("stream_alerts", """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from millrace.functions.arrays import ordered_array_agg, ordered_text_agg
 from millrace.plans import measurements as ms
 from millrace.sources import files, sinks
 from millrace.session import fresh_path
@@ -129,8 +130,8 @@ def basic_aggregates(spark, d):
         F.round(F.sum(F.col("l_extendedprice").cast("decimal(14,2)")).cast("double") / F.count("*"), 4).alias("mean_price"),
         F.min("l_extendedprice").alias("low_price"), F.max("l_extendedprice").alias("high_price"),
     ]
-    total = rows.agg(*figures).select(F.lit("all").alias("l_returnflag"), "*")
-    return rows.groupBy("l_returnflag").agg(*figures).unionByName(total)
+    whole = rows.groupingSets([[F.col("l_returnflag")], []], "l_returnflag").agg(F.grouping("l_returnflag").alias("_all"), *figures)
+    return whole.withColumn("l_returnflag", F.when(F.col("_all") == 1, "all").otherwise(F.col("l_returnflag"))).drop("_all")
 
 
 @query("pivot_counts", """
@@ -150,11 +151,14 @@ def pivot_counts(spark, d):
 
 
 @query("joined_text", """
-SELECT n_regionkey, string_agg(n_name, ', ' ORDER BY n_name) AS nations FROM nation GROUP BY n_regionkey
+SELECT l_orderkey, string_agg(CASE WHEN l_linenumber % 3 > 0 THEN l_returnflag END, ', ' ORDER BY l_linenumber, l_returnflag) AS flags
+FROM lineitem GROUP BY l_orderkey
 """)
 def joined_text(spark, d):
-    names = F.array_join(F.array_sort(F.collect_set("n_name")), ", ")
-    return table(spark, d, "nation").groupBy("n_regionkey").agg(names.alias("nations"))
+    """Flags of the lines of an order, repeated ones too; missing ones are left out."""
+    flag = F.when(F.col("l_linenumber") % 3 > 0, F.col("l_returnflag"))
+    rows = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag")
+    return rows.groupBy("l_orderkey").agg(ordered_text_agg(flag, ", ", ["l_linenumber", "l_returnflag"]).alias("flags"))
 
 
 @query("distinct_keys", "SELECT DISTINCT l_suppkey, l_returnflag FROM lineitem")
@@ -176,19 +180,25 @@ def breakdown_sets(spark, d):
 
 
 @query("ordered_array_agg", """
-SELECT p_brand, array_to_string(list_sort(list(DISTINCT p_size)), ',') AS sizes FROM part GROUP BY p_brand
+SELECT l_orderkey, array_to_string(list(coalesce(CAST(CASE WHEN l_linenumber % 3 > 0 THEN CAST(l_quantity AS INTEGER) END AS VARCHAR), 'NULL')
+       ORDER BY l_linenumber, l_quantity), ',') AS quantities
+FROM lineitem GROUP BY l_orderkey
 """)
-def ordered_array_agg(spark, d):
-    sizes = F.array_sort(F.collect_list("p_size"))
-    few = table(spark, d, "part").select("p_brand", "p_size").distinct()  # at most one row per size
-    return few.groupBy("p_brand").agg(F.array_join(sizes.cast("array<string>"), ",").alias("sizes"))
+def ordered_array_agg_query(spark, d):
+    """Quantities of the lines of an order in line order, with repeated and NULL ones."""
+    quantity = F.when(F.col("l_linenumber") % 3 > 0, F.col("l_quantity").cast("int"))
+    rows = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
+    listed = rows.groupBy("l_orderkey").agg(ordered_array_agg(quantity, ["l_linenumber", "l_quantity"]).alias("q"))
+    return listed.select("l_orderkey", F.array_join("q", ",", "NULL").alias("quantities"))
 
 
 @query("filtered_array_agg", """
-SELECT p_type, array_to_string(list_sort(list(DISTINCT p_name) FILTER (WHERE p_name LIKE '%o%')), ',') AS names
-FROM part GROUP BY p_type
+SELECT l_orderkey, array_to_string(list(CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) ORDER BY l_quantity DESC) FILTER (WHERE l_linestatus = 'F'), ',') AS finished
+FROM lineitem GROUP BY l_orderkey
 """)
 def filtered_array_agg(spark, d):
-    few = table(spark, d, "part").select("p_type", "p_name").distinct()  # bounded by the name list
-    names = F.array_sort(F.collect_list(F.when(F.col("p_name").like("%o%"), F.col("p_name"))))
-    return few.groupBy("p_type").agg(F.array_join(names, ",").alias("names"))
+    """Quantities of the finished lines of an order, largest first; NULL where no line is finished."""
+    rows = table(spark, d, "lineitem", "l_orderkey", "l_linestatus", "l_quantity").withColumn("down", -F.col("l_quantity"))
+    listed = rows.groupBy("l_orderkey").agg(
+        ordered_array_agg(F.col("l_quantity").cast("int"), ["down"], F.col("l_linestatus") == "F").alias("q"))
+    return listed.select("l_orderkey", F.array_join("q", ",").alias("finished"))

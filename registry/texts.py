@@ -52,16 +52,12 @@ _HEX, _TILES = "0123456789abcdef", "🟩🟩🟩🟩🟨🟨🟨🟨⬜⬜⬜⬜
 
 
 @query("wordle_score", f"""
-WITH posts AS (SELECT o_orderkey, translate(md5(CAST(o_orderkey AS VARCHAR)), '{_HEX}', '{_TILES}') AS t FROM orders),
-posted AS (SELECT o_orderkey, 'Game ' || o_orderkey || ' 3/6*' || chr(10) || substr(t, 1, 5) || chr(10) || substr(t, 6, 5)
-                  || chr(10) || substr(t, 11, 5) AS body FROM posts),
-found AS (SELECT o_orderkey, regexp_extract_all(body, '{tx.GUESS_PATTERN}', 1) AS guesses FROM posted),
-guesses AS (SELECT o_orderkey, n AS guess_num, guesses[n] AS guess
-            FROM (SELECT *, unnest(generate_series(1, len(guesses))) AS n FROM found)),
-letters AS (SELECT o_orderkey, guess_num, unnest(regexp_extract_all(guess, '{tx.LETTER_PATTERN}', 1)) AS c1 FROM guesses)
-SELECT o_orderkey, guess_num, count(*) FILTER (WHERE c1 = '🟩') AS c_correct,
-       count(*) FILTER (WHERE c1 = '🟨') AS c_partial, count(*) FILTER (WHERE c1 IN ('⬛', '⬜')) AS c_incorrect
-FROM letters GROUP BY 1, 2
+WITH tiles AS (SELECT o_orderkey, translate(md5(CAST(o_orderkey AS VARCHAR)), '{_HEX}', '{_TILES}') AS t FROM orders),
+lines AS (SELECT o_orderkey, k AS guess_num, substr(t, 5 * k - 4, 5) AS g FROM tiles, range(1, 4) r(k))
+SELECT o_orderkey, guess_num, length(g) - length(replace(g, '🟩', '')) AS c_correct,
+       length(g) - length(replace(g, '🟨', '')) AS c_partial,
+       length(g) - length(replace(replace(g, '⬛', ''), '⬜', '')) AS c_incorrect
+FROM lines
 """)
 def wordle_score(spark, d):
     tiles = F.translate(F.md5(F.col("o_orderkey").cast("string")), _HEX, _TILES)
@@ -209,12 +205,14 @@ def json_each_props(spark, d):
 
 
 @query("json_object_agg", """
-SELECT p_brand, '{' || string_agg('"' || p_type || '":' || n, ',' ORDER BY p_type) || '}' AS counts
-FROM (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2) GROUP BY p_brand
+SELECT l_orderkey, '{' || string_agg('"' || l_returnflag || '":' || coalesce(CAST(v AS VARCHAR), 'null'), ',' ORDER BY l_returnflag, v NULLS FIRST) || '}' AS flags
+FROM (SELECT l_orderkey, l_returnflag, CASE WHEN l_linenumber % 3 > 0 THEN l_linenumber END AS v FROM lineitem) GROUP BY l_orderkey
 """)
 def json_object_agg(spark, d):
-    counted = table(spark, d, "part").groupBy("p_brand", "p_type").agg(F.count("*").alias("n"))
-    return counted.groupBy("p_brand").agg(docs.json_object_agg("p_type", "n").alias("counts"))
+    """An object for each order, with a member for every line: flags repeat as keys."""
+    rows = table(spark, d, "lineitem", "l_orderkey", "l_returnflag", "l_linenumber")
+    rows = rows.withColumn("v", F.when(F.col("l_linenumber") % 3 > 0, F.col("l_linenumber")))
+    return rows.groupBy("l_orderkey").agg(docs.json_object_agg("l_returnflag", "v").alias("flags"))
 
 
 @query("json_build", """

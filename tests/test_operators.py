@@ -32,54 +32,30 @@ def test_global_ordinal_is_dense_and_ordered(spark):
 
 
 @FEW
-@given(st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60),
-       st.integers(1, 20))
-def test_chunked_windows_equal_plain_windows(spark, as_rows, items, width):
+@given(st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60), st.booleans())
+def test_chunked_windows_equal_plain_windows(spark, items, keyed):
     data = [(k, i, v) for i, (k, v) in enumerate(items)]
     df = spark.createDataFrame(data, "k int, i bigint, v int")
-    chunk = F.floor(F.col("i") / width)
-    lag = {(r["k"], r["i"]): r["prev_v"] for r in ordered.with_previous(df, ["k"], "i", ["v"], chunk).collect()}
-    sums = {(r["k"], r["i"]): r["s"] for r in ordered.running_sum(df, ["k"], ["i"], F.col("v"), "s", chunk).collect()}
-    assert as_rows(ordered.running_sum(df, ["k"], ["i"], F.col("v"), "s"), "k", "i", "s") == sorted(
-        ((k, i, s) for (k, i), s in sums.items()), key=repr)
-    tops = {(r["k"], r["i"]): r["m"] for r in ordered.running_max(df, ["k"], ["i"], "v", "m", chunk).collect()}
+    keys = ["k"] if keyed else []
+    lag = {r["i"]: r["prev_v"] for r in ordered.with_previous(df, keys, "i", ["v"]).collect()}
+    sums = {r["i"]: r["s"] for r in ordered.running_sum(df, keys, ["i"], F.col("v"), "s").collect()}
+    tops = {r["i"]: r["m"] for r in ordered.running_max(df, keys, ["i"], "v", "m").collect()}
     assert len(lag) == len(sums) == len(tops) == len(data)
     for k, i, _ in data:
-        past = [v for kk, ii, v in data if kk == k and ii <= i]
+        past = [v for kk, ii, v in data if (kk == k or not keyed) and ii <= i]
         known = [v for v in past if v is not None]
-        assert lag[k, i] == (past[-2] if len(past) > 1 else None)
-        assert sums[k, i] == (sum(known) if known else None)
-        assert tops[k, i] == (max(known) if known else None)
+        assert lag[i] == (past[-2] if len(past) > 1 else None)
+        assert sums[i] == (sum(known) if known else None)
+        assert tops[i] == (max(known) if known else None)
 
 
-def test_hot_key_is_split_over_chunks(spark, plan_of):
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_hot_key_is_split_over_chunks(spark, plan_of, keys):
     df = spark.range(1000).select(F.lit(1).alias("k"), "id")
-    out = ordered.running_sum(df, ["k"], ["id"], F.col("id"), "s", F.floor(F.col("id") / 100))
-    assert "_chunk" in [line for line in plan_of(out).splitlines() if "hashpartitioning" in line.lower()][0]
-
-
-@pytest.mark.parametrize("kind", ["bigint", "double", "timestamp_ntz", "date", "string"])
-def test_chunks_are_measured(spark, kind):
-    """Small tables stay whole, even ones are cut, and a burst at one time falls back to the pinned sort."""
-    base = spark.range(400).select(F.lit(1).alias("k"), "id")
-    start = F.lit("2024-01-01").cast("date")
-    order = {"bigint": F.col("id") * 10, "double": F.col("id") / 3,
-             "timestamp_ntz": F.timestamp_add("SECOND", F.col("id"), start.cast("timestamp_ntz")),
-             "date": F.date_add(start, F.col("id").cast("int")), "string": F.lpad(F.col("id").cast("string"), 4, "0")}[kind]
-    df = base.withColumn("o", order)
-    assert "_chunk" not in ordered.chunked(df, ["k"], ["o"]).columns
-    out = ordered.running_sum(df, ["k"], ["o"], F.col("id"), "s", target_rows=50)
-    assert {r["id"]: r["s"] for r in out.collect()} == {i: i * (i + 1) // 2 for i in range(400)}
-
-
-def test_burst_is_sorted_and_pinned(spark):
-    # 1 of 400 rows lies far away, so even pieces would leave the rest in one
-    df = spark.range(400).select(F.lit(1).alias("k"), F.when(F.col("id") == 399, 10**9).otherwise(F.col("id")).alias("o"))
-    cut = ordered.chunked(df, ["k"], ["o"], target_rows=40)
-    assert cut.count() == 400 and len(cut.inputFiles()) >= 1
-    lag = ordered.with_previous(df, ["k"], "o", ["o"], target_rows=40)
-    assert {r["o"]: r["prev_o"] for r in lag.collect()} == {o: (p if o else None) for o, p in zip(
-        [*range(399), 10**9], [None, *range(399)])}
+    assert ordered.chunked(df, keys, ["id"]).select("_chunk").distinct().count() > 1
+    out = ordered.running_sum(df, keys, ["id"], F.col("id"), "s")
+    assert "SinglePartition" not in plan_of(out)
+    assert {r["id"]: r["s"] for r in out.collect()} == {i: i * (i + 1) // 2 for i in range(1000)}
 
 
 def visible_by_force(grid):
@@ -105,7 +81,7 @@ def test_grid_visibility_equals_brute_force(spark, tile):
 def test_island_sums(spark, as_rows):
     data = [(1, "1000"), (2, "2000"), (3, None), (4, "500")]
     df = spark.createDataFrame(data, "id bigint, calories string").withColumn("c", F.col("calories").cast("bigint"))
-    out = ordered.island_sums(df, "id", F.col("calories").isNull(), "c", F.floor(F.col("id") / 2))
+    out = ordered.island_sums(df, "id", F.col("calories").isNull(), "c")
     assert as_rows(out, "total") == [(3000,), (500,)]
 
 
@@ -119,10 +95,16 @@ def test_pages(spark):
 def test_asof_latest(spark, as_rows):
     left = spark.createDataFrame([("a", 5, "x"), ("a", 1, "y"), ("b", 9, "z")], "k string, t int, id string")
     right = spark.createDataFrame([("a", 2, 20), ("a", 5, 50), ("a", 7, 70)], "k string, t int, v int")
-    out = ordered.asof_latest(left, right, ["k"], "t", ["v"], F.floor(F.col("t") / 3))
+    out = ordered.asof_latest(left, right, ["k"], "t", ["v"])
     assert as_rows(out, "id", "last_t", "last_v") == [("x", 5, 50), ("y", None, None), ("z", None, None)]
 
 
+def test_deep_chain_has_no_limit(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("name"), F.when(F.col("id") > 0, (F.col("id") - 1).cast("string")).alias("parent"))
+    deepest = hierarchy.hierarchy_paths(df, "name", "parent").where("name = '2999'").first()["path"]
+    assert deepest == "".join(f"/{k}" for k in range(2999))
+
+
 FILES = [
     ("Folder_A", None, None), ("Folder_A_1", "Folder_A", None), ("Folder_B", "Folder_A", None),
     ("Folder_A_2", "Folder_A", None), ("Folder_B_1", "Folder_B", None), ("File_A1.txt", "Folder_A", 1234),
@@ -147,7 +129,7 @@ def test_hierarchy_with_cycle(spark, as_rows):
     walked = hierarchy.walk_hierarchy(df, "name", "parent")
     assert as_rows(walked, "name", "parent") == sorted([("r", None), ("a", "r"), ("b", "a"), ("a", "b")], key=repr)
     with pytest.raises(RecursionError):
-        hierarchy.hierarchy_paths(df, "name", "parent", max_depth=4)
+        hierarchy.hierarchy_paths(df, "name", "parent")
 
 
 TRANSCRIPT = """$ cd /
@@ -175,11 +157,10 @@ $ ls
 7214296 k""".splitlines()
 
 
-@pytest.mark.parametrize("chunk_rows", [3, 1000])
-def test_transcript_sizes(spark, chunk_rows):
+def test_transcript_sizes(spark):
     data = [(s, i, line) for s in ("s1", "s2") for i, line in enumerate(TRANSCRIPT)]
     lines = spark.createDataFrame(data, "session string, id bigint, line string")
-    direct = hierarchy.replay_transcripts(lines, "session", "id", "line", chunk_rows=chunk_rows, pin_levels=2)
+    direct = hierarchy.replay_transcripts(lines, "session", "id", "line")
     totals = hierarchy.directory_totals(direct, ["session"])
     sizes = {(r["session"], "/".join(r["dir"])): r["size"] for r in totals.collect()}
     assert sizes["s1", "//a"] == 94853 and sizes["s1", "//a/e"] == 584 and sizes["s2", "/"] == 48381165
@@ -218,7 +199,7 @@ def test_random_transcripts_equal_brute_force(spark):
         want.update({(session, p): v for p, v in replay_by_force(lines).items()})
         data += [(session, i, line) for i, line in enumerate(lines)]
     df = spark.createDataFrame(data, "session int, id bigint, line string")
-    totals = hierarchy.directory_totals(hierarchy.replay_transcripts(df, "session", "id", "line", chunk_rows=17), ["session"])
+    totals = hierarchy.directory_totals(hierarchy.replay_transcripts(df, "session", "id", "line"), ["session"])
     got = {(r["session"], tuple(r["dir"])): r["size"] or 0 for r in totals.collect()}
     assert got == want
 

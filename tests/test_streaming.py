@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, docs
@@ -77,7 +79,7 @@ def test_rollup_stream_over_bounded_batches(spark):
         messages(spark, [body]).coalesce(1).write.mode("append").parquet(path)
     for mode in ("add", "recompute"):
         job = OrderRollup(spark, fresh_path(spark, "rollup"), lambda: shop(spark), mode)
-        query = batches.run(stream_of(spark, path, max_files=1), job.on_batch)
+        query = batches.run(stream_of(spark, path, max_files=1), job.on_batch, fresh_path(spark, "cp"))
         query.awaitTermination()
         assert figures(job.read()) == {1: (7, 34.1), 2: (1, 5.5)}
         assert job.errors().count() == 1
@@ -109,24 +111,23 @@ def test_recompute_mode_follows_updates(spark):
     assert figures(job.read())[1][0] == 2006
 
 
-def test_live_deltas_across_batches(spark):
-    path, out = fresh_path(spark, "counters"), fresh_path(spark, "deltas")
-    t0, data = dt.datetime(2024, 1, 1), []
-    for i in range(12):
-        for key in (1, 2):
-            data.append((key, t0 + dt.timedelta(minutes=i), t0 if i < 7 else t0 + dt.timedelta(minutes=7), i * i * key))
-    schema = "k bigint, created timestamp, reset timestamp, c bigint"
-    for part in range(3):  # in time order, eight rows a file
-        spark.createDataFrame(data[part * 8:(part + 1) * 8], schema).coalesce(1).write.mode("append").parquet(path)
-    deltas = snapshots.live_deltas(stream_of(spark, path, schema, max_files=1), ["k"], "created", "reset", "c")
-    writer = deltas.writeStream.format("parquet").option("checkpointLocation", fresh_path(spark, "cp"))
-    writer.trigger(availableNow=True).start(out).awaitTermination()
-    got = {(r["k"], r["created"]): (r["delta"], r["seconds"]) for r in spark.read.parquet(out).collect()}
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1], [1, 1, 2, 0]])
+def test_live_deltas_in_any_order(spark, order):
+    """Late files, a replayed batch, counters beyond 2**53 and a NULL counter."""
+    t0, high, parts = dt.datetime(2024, 1, 1), 2**60, [[], [], []]
+    value = {(k, i): None if (k, i) == (2, 5) else high + i * i * k for k in (1, 2) for i in range(12)}
+    for (k, i), v in value.items():
+        parts[i // 4].append((k, t0 + dt.timedelta(minutes=i), t0 if i < 7 else t0 + dt.timedelta(minutes=7), v))
+    schema = "k bigint, created timestamp_ntz, stats_reset timestamp_ntz, c bigint"
+    job = snapshots.LiveDeltas(spark, fresh_path(spark, "deltas"), "k bigint", "c")
+    for n, part in enumerate(order):
+        job.on_batch(spark.createDataFrame(parts[part], schema), n - (len(order) > 3 and n > 0))
+    got = {(r["k"], r["created"]): (r["delta"], r["seconds"]) for r in job.read().collect()}
     assert len(got) == 24
-    for key, at, reset, value in data:
-        i = int((at - t0).total_seconds() // 60)
-        want = (None, None) if i in (0, 7) else ((i * i - (i - 1) ** 2) * key, 60.0)
-        assert got[key, at] == want, (key, i)
+    for k, i in value:
+        now, past = value[k, i], value.get((k, i - 1))
+        want = (None, None) if i in (0, 7) else (None if None in (now, past) else now - past, 60.0)
+        assert got[k, t0 + dt.timedelta(minutes=i)] == want, (k, i)
 
 
 def test_snapshot_rows_per_batch(spark):
@@ -135,18 +136,11 @@ def test_snapshot_rows_per_batch(spark):
         rows = spark.range(n).select(dates.as_ntz("2024-01-01 00:00:00").alias("ts"), F.col("id").cast("double").alias("v"))
         rows.coalesce(1).write.mode("append").parquet(path)
     stream = stream_of(spark, path, "ts timestamp_ntz, v double", max_files=1)
-    batches.run(stream, snapshots.snapshot_batch(out, "ts", "v")).awaitTermination()
+    batches.run(stream, snapshots.snapshot_batch(out, "ts", "v"), fresh_path(spark, "cp")).awaitTermination()
     rows = batches.read_batches(spark, out, snapshots.SNAPSHOT_SCHEMA)
     assert sorted(r["calls"] for r in rows.collect()) == [3, 5]
 
 
-def test_conversation_steps_merge(spark, as_rows):
-    schema = "h string, step string"
-    a = queue.conversation_steps(spark.createDataFrame([("x", "started"), ("y", "ended_by_target")], schema), "h", "step")
-    b = queue.conversation_steps(spark.createDataFrame([("x", "conversing"), ("y", "closed")], schema), "h", "step")
-    assert as_rows(queue.step_names(a.unionByName(b), "h")) == [("x", "conversing"), ("y", "closed")]
-
-
 def test_alert_job_versions(spark, as_rows):
     now = dt.datetime(2024, 1, 1, 12)
     schema = "session_id int, login_name string, database_name string, program_name string, start_time timestamp_ntz"
