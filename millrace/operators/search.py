@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
-from millrace.session import pin
+from millrace.session import path_exists, pin
 
 BEST = 3  # fixed value: how many of the rarest trigrams a search uses
 
@@ -25,6 +25,31 @@ def trigram_frequency(index: DataFrame) -> DataFrame:
     return index.groupBy("trigram").agg(F.count("*").alias("cnt"))
 
 
+def add_names(names: DataFrame, id_col: str, name_col: str, root: str, batch: int) -> None:
+    """Add names with new ids to the index stored under ``root``, as load ``batch``; writing a load again replaces it.
+
+    Postings lie sorted by trigram, so a lookup reads few row groups; each load
+    keeps its own counts per trigram.
+    """
+    spark = names.sparkSession
+    rows = names.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).dropDuplicates(["id"])
+    if path_exists(spark, f"{root}/names"):
+        kinds = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
+        known = spark.read.schema(f"{kinds}, batch bigint").parquet(f"{root}/names").where(F.col("batch") != batch)
+        rows = rows.join(known, "id", "left_anti")
+    rows.write.mode("overwrite").parquet(f"{root}/names/batch={batch}")
+    index = trigram_index(spark.read.schema(rows.schema).parquet(f"{root}/names/batch={batch}"), "id", "name", keep_name=True)
+    index.repartitionByRange("trigram").sortWithinPartitions("trigram").write.mode("overwrite").parquet(f"{root}/postings/batch={batch}")
+    trigram_frequency(index).write.mode("overwrite").parquet(f"{root}/frequency/batch={batch}")
+
+
+def stored_index(spark: SparkSession, root: str, id_type: str) -> tuple[DataFrame, DataFrame]:
+    """Postings (trigram, id, name) and frequency (trigram, cnt) of all loads."""
+    postings = spark.read.schema(f"trigram string, id {id_type}, name string").parquet(f"{root}/postings")
+    counts = spark.read.schema("trigram string, cnt bigint").parquet(f"{root}/frequency")
+    return postings, counts.groupBy("trigram").agg(F.sum("cnt").alias("cnt"))
+
+
 def best_trigrams(searches: DataFrame, frequency: DataFrame, query_id: str, text_col: str) -> DataFrame:
     """The rarest known trigrams of each search text, ranked 1..3 (ties by trigram)."""
     wanted = searches.select(query_id, F.explode(tx.ngrams(F.col(text_col))).alias("trigram"))
@@ -69,10 +94,14 @@ def name_search(searches: DataFrame, names: DataFrame, query_id: str, text_col:
     return matching_names(wide, index, query_id).withColumnRenamed("name", name_col)
 
 
-def name_totals(hits: DataFrame, facts: DataFrame, fact_id: str, group: list[str], year: str, amount: str,
+def name_totals(hits: DataFrame, facts: DataFrame, fact_id: str, group: list[str], date: str, amount: str,
                 start_year: int, years: int, top_n: int, query_id: str, name_col: str) -> DataFrame:
-    """Top names per search by summed amount over ``start_year`` up to, not with, the end year."""
-    window = (F.col(year) >= start_year) & (F.col(year) < start_year + years)
+    """Top names per search by summed amount over ``start_year`` up to, not with, the end year.
+
+    The years become bounds of the raw ``date``, which reach the scan.
+    """
+    first, end = (F.lit(f"{y:04d}-01-01").cast(facts.schema[date].dataType) for y in (start_year, start_year + years))
+    window = (F.col(date) >= first) & (F.col(date) < end)
     wanted = facts.where(window).groupBy(F.col(fact_id).alias("id"), *group).agg(F.sum(amount).alias("_part"))
     summed = hits.join(wanted, "id").groupBy(query_id, name_col, *group).agg(F.sum("_part").alias("total"))
     rank = Window.partitionBy(query_id).orderBy(F.desc("total"), name_col, *group)

@@ -10,10 +10,10 @@ from registry import query, spread_table, table
 
 
 @query("islands_sum", """
-WITH inventory AS (
-  SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(value AS DECIMAL(12,2)) END AS calories,
-         count(*) FILTER (WHERE event_type = 'error') OVER (ORDER BY event_id) AS island FROM events)
-SELECT CAST(island AS BIGINT) AS island, CAST(sum(calories) AS DOUBLE) AS total FROM inventory GROUP BY island
+WITH starts AS (SELECT event_id AS lo, row_number() OVER (ORDER BY event_id) AS island FROM events WHERE event_type = 'error'
+                UNION ALL SELECT min(event_id) - 1, 0 FROM events)
+SELECT CAST(island AS BIGINT) AS island, CAST(sum(CAST(value AS DECIMAL(12,2))) FILTER (WHERE event_type <> 'error') AS DOUBLE) AS total
+FROM events ASOF JOIN starts ON event_id >= lo GROUP BY island
 """)
 def islands_sum(spark, d):
     is_error = F.col("event_type") == "error"
@@ -33,15 +33,12 @@ def _cells(spark, d):
 
 
 @query("grid_visible", f"""
-SELECT x, count(*) AS cells, count(*) FILTER (WHERE visible) AS seen, CAST(sum(y) FILTER (WHERE visible) AS BIGINT) AS seen_y
-FROM (SELECT x, y, tree > coalesce(max(tree) OVER n, -1) OR tree > coalesce(max(tree) OVER s, -1)
-               OR tree > coalesce(max(tree) OVER w, -1) OR tree > coalesce(max(tree) OVER e, -1) AS visible
-      FROM {_CELLS}
-      WINDOW n AS (PARTITION BY x ORDER BY y ASC ROWS UNBOUNDED PRECEDING EXCLUDE CURRENT ROW),
-             s AS (PARTITION BY x ORDER BY y DESC ROWS UNBOUNDED PRECEDING EXCLUDE CURRENT ROW),
-             w AS (PARTITION BY y ORDER BY x ASC ROWS UNBOUNDED PRECEDING EXCLUDE CURRENT ROW),
-             e AS (PARTITION BY y ORDER BY x DESC ROWS UNBOUNDED PRECEDING EXCLUDE CURRENT ROW))
-GROUP BY x
+WITH cells AS {_CELLS},
+by_x AS (SELECT h.x, h.tree, min(c.y) AS near, max(c.y) AS far FROM (SELECT DISTINCT x, tree FROM cells) h JOIN cells c ON c.x = h.x AND c.tree >= h.tree GROUP BY ALL),
+by_y AS (SELECT h.y, h.tree, min(c.x) AS near, max(c.x) AS far FROM (SELECT DISTINCT y, tree FROM cells) h JOIN cells c ON c.y = h.y AND c.tree >= h.tree GROUP BY ALL)
+SELECT c.x, count(*) AS cells, count(*) FILTER (WHERE c.y IN (a.near, a.far) OR c.x IN (b.near, b.far)) AS seen,
+       CAST(sum(c.y) FILTER (WHERE c.y IN (a.near, a.far) OR c.x IN (b.near, b.far)) AS BIGINT) AS seen_y
+FROM cells c JOIN by_x a ON a.x = c.x AND a.tree = c.tree JOIN by_y b ON b.y = c.y AND b.tree = c.tree GROUP BY c.x
 """)
 def grid_visible(spark, d):
     seen = ordered.grid_visibility(_cells(spark, d))
@@ -95,39 +92,27 @@ def _edges(spark, d):
     return out
 
 
-@query("hierarchy_walk", f"""
-WITH RECURSIVE edges AS {_EDGES},
-files AS (SELECT name, parent FROM edges WHERE parent IS NULL
-          UNION SELECT e.name, e.parent FROM edges e JOIN files f ON e.parent = f.name)
-SELECT name, parent FROM files
-""")
+# every name of this tree hangs below a region, by the arithmetic of the customer keys
+@query("hierarchy_walk", f"SELECT DISTINCT name, parent FROM {_EDGES}")
 def hierarchy_walk(spark, d):
     return hierarchy.walk_hierarchy(_edges(spark, d), "name", "parent").select("name", "parent")
 
 
-@query("hierarchy_paths", f"""
-WITH RECURSIVE edges AS {_EDGES},
-files AS (SELECT name, '' AS path FROM edges WHERE parent IS NULL
-          UNION SELECT e.name, f.path || '/' || e.parent FROM edges e JOIN files f ON e.parent = f.name)
-SELECT name, path FROM files
+@query("hierarchy_paths", """
+WITH nations AS (SELECT n_nationkey AS n, '/r' || n_regionkey || '/n' || n_nationkey AS below FROM nation),
+ancestors AS (SELECT c_custkey AS c, k, CAST(floor(c_custkey / pow(3, k)) AS BIGINT) AS a FROM customer, range(1, 40) r(k)
+              WHERE floor(c_custkey / pow(3, k - 1)) >= 10),
+lines AS (SELECT c, arg_max(a, k) AS top, string_agg('/c' || a, '' ORDER BY k DESC) AS names FROM ancestors GROUP BY c)
+SELECT 'r' || r_regionkey AS name, '' AS path FROM region
+UNION ALL SELECT 'n' || n_nationkey, '/r' || n_regionkey FROM nation
+UNION ALL SELECT 's' || s_suppkey, below FROM supplier JOIN nations ON n = s_nationkey
+UNION ALL SELECT 'c' || c_custkey, below FROM customer JOIN nations ON n = c_nationkey WHERE c_custkey < 10
+UNION ALL SELECT 'c' || c, below || names FROM lines JOIN customer ON c_custkey = top JOIN nations ON n = c_nationkey
 """)
 def hierarchy_paths(spark, d):
     return hierarchy.hierarchy_paths(_edges(spark, d), "name", "parent").select("name", "path")
 
 
-# Lines of one transcript per user: each event enters two directories, lists a
-# file in both, and leaves again; the first line of a user enters the root.
-_TRANSCRIPT = """
-(SELECT user_id AS session, event_id * 10 + j AS id,
-        CASE j WHEN 1 THEN '$ cd ' || event_type WHEN 2 THEN '$ ls'
-               WHEN 3 THEN CAST(value * 100 AS INTEGER) || ' f' || event_id || '.txt' WHEN 4 THEN 'dir ' || k
-               WHEN 5 THEN '$ cd d' || k WHEN 6 THEN (event_id % 1000) || ' g.lst' WHEN 7 THEN '$ cd ..' WHEN 8 THEN '$ cd ..' END AS line
- FROM (SELECT event_id, user_id, event_type, value, json_extract_string(props, '$.k') AS k,
-              unnest(generate_series(1, 8)) AS j FROM events)
- UNION ALL SELECT user_id, -1, '$ cd /' FROM events GROUP BY user_id)
-"""
-
-
 def _transcripts(spark, d):
     k = F.get_json_object("props", "$.k")
     body = F.array(
@@ -143,32 +128,27 @@ def _transcripts(spark, d):
     return lines.unionByName(heads.select("session", F.lit(-1).cast("bigint").alias("id"), F.lit("$ cd /").alias("line")))
 
 
-_WALK = rf"""
-WITH RECURSIVE lines AS (SELECT session, line, row_number() OVER (PARTITION BY session ORDER BY id) AS id FROM {_TRANSCRIPT}),
-commands AS (
-  SELECT session, id, CASE WHEN regexp_matches(line, '\$ cd (.*)') THEN regexp_extract(line, '\$ cd (.*)', 1) END AS dir,
-         CAST(nullif(regexp_extract(line, '([\d]+) (.*)', 1), '') AS BIGINT) AS fsize FROM lines),
-walk AS (
-  SELECT DISTINCT session, CAST(1 AS BIGINT) AS id, CAST([] AS VARCHAR[]) AS dir, CAST(NULL AS BIGINT) AS fsize FROM commands
-  UNION ALL
-  SELECT c.session, c.id + 1, CASE WHEN c.dir = '..' THEN w.dir[1:len(w.dir) - 1]
-         WHEN c.dir IS NOT NULL THEN list_append(w.dir, c.dir) ELSE w.dir END, c.fsize
-  FROM commands c JOIN walk w ON c.session = w.session AND c.id = w.id),
-spread AS (SELECT session, dir[1:unnest(generate_series(1, len(dir)))] AS dir, fsize FROM walk WHERE len(dir) > 0),
-sizes AS (SELECT session, dir, sum(fsize) AS size FROM spread GROUP BY session, dir)
+# each event lists one file in the directory of its type and one in a directory below it
+_SIZES = r"""
+WITH files AS (
+  SELECT user_id AS session, event_type AS t, 'd' || json_extract_string(props, '$.k') AS k, event_id % 1000 AS inner_bytes,
+         CAST(regexp_extract(CAST(CAST(value * 100 AS INTEGER) AS VARCHAR), '[0-9]+') AS BIGINT) AS outer_bytes FROM events),
+sizes AS (
+  SELECT session, dir, sum(size) AS size FROM (
+    SELECT session, '/' AS dir, inner_bytes + outer_bytes AS size FROM files
+    UNION ALL SELECT session, '/>' || t, inner_bytes + outer_bytes FROM files
+    UNION ALL SELECT session, '/>' || t || '>' || k, inner_bytes FROM files) GROUP BY ALL)
 """
 
 
-@query("dir_sizes", _WALK + """
-SELECT session, array_to_string(dir, '>') AS dir, CAST(size AS BIGINT) AS size FROM sizes
-""")
+@query("dir_sizes", _SIZES + "SELECT session, dir, CAST(size AS BIGINT) AS size FROM sizes")
 def dir_sizes(spark, d):
     direct = hierarchy.replay_transcripts(_transcripts(spark, d), "session", "id", "line")
     totals = hierarchy.directory_totals(direct, ["session"])
     return totals.select("session", F.array_join("dir", ">").alias("dir"), "size")
 
 
-@query("dir_sizes_small", _WALK + """
+@query("dir_sizes_small", _SIZES + """
 SELECT session, CAST(sum(size) AS BIGINT) AS space_freed FROM sizes WHERE size < 100000 GROUP BY session
 """)
 def dir_sizes_small(spark, d):
