@@ -65,11 +65,15 @@ def replace_at(array: Column, index: int, value) -> Column:
     return F.transform(array, lambda x, i: F.when(i == index - 1, new).otherwise(x))
 
 
+def is_rectangular(matrix: Column) -> Column:
+    """Whether the rows of a two-dimensional array have one length."""
+    return F.size(F.array_distinct(F.transform(matrix, lambda row: F.size(row)))) <= 1
+
+
 def rectangular(matrix: Column) -> Column:
     """The two-dimensional array itself, or an error when its rows differ in length."""
-    widths = F.array_distinct(F.transform(matrix, lambda row: F.size(row)))
     message = F.lit("multidimensional arrays must have rows of one length")
-    return F.when(F.assert_true(F.size(widths) <= 1, message).isNull(), matrix)
+    return F.when(F.assert_true(is_rectangular(matrix), message).isNull(), matrix)
 
 
 def unnest(df: DataFrame, array: str | Column, value: str, ordinal: str | None = None) -> DataFrame:

@@ -12,6 +12,15 @@ from millrace.functions.text import PRIORITY_LETTERS
 
 _TWO_52 = 1 << 52
 
+
+def _portable(key: str) -> str:
+    """SQL for the portable uniform value of ``functions.rand`` for a seed and key text."""
+    return f"(CAST(conv(substring(md5(concat_ws('|', CAST(seed AS STRING), {key})), 1, 13), 16, 10) AS BIGINT) / {_TWO_52}D)"
+
+
+_SIZE = f"CAST(floor({_portable('row_key')} * (hi - lo) + lo) AS INT)"
+_FIELD = "CAST(floor({u} * (lo - hi) + hi) AS BIGINT)"
+
 FUNCTIONS = {
     # arrays, one-based with NULL (or nothing) outside
     "array_item": ("a ARRAY<STRING>, i INT", "STRING", "CASE WHEN i >= 1 THEN get(a, i - 1) END"),
@@ -36,6 +45,14 @@ FUNCTIONS = {
     "random_text": ("seed BIGINT, row_key STRING, size INT", "STRING",
                     "CASE WHEN size < 1 THEN '' ELSE array_join(transform(sequence(1, size), i -> substring("
                     f"'{SYMBOLS}', CAST(floor((xxhash64(seed, row_key, i) & {_TWO_52 - 1}L) / {_TWO_52}D * {len(SYMBOLS)}) AS INT) + 1, 1)), '') END"),
+    # the same values as in functions.rand with portable=True, for a key of one text
+    "portable_uniform": ("seed BIGINT, row_key STRING", "DOUBLE", _portable("row_key")),
+    "random_text_between": ("seed BIGINT, row_key STRING, lo INT, hi INT", "STRING",
+                            f"CASE WHEN {_SIZE} >= 1 AND {_SIZE} % 5 > 1 THEN array_join(transform(sequence(1, {_SIZE}), i -> substring('{SYMBOLS}', "
+                            + f"CAST(floor({_portable('row_key, CAST(i AS STRING)')} * {len(SYMBOLS)}) AS INT) + 1, 1)), '') ELSE '' END"),
+    "random_json": ("seed BIGINT, row_key STRING, lo INT, hi INT", "STRING",
+                    f"CASE WHEN {_SIZE} % 5 > 1 THEN to_json(named_struct("
+                    + ", ".join(f"'{k}', " + _FIELD.format(u=_portable(f"row_key, '{k}'")) for k in "abc") + ")) END"),
 }
 
 TABLE_FUNCTIONS = {

@@ -163,7 +163,8 @@ def maxima_around(df: DataFrame, line: str, place: str, value: str, tile: int, b
 
 def grid_visibility(cells: DataFrame, x: str = "x", y: str = "y", value: str = "tree",
                     tile: int = 4096) -> DataFrame:
-    """Cells with ``visible``: higher than all cells on one of its four sides."""
+    """Cells with ``visible``: higher than all cells on one of its four sides. The cells are computed once."""
+    cells = pin(cells, "cells")
     columns = maxima_around(cells, x, y, value, tile, "_north", "_south")
     both = maxima_around(columns, y, x, value, tile, "_west", "_east", plain=cells)
     height = F.col(value)

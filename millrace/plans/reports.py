@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import pin
+
 
 def sorted_report(df: DataFrame, order: list[Column]) -> DataFrame:
     """Large sorted result: one range shuffle, sort with spill on the executors."""
@@ -17,12 +19,12 @@ def above_group_average(facts: DataFrame, members: DataFrame, member: str, group
                         count: str = "cnt") -> DataFrame:
     """Members with more facts than the mean of their group.
 
-    Two aggregates: facts per member, then the mean per group over the members
-    that have facts. ``sum / count`` is compared by multiplication, so no
+    Two aggregates: facts per member, pinned, then the mean per group over the
+    members that have facts. ``sum / count`` is compared by multiplication, so no
     rounding is involved.
     """
     counts = facts.groupBy(member).agg(F.count("*").alias(count))
-    per_member = members.select(member, group, *columns).join(counts, member)
+    per_member = pin(members.select(member, group, *columns).join(counts, member), "per-member")
     means = per_member.groupBy(group).agg(F.sum(count).alias("_sum"), F.count("*").alias("_members"))
     joined = per_member.join(means, group)
     exact = "decimal(18,0)"

@@ -33,9 +33,9 @@ def device_readings(grid: DataFrame, keys: list[str], seed: int, portable: bool
     )
 
 
-def shared_note(grid: DataFrame, seed: int, size: int = 10) -> DataFrame:
+def shared_note(grid: DataFrame, seed: int, size: int = 10, portable: bool = False) -> DataFrame:
     """One generated text that all rows share (it does not depend on the row)."""
-    note = rand.random_text(seed, F.lit("shared"), lo=size, hi=size + 1, gated=False)
+    note = rand.random_text(seed, F.lit("shared"), lo=size, hi=size + 1, gated=False, portable=portable)
     return grid.withColumn("note", note)
 
 

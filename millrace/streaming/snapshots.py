@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates
 from millrace.operators import ordered
 from millrace.plans import alerts
+from millrace.session import pin
 from millrace.streaming import batches
 
 SNAPSHOT_SCHEMA = "created timestamp_ntz, calls bigint, total_value decimal(38,2)"
@@ -83,8 +84,8 @@ class LiveDeltas:
 class AlertJob:
     """Keeps the table of long-running sessions while snapshots of active sessions arrive.
 
-    Each batch reads the table version before it and writes its own version, so
-    a replayed batch starts from the same state.
+    A batch writes only the rows that it adds or changes; the table is the latest
+    row per session. A replayed batch starts from the batches before it.
     """
 
     def __init__(self, spark: SparkSession, root: str, session_schema: str, as_of: Column, **filters):
@@ -93,14 +94,19 @@ class AlertJob:
                        "email2_sent boolean, email2_time timestamp_ntz")
 
     def known(self, before: int | None = None) -> DataFrame:
-        versions = [v for v in batches.batch_ids(self.spark, f"{self.root}/known") if before is None or v < before]
-        if not versions:
+        found = [b for b in batches.batch_ids(self.spark, f"{self.root}/known") if before is None or b < before]
+        if not found:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/known/batch_id={versions[-1]}")
+        rows = batches.read_batches(self.spark, f"{self.root}/known", self.schema).where(F.col("batch_id") <= found[-1])
+        columns = [c for c in rows.columns if c not in (*alerts.KEY, "batch_id")]
+        latest = rows.groupBy(*alerts.KEY).agg(F.max_by(F.struct(*columns), "batch_id").alias("r"))
+        return latest.select(*alerts.KEY, "r.*").select(*[c for c in rows.columns if c != "batch_id"])
 
     def on_batch(self, active: DataFrame, batch_id: int) -> None:
+        active = pin(active, "active")
         old = self.known(before=batch_id)
         fresh = alerts.new_long_running(active, old, self.as_of, **self.filters)
-        told = alerts.mark_low(old.unionByName(fresh.select(*old.columns)), self.as_of)
+        told = pin(alerts.mark_low(old.unionByName(fresh.select(*old.columns)), self.as_of), "told")
         late = alerts.escalations(told, active, self.as_of)
-        batches.write_batch(alerts.mark_high(told, late, self.as_of), f"{self.root}/known", batch_id)
+        changed = alerts.mark_high(told, late, self.as_of).exceptAll(old)
+        batches.write_batch(changed, f"{self.root}/known", batch_id)

@@ -177,3 +177,17 @@ def chunk_arrays(spark, d):
     pages = chunked_pages(rows, ["ts", "event_id"], 1000, ["event_id", "user_id"])
     return pages.select("page", F.size("event_id").cast("bigint").alias("rows_in"), F.array_min("event_id").alias("first_id"),
                         _text(F.col("user_id").cast("array<string>")).alias("users"))
+
+
+@query("array_rectangular", """
+SELECT p_partkey, p_size % 3 > 0 AS even_rows, CASE WHEN p_size % 3 > 0 THEN p_size * 2 END AS corner FROM part
+""")
+def array_rectangular(spark, d):
+    """Two-row arrays, every third one ragged; only even ones are taken as matrices."""
+    size = F.col("p_size").cast("int")
+    long_ = F.array(F.lit(1), F.lit(2), F.lit(3))
+    second = F.when(size % 3 > 0, F.array(size, size * 2)).otherwise(long_)
+    rows = table(spark, d, "part").select("p_partkey", F.array(F.array(size, F.lit(0)), second).alias("m"))
+    checked = rows.withColumn("even_rows", arrays.is_rectangular(F.col("m")))
+    matrix = F.when(F.col("even_rows"), arrays.rectangular(F.col("m")))
+    return checked.select("p_partkey", "even_rows", F.get(F.get(matrix, F.lit(1)), F.lit(1)).alias("corner"))

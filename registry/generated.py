@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from millrace.functions import rand, waves
+from millrace.functions import rand, sql, waves
 from millrace.plans import sampledata
 from millrace.sources import series
 from registry import query, spread_table, table
@@ -271,3 +271,36 @@ def sample_grid(spark, d):
         F.count("*").alias("n"), F.sum(F.col("cpu").cast("decimal(10,4)")).cast("double").alias("cpu_total"),
         F.sum("temperature_c").alias("temperatures"),
     )
+
+
+def _u9(*keys):
+    return _U.format(keys=", ".join(["'9'", "CAST(o_orderkey AS VARCHAR)", *keys]))
+
+
+_SIZE9 = f"CAST(floor({_u9()} * 18 + 2) AS INTEGER)"
+
+
+@query("sql_random_functions", f"""
+SELECT o_orderkey, round({_u9()}, 9) AS u,
+       CASE WHEN {_SIZE9} % 5 > 1 THEN array_to_string(list_transform(range(1, {_SIZE9} + 1),
+            lambda i: substr('{rand.SYMBOLS}', CAST(floor({_u9("CAST(i AS VARCHAR)")} * {len(rand.SYMBOLS)}) AS INTEGER) + 1, 1)), '') ELSE '' END AS note,
+       CASE WHEN {_SIZE9} % 5 > 1 THEN '{{' || {" || ',' || ".join(f"""'"{k}":' || CAST(floor({_u9(f"'{k}'")} * -18 + 20) AS BIGINT)""" for k in "abc")} || '}}' END AS place
+FROM orders
+""")
+def sql_random_functions(spark, d):
+    """The random values as SQL functions; the DataFrame helpers give the same ones."""
+    sql.register(spark)
+    orders = table(spark, d, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("k"))
+    made = orders.selectExpr("o_orderkey", "k", "round(portable_uniform(9, k), 9) AS u", "random_text_between(9, k, 2, 20) AS note", "random_json(9, k, 2, 20) AS place")
+    same = made.withColumn("helper", rand.random_text(9, F.col("k"), lo=2, hi=20, portable=True))
+    checked = F.assert_true(F.col("note") == F.col("helper"), F.lit("SQL and DataFrame forms differ"))
+    return same.select("o_orderkey", "u", F.when(checked.isNull(), F.col("note")).alias("note"), "place")
+
+
+@query("sample_shared_note", f"""
+SELECT o_orderkey, (SELECT string_agg(substr('{rand.SYMBOLS}', CAST(floor({_U.format(keys="'4', 'shared', i")} * {len(rand.SYMBOLS)}) AS INTEGER) + 1, 1), '' ORDER BY i)
+                    FROM range(1, 11) r(i)) AS note FROM orders
+""")
+def sample_shared_note(spark, d):
+    """One generated text on all rows."""
+    return sampledata.shared_note(table(spark, d, "orders").select("o_orderkey"), seed=4, portable=True)
