@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from millrace.session import build_session  # noqa: E402
+from millrace.session import build_session, drop_paths  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +15,7 @@ def spark():
         spark__driver__memory="4g", spark__log__level="ERROR",
     )
     yield session
+    drop_paths(session)
     session.stop()
 
 
