@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import global_ordinal
+from millrace.session import pin
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = False,
@@ -30,18 +30,21 @@ def read_inferred(spark: SparkSession, path: str, names: list[str] | None = None
 def read_lines(spark: SparkSession, path: str, name: str = "line", ordinal: str = "id") -> DataFrame:
     """Text lines numbered 1..n in file order; blank lines become NULL.
 
-    The order is (file, block start, line within the block): the block start
-    comes from file metadata, the place within a block from the row id that
-    grows inside one input split.
+    The order is (file, block start, line within the block). Lines are counted
+    per block and each block starts where the blocks before it end, so only the
+    counts are sorted; the text is read twice and never shuffled for its number.
     """
     raw = spark.read.text(path).select(
         F.nullif(F.col("value"), F.lit("")).alias(name),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
+        F.monotonically_increasing_id().alias("_row"),  # grows along a block
     )
-    numbered = global_ordinal(raw, ["_file", "_block", "_row"], ordinal)
-    return numbered.select(ordinal, name)
+    blocks = raw.groupBy("_file", "_block").agg(F.count("*").alias("_lines"), F.min("_row").alias("_first"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+    starts = pin(blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before")))
+    placed = raw.join(starts, ["_file", "_block"])
+    return placed.select((F.col("_before") + F.col("_row") - F.col("_first") + 1).alias(ordinal), name)
 
 
 def inline_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

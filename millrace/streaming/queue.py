@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import docs
+from millrace.session import pin
 
 # Names and codes that the messages and the error log use.
 ORDER_MESSAGE = "OrderIDMsg"
@@ -46,13 +47,18 @@ def change_messages(changed: DataFrame, ids_per_message: int = 1000) -> DataFram
 
     Ids are spread over messages by hash, so no message holds an unbounded list.
     """
-    ids = changed.select(ID_FIELD).distinct()
+    ids = pin(changed.select(ID_FIELD).distinct(), "changed-ids")  # counted, then packed
     slots = F.greatest(F.lit(1).cast("bigint"), F.ceil(ids.agg(F.count("*")).scalar() / ids_per_message))
     grouped = ids.groupBy(F.pmod(F.xxhash64(ID_FIELD), slots).alias("_slot"))
     rows = grouped.agg(F.array_sort(F.collect_list(docs.xml_row(ID_FIELD, F.col(ID_FIELD)))).alias("_rows"))
     return order_messages(rows, "_slot", F.col("_slot"), F.col("_slot"), docs.xml_envelope(F.col("_rows")))
 
 
+def unhandled(messages: DataFrame) -> DataFrame:
+    """Messages of types that ``received`` does not read."""
+    return messages.where(~F.col("message_type_name").eqNullSafe(F.lit(ORDER_MESSAGE)))
+
+
 def received(messages: DataFrame) -> DataFrame:
     """Order messages with ``ids``, and ``error`` filled for the ones that cannot be read.
 

@@ -31,6 +31,7 @@ class OrderRollup:
     def on_batch(self, messages: DataFrame, batch_id: int) -> None:
         taken = queue.received(spread(messages)).persist()  # parsed once for errors and ids
         batches.write_batch(queue.errors(taken), f"{self.root}/errors", batch_id)
+        batches.write_batch(queue.unhandled(messages), f"{self.root}/unhandled", batch_id)
         times = queue.fan_out(taken).groupBy("OrderID").agg(F.count("*").alias("_times"))
         if self.mode == "recompute":
             batches.write_batch(times.select("OrderID"), f"{self.root}/orders", batch_id)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import hierarchy, merge, ordered, search
 from millrace.plans import alerts, measurements, monitoring, reports, texts
+from millrace.session import fresh_path
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -309,3 +310,16 @@ def test_range_and_array_containment_agree(spark, items):
     df = spark.createDataFrame(pairs, "tasks string")
     by_range = [r["overlap"] for r in texts.nested_tasks(df, "tasks").collect()]
     assert by_range == [r["overlap"] for r in texts.nested_tasks_by_values(df, "tasks").collect()]
+
+
+def test_stored_index_takes_new_names_once(spark, as_rows):
+    root = fresh_path(spark, "index")
+    first = spark.createDataFrame([(1, "alpha"), (2, "beta")], "id int, name string")
+    both = spark.createDataFrame([(2, "beta"), (3, "alphabet")], "id int, name string")
+    search.add_names(first, "id", "name", root, 0)
+    for _ in range(2):  # a load that runs again replaces itself
+        search.add_names(both, "id", "name", root, 1)
+    index, frequency = search.stored_index(spark, root, "int")
+    everything = search.trigram_index(first.union(both).distinct(), "id", "name")
+    assert as_rows(index, "trigram", "id") == as_rows(everything, "trigram", "id")
+    assert as_rows(frequency, "trigram", "cnt") == as_rows(search.trigram_frequency(everything), "trigram", "cnt")
