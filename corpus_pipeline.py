@@ -17,7 +17,7 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later places of repeated passages; one that has nothing else left goes."""
-    left = linededup.deduplicated(docs).where("n_lines_removed = 0 or n_lines > n_lines_removed")
+    left = linededup.deduplicated(docs, "_lines_all", "_lines_lost").where("_lines_lost = 0 or _lines_all > _lines_lost")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -31,14 +31,14 @@ def windows(docs: DataFrame) -> DataFrame:
         "xxhash64(_h[k].b, _h[k + 1].b, _h[k + 2].b) as b)))").alias("w")).select(*_KEY, "w.*")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with covered lines taken out of text, and n_lines, n_lines_removed (of non-blank lines).
+def deduplicated(docs: DataFrame, lines: str = "n_lines", lost: str = "n_lines_removed") -> DataFrame:
+    """The columns of ``docs`` with covered lines taken out of text, and the numbers of non-blank lines and of those removed.
 
     Blank lines belong to no window; one goes when no line beside it stays. A
     document with fewer than three non-blank lines stays as it is. A null text
     stays null. Rows with the same doc_id and text are one place and keep the
     same lines; a null doc_id comes first. ``docs`` may have any columns beside
-    doc_id and text; its own n_lines and n_lines_removed are replaced.
+    doc_id and text; those named as ``lines`` and ``lost`` are replaced.
     """
     scratch = Scratch(docs.sparkSession, "linededup")
     places = scratch.pin(windows(docs.select("doc_id", "text")))
@@ -58,5 +58,5 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         "if(g.e = size(_filled), size(_lines), _filled[g.e].i) - if(g.s = 0, 0, _filled[g.s - 1].i + 1))))"))
     text = F.when(F.col("_k").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
     removed = F.expr("if(_k is null, 0, size(_filled) - aggregate(_gaps, 0, (n, g) -> n + g.e - g.s))").cast("long")
-    own = [c for c in docs.columns if c not in ("n_lines", "n_lines_removed")]
-    return left.select(*(text.alias(c) if c == "text" else F.col(c) for c in own), F.size("_filled").cast("long").alias("n_lines"), removed.alias("n_lines_removed"))
+    own = [c for c in docs.columns if c not in (lines, lost)]
+    return left.select(*(text.alias(c) if c == "text" else F.col(c) for c in own), F.size("_filled").cast("long").alias(lines), removed.alias(lost))
