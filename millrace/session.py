@@ -1,4 +1,4 @@
-"""Session settings, shared scratch space, and spreading of small scans."""
+"""Session settings and shared scratch space."""
 
 from __future__ import annotations
 
@@ -84,12 +84,3 @@ def drop_paths(spark: SparkSession, name: str = "") -> None:
     for status in fs.listStatus(home) if fs.exists(home) else []:
         if status.getPath().getName().startswith(name):
             fs.delete(status.getPath(), True)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out evenly for costly work per row.
-
-    The rebalance hint leaves the number of partitions to AQE, which follows the
-    size of the data; the plan is the same for every size.
-    """
-    return scan.hint("rebalance")

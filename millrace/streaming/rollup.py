@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans import rollup
-from millrace.session import spread
 from millrace.streaming import batches, queue
 
 DELTA_SCHEMA = "CustomerID bigint, StockItemID bigint, SalesMonth int, SalesYear int, Quantity bigint, TotalItemSale decimal(19,4)"
@@ -29,7 +28,7 @@ class OrderRollup:
         self.spark, self.root, self.tables, self.mode = spark, root.rstrip("/"), tables, mode
 
     def on_batch(self, messages: DataFrame, batch_id: int) -> None:
-        taken = queue.received(spread(messages)).persist()  # parsed once for errors and ids
+        taken = queue.received(messages).persist()  # parsed once for errors and ids
         batches.write_batch(queue.errors(taken), f"{self.root}/errors", batch_id)
         batches.write_batch(queue.unhandled(messages), f"{self.root}/unhandled", batch_id)
         times = queue.fan_out(taken).groupBy("OrderID").agg(F.count("*").alias("_times"))

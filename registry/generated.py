@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import rand, sql, waves
 from millrace.plans import sampledata
 from millrace.sources import series
-from registry import query, spread_table, table
+from registry import query, table
 
 HOUR = dt.timedelta(hours=1)
 
@@ -214,7 +214,7 @@ SELECT o_orderkey, round(u_cpu * -97 + 100, 4) AS cpu, CAST(floor(u_temp * -55 +
 FROM sized
 """)
 def sample_table(spark, d):
-    rows = spread_table(spark, d, "orders", "o_orderkey")
+    rows = table(spark, d, "orders", "o_orderkey")
     return sampledata.device_readings(rows, ["o_orderkey"], seed=7, portable=True)
 
 
@@ -252,7 +252,7 @@ FROM lineitem
 """)
 def sample_bulk_portable(spark, d):
     """Load-test rows, one per line item, with the hash that the SQL check has as well."""
-    return sampledata.bulk_rows(spread_table(spark, d, "lineitem", *_BULK_KEYS), _BULK_KEYS, seed=3, portable=True)
+    return sampledata.bulk_rows(table(spark, d, "lineitem", *_BULK_KEYS), _BULK_KEYS, seed=3, portable=True)
 
 
 def _grid_u(*keys):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import hierarchy, ordered
 from millrace.operators.merge import top_per_group
-from registry import query, spread_table, table
+from registry import query, table
 
 
 @query("islands_sum", """
@@ -121,7 +121,7 @@ def _transcripts(spark, d):
         F.concat(F.lit("dir "), k), F.concat(F.lit("$ cd d"), k),
         F.concat((F.col("event_id") % 1000).cast("string"), F.lit(" g.lst")), F.lit("$ cd .."), F.lit("$ cd .."),
     )
-    events = spread_table(spark, d, "events", "user_id", "event_id", "event_type", "value", "props")
+    events = table(spark, d, "events", "user_id", "event_id", "event_type", "value", "props")
     lines = events.select("user_id", "event_id", F.posexplode(body).alias("j", "line"))
     lines = lines.select(F.col("user_id").alias("session"), (F.col("event_id") * 10 + F.col("j") + 1).alias("id"), "line")
     heads = events.select(F.col("user_id").alias("session")).distinct()

@@ -10,7 +10,7 @@ from millrace.operators.ordered import global_ordinal
 from millrace.plans import texts
 from millrace.session import fresh_path
 from millrace.sources import files
-from registry import query, spread_table, table
+from registry import query, table
 
 
 @query("text_lines", r"""
@@ -64,7 +64,7 @@ def wordle_score(spark, d):
     rows = [F.substring(tiles, start, 5) for start in (1, 6, 11)]
     head = F.concat(F.lit("Game "), F.col("o_orderkey").cast("string"), F.lit(" 3/6*"))
     body = F.concat_ws("\n", head, *rows)
-    return texts.guess_scores(spread_table(spark, d, "orders", "o_orderkey").select("o_orderkey", body.alias("body")), "body")
+    return texts.guess_scores(table(spark, d, "orders", "o_orderkey").select("o_orderkey", body.alias("body")), "body")
 
 
 @query("rucksack_priority", f"""
@@ -76,7 +76,7 @@ SELECT d.doc_id, CAST(coalesce(sum(instr('{tx.PRIORITY_LETTERS}', item)) FILTER
 FROM documents d LEFT JOIN items i ON i.doc_id = d.doc_id GROUP BY d.doc_id
 """)
 def rucksack_priority(spark, d):
-    sacks = texts.shared_item_priority(spread_table(spark, d, "documents", "doc_id", "text"), "text")
+    sacks = texts.shared_item_priority(table(spark, d, "documents", "doc_id", "text"), "text")
     return sacks.withColumn("priority", F.col("priority").cast("bigint"))
 
 
@@ -166,7 +166,7 @@ def _tasks(spark, d):
     b, e = a + F.col("l_linenumber"), c + F.floor(F.col("l_quantity") / 10)
     first = F.concat_ws("-", a.cast("string"), b.cast("string"))
     second = F.concat_ws("-", c.cast("string"), e.cast("string"))
-    rows = spread_table(spark, d, "lineitem", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    rows = table(spark, d, "lineitem", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
     return rows.select("l_linenumber", F.concat_ws(",", first, second).alias("tasks"))
 
 
@@ -231,7 +231,7 @@ def xml_envelopes(spark, d):
     """Write two-row envelopes and read them back."""
     key = F.col("o_orderkey")
     rows = F.array(docs.xml_row("OrderID", key), docs.xml_row("OrderID", key + 1))
-    bodies = spread_table(spark, d, "orders", "o_orderkey").select(docs.xml_envelope(rows).alias("body"))
+    bodies = table(spark, d, "orders", "o_orderkey").select(docs.xml_envelope(rows).alias("body"))
     parsed = bodies.withColumn("_p", docs.parse_envelope(F.col("body"), "OrderID", "bigint"))
     ids = F.col("_p.row.OrderID")
     valid = parsed.where(F.col(f"_p.{docs.CORRUPT}").isNull())
