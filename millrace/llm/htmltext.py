@@ -280,7 +280,8 @@ def extracted(pages: DataFrame, **limits) -> DataFrame:
     element with text, only text in it counts.
     """
     placed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    found = templates(placed.select("host", F.xxhash64("page_id", "url").alias("key"), "html"), **limits)
+    # written first: Spark then knows its size and moves the pages only if it is too large to be sent to them
+    found = Scratch(pages.sparkSession, "templates").pin(templates(placed.select("host", F.xxhash64("page_id", "url").alias("key"), "html"), **limits))
     met = placed.join(found, "host", "left").select("page_id", "url", "html", "dropped", "slots")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
