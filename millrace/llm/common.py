@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import fresh_path, shared_dir
@@ -18,18 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def by_row(fn: Callable[..., tuple], schema: pa.Schema) -> Callable[[Iterator], Iterator]:
-    """Arrow batch mapper that calls ``fn(*columns of a row)`` and yields its tuple as a row."""
-
-    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            rows = [fn(*row) for row in zip(*(c.to_pylist() for c in batch.columns))]
-            columns = list(zip(*rows)) or [()] * len(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-
-    return batches
-
-
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the file system that holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

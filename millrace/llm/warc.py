@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import Scratch
@@ -51,7 +51,15 @@ def deduplicated(pages: DataFrame) -> DataFrame:
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the store that Spark would use for it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
 
 
 def _uri(page_id: int | None) -> str:
@@ -254,7 +262,7 @@ def round_trip(pages: DataFrame, with_payload: bool = False) -> DataFrame:
     their own; all with the largest page_id are responses. No pages, no rows.
     """
     scratch = Scratch(pages.sparkSession, "warc")
-    folder = fresh_path(pages.sparkSession, "archives")
+    folder = _qualified(pages.sparkSession, fresh_path(pages.sparkSession, "archives"))
     manifest = scratch.pin(written(deduplicated(pages), folder))
     runs = scratch.pin(indexed(manifest.repartition("path")))
     return records(runs, with_payload)
