@@ -156,7 +156,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     files = tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    before = tokencounts.counted(table(spark, sf_dir, "documents", "doc_id", "text"), *files)
-    edits = tokencounts.redactions(before.withColumn("n_tokens_before", F.col("n_tokens")))
+    edits = tokencounts.redactions(table(spark, sf_dir, "documents", "doc_id", "text"))
     after = tokencounts.recounted(edits.withColumn("n_edits", F.size("edits").cast("long")), *files)
     return after.select("doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_encoded", F.size("tree.tokens").cast("long").alias("n_leaves"))

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import bisect
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEAF = 64  # pre-tokens in a leaf
-_KNOWN_PIECES = 1_000_000
+_KNOWN_PIECES, _ROWS = 300_000, 500  # pre-tokens that a worker remembers; rows of an output batch
 EDITS = "array<struct<start:long,end:long,replacement:string>>"
 TREE = "struct<chars:array<long>,tokens:array<long>>"
 _TREE_TYPE = pa.struct([("chars", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
@@ -194,37 +193,45 @@ def _ddl(df: DataFrame, more: str) -> str:
 
 
 def recounted(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """Applies the column ``edits`` (``EDITS``, offsets in code points) to text, tree and n_tokens; adds n_encoded.
+    """Applies the column ``edits`` (``EDITS``, offsets in code points) to text, tree and n_tokens; adds n_tokens_before and n_encoded.
 
-    ``docs`` is a result of ``counted`` with that column. Null edits are none.
-    Edits apply in the order of their places; those outside the text, with a
-    null in them, or overlapping an earlier one are left out. ``n_encoded`` is
-    the number of characters that had to be encoded again.
+    ``docs`` is a result of ``counted`` with that column; without the column
+    tree, the tree is built first. Null edits are none. Edits apply in the order
+    of their places; those outside the text, with a null in them, or overlapping
+    an earlier one are left out. ``n_encoded`` is the number of characters that
+    had to be encoded again.
     """
-    names = docs.drop("edits", "n_encoded").columns
+    made = ["n_tokens", "tree", "n_tokens_before", "n_encoded"]
+    names = [c for c in docs.columns if c not in (*made, "edits")]
     at = {name: docs.columns.index(name) for name in docs.columns}
+    ddl = _ddl(docs.select(names), f"n_tokens long, tree {TREE}, n_tokens_before long, n_encoded long")
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(ranks, pattern)
-        for batch in stream:
-            texts, totals, encoded = (batch.column(at[c]).to_pylist() for c in ("text", "n_tokens", "n_tokens"))
-            trees, lists = batch.column(at["tree"]), batch.column(at["edits"]).to_pylist()
-            changed: dict[int, dict] = {}
-            for row, edits in enumerate(lists):
-                encoded[row] = 0
-                text = texts[row] or ""
-                if edits and (edits := in_order([(e["start"], e["end"], e["replacement"]) for e in edits], len(text))):
-                    leaves = trees[row].as_py()
-                    texts[row] = edited(text, edits)
-                    tree, encoded[row] = recount(Tree(np.array(leaves["chars"], np.int64), np.array(leaves["tokens"], np.int64)), texts[row], edits, pieces)
-                    totals[row] = tree.total
-                    changed[row] = dict(zip(("chars", "tokens"), tree.leaf_values()))
-            if changed:
-                trees = pa.array([changed.get(row) or trees[row].as_py() for row in range(batch.num_rows)], _TREE_TYPE)
-            new = {"text": pa.array(texts, pa.string()), "n_tokens": pa.array(totals, pa.int64()), "tree": trees}
-            yield pa.RecordBatch.from_arrays([*(new.get(n, batch.column(at[n])) for n in names), pa.array(encoded, pa.int64())], names=[*names, "n_encoded"])
-
-    return docs.mapInArrow(batches, _ddl(docs.select(names), "n_encoded long"))
+        for whole in stream:
+            for batch in (whole.slice(k, _ROWS) for k in range(0, whole.num_rows, _ROWS)):
+                texts, lists = batch.column(at["text"]).to_pylist(), batch.column(at["edits"]).to_pylist()
+                stored = batch.column(at["tree"]).to_pylist() if "tree" in at else [None] * len(texts)
+                before, after, trees, encoded = [], [], [], []
+                for row, (text, edits, leaves) in enumerate(zip(texts, lists, stored)):
+                    if leaves is None:
+                        chars, tokens = _leaves(pieces.pattern.findall(text or ""), pieces)
+                    else:
+                        chars, tokens = (np.array(leaves[c], np.int64) for c in ("chars", "tokens"))
+                    before.append(int(tokens.sum()))
+                    edits = in_order([(e["start"], e["end"], e["replacement"]) for e in edits or ()], len(text or ""))
+                    encoded.append(0)
+                    if edits:
+                        texts[row] = edited(text or "", edits)
+                        tree, encoded[row] = recount(Tree(chars, tokens), texts[row], edits, pieces)
+                        chars, tokens = tree.leaf_values()
+                    after.append(int(tokens.sum()))
+                    trees.append({"chars": chars, "tokens": tokens})
+                kept = [pa.array(texts, pa.string()) if n == "text" else batch.column(at[n]) for n in names]
+                new = [pa.array(after, pa.int64()), pa.array(trees, _TREE_TYPE), pa.array(before, pa.int64()), pa.array(encoded, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*kept, *new], names=[*names, *made])
+
+    return docs.mapInArrow(batches, ddl)
 
 
 def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
@@ -235,16 +242,11 @@ def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
 
 def redactions(docs: DataFrame, private: str = PRIVATE, replacement: str = "[removed]") -> DataFrame:
     """``docs`` with the column edits that takes out what matches ``private``."""
-    own = docs.drop("edits")
-    names = own.columns
-    spot = names.index("text")
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("replacement", pa.string())]))
-
-    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = re.compile(private)
-        for batch in stream:
-            found = [[{"start": m.start(), "end": m.end(), "replacement": replacement} for m in pattern.finditer(text or "")]
-                     for text in batch.column(spot).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*names, "edits"])
-
-    return own.mapInArrow(batches, _ddl(own, f"edits {EDITS}"))
+    hits, gaps = F.regexp_extract_all("text", F.lit(private), F.lit(0)), F.split("text", private, -1)
+    lengths = F.transform(F.arrays_zip(F.transform(gaps, F.length).alias("gap"), F.transform(hits, F.length).alias("hit")), lambda p: p)
+    placed = docs.drop("edits").withColumn("_lengths", lengths)
+    found = F.expr(f"""
+        aggregate(_lengths, named_struct('at', 0L, 'edits', cast(array() as {EDITS})),
+          (s, p) -> named_struct('at', s.at + p.gap + coalesce(p.hit, 0), 'edits', if(p.hit is null, s.edits, array_append(s.edits,
+            named_struct('start', s.at + p.gap, 'end', s.at + p.gap + p.hit, 'replacement', '{replacement}')))), s -> s.edits)""")
+    return placed.withColumn("edits", found).drop("_lengths")

@@ -325,6 +325,8 @@ def test_token_counts_follow_edits(spark):
     before = tokencounts.counted(documents(spark, rows), *files)
     got = {r.doc_id: r for r in tokencounts.recounted(tokencounts.with_edits(before, edits), *files).collect()}
     assert len(got) == len(rows) and got[100].n_tokens == 0 and got[0].bucket == 1
+    at_once = tokencounts.recounted(tokencounts.with_edits(documents(spark, rows).drop("n_tokens"), edits), *files).collect()
+    assert {(r.doc_id, r.n_tokens, r.n_tokens_before) for r in at_once} == {(r.doc_id, r.n_tokens, r.n_tokens_before) for r in got.values()}
     for k, text in enumerate(texts):
         new = tokencounts.edited(text, tokencounts.in_order(lists[k], len(text)))
         assert (got[k].text or "") == new and got[k].n_tokens == len(encoding.encode_ordinary(new)), k
@@ -335,6 +337,14 @@ def test_token_counts_follow_edits(spark):
     assert tokencounts.recount(tree, tokencounts.edited(long, edit), edit, tokencounts.Pieces(*files))[1] < 2000
 
 
+def test_redactions(spark):
+    texts = ["mail a.b@mail8.example.com, then 42.144.35.254 é 4041894974608795", "1234567890", "none", "", None, "x" * 20 + "deadbeefdeadbeef0"]
+    got = {r.doc_id: r for r in tokencounts.redactions(documents(spark, list(enumerate(texts)))).collect()}
+    for k, text in enumerate(texts):
+        want = [(m.start(), m.end(), "[removed]") for m in re.finditer(tokencounts.PRIVATE, text or "")]
+        assert [tuple(e) for e in got[k].edits or ()] == want, text
+
+
 # urls
 
 def test_url_rules_and_mined_rules(spark):
