@@ -121,7 +121,29 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode("loss_text", "UTF-8"), 256).alias("loss_sha256"), "formatted_chars")
 
 
-@query("op7_minhash")
+@query("op7_minhash", r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), shingles as (
+  select distinct doc_id, case when len(w) = 1 then w[1] else w[k] || ' ' || w[k + 1] end as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w), 2))) as k from words where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+), links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+), ways as (
+  select a, b from links union all select b, a from links
+), reached as (
+  select doc_id, doc_id as root from sizes
+  union select b, root from reached join ways on a = doc_id
+), components as (
+  select doc_id, min(root) as component_id from reached group by doc_id
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, coalesce(c.component_id, d.doc_id) as component_id, coalesce(c.component_id, d.doc_id) = d.doc_id as kept
+from documents d left join sizes s using (doc_id) left join components c using (doc_id)
+""")
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents: two-word windows, similarity 0.8."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
