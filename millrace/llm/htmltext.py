@@ -60,11 +60,12 @@ class _Open:
     main: int      # 0 outside, 1 in an article, 2 in main
     heading: bool
     link: bool
+    block: int     # path of the block-level element around it
 
 
 @dataclass(slots=True)
 class Block:
-    """A block of text: its innermost element, and what is known of its place."""
+    """A block of text without its runs of a known kind: its block-level element, and what is known of its place."""
 
     path: int
     kind: int
@@ -79,10 +80,8 @@ class Page:
     def __init__(self, text: str):
         self.blocks: list[Block] = []
         self.tokens: dict[int, list[int]] = {}
-        self._buffer: list[str] = []
-        self._links = 0
-        self._place: _Open | None = None
-        self._stack = [_Open("", 0, 0, 0, False, False)]
+        self._buffer: list[tuple[_Open, str]] = []
+        self._stack = [_Open("", 0, 0, 0, False, False, 0)]
         self._parse(text)
 
     def _parse(self, text: str) -> None:
@@ -113,21 +112,19 @@ class Page:
         self._flush()
 
     def _add(self, text: str) -> None:
-        if self._place is None:
-            self._place = self._stack[-1]
-        self._buffer.append(text)
-        if self._stack[-1].link:
-            self._links += len(text.strip())
+        self._buffer.append((self._stack[-1], text))
 
     def _flush(self) -> None:
-        if self._buffer:
-            text = " ".join(markup.unescape("".join(self._buffer)).split())
-            if text:
-                place = self._place
-                kind = 0 if place.kind == 1 and place.heading else place.kind
-                self.blocks.append(Block(place.path, kind, place.main, text, self._links))
-            self._buffer, self._links = [], 0
-        self._place = None
+        """One block of the runs of no known kind; of all runs, with the kind of the first, where no other text is."""
+        runs, self._buffer = self._buffer, []
+        left = [(place, text) for place, text in runs if place.kind == 0 or place.kind == 1 and place.heading]
+        kept = any(markup.unescape(text).strip() for _, text in left)
+        said = left if kept else runs
+        text = " ".join(markup.unescape("".join(text for _, text in said)).split())
+        if text:
+            place = next(place for place, text in said if markup.unescape(text).strip())
+            links = sum(len(text.strip()) for run, text in said if run.link)
+            self.blocks.append(Block(place.block, 0 if kept else place.kind, place.main, text, links))
 
     def _close(self, tag: str) -> None:
         if tag in BLOCKS:
@@ -180,7 +177,7 @@ class Page:
             else:
                 self.tokens[path] = [parent, 1, main]
         heading = top.heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6")
-        self._stack.append(_Open(tag, path, kind, main, heading, top.link or tag == "a"))
+        self._stack.append(_Open(tag, path, kind, main, heading, top.link or tag == "a", path if block else top.block))
 
     @staticmethod
     def _known(attributes: str) -> tuple[bool, str]:

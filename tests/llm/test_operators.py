@@ -467,3 +467,15 @@ def test_pages_without_article_by_template(spark):
         assert got[k].n_chars == len(got[k].text)
     assert got[100].text == "alone" and got[101].text == "" == got[102].text == got[103].text
     assert got[104].text == "A\n\nB" and got[None].text == "no id"
+
+
+def test_inline_elements_of_a_known_kind():
+    """Only the inline run goes, wherever in its paragraph it stands."""
+    for html, text in [
+        ("<p><span class='share'>Share</span> long <b>bold</b> paragraph</p>", "long bold paragraph"),
+        ("<p><button>Copy</button> text &amp; more</p>", "text & more"),
+        ("<p>first <span class=ad>buy <i>now</i></span>last<span hidden>secret</span></p><p>next</p>", "first last\n\nnext"),
+        ("<article><header><h1>Title <span class='share'>Share</span></h1><p>by me</p></header><p> <button>Copy</button> </p>body</article>", "Title\n\nbody"),
+        ("<div class='ad'><p>all <b>of it</b></p></div><p>text", "text"),
+    ]:
+        assert htmltext.main_text(htmltext.Page(html), set(), set()) == text, html
