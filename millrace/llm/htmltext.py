@@ -7,10 +7,13 @@ and partial sums are made before the shuffle. Tokens with the same vector, on
 at least half of the pages, are an equivalence class. A class is valid if it
 hangs below one place of another class, and valid classes nest into the
 template of the host. Their elements are the slots. A slot is dropped when its
-text is the same on all its pages or mostly links, outside the article; a slot of a
+text is mostly links, or outside an article or main element the same on all its pages; a slot of a
 known kind (menu, header, footer, sidebar, notice, advert, form, comments) by
-its kind. A text belongs to the nearest slot around it; what is left is the
-article.
+its kind. A block of text that stands at the same token of at least half of the pages is
+itself a part of the template, wherever it stands. A text belongs to the nearest
+slot around it. An article or main element is the article if the slots in it
+hold most of what varies on the host; else all that is left is. Pages with the
+same bytes are one page of the host.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ from millrace.llm.urlfilter import host_of
 #: Part of a host's pages that a template token is on; pages from which on equal texts count; part of a slot that links may be.
 TEMPLATE_SHARE, LEAST_PAGES, LINK_SHARE = 0.5, 3, 0.5
 
+#: Part of the varying text that an article holds at least; part of a page that equal texts are at most, as otherwise the pages are copies.
+ARTICLE_SHARE, COPY_SHARE = 0.5, 0.5
+
 #: Elements and names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("applet canvas head iframe math noembed noframes noscript object script select style svg template textarea title".split())
@@ -75,7 +81,7 @@ class Block:
 
 
 class Page:
-    """The blocks of a page in order, and its tokens: path to [parent, count, main]."""
+    """The blocks of a page in order, and its tokens: path to [parent, count]."""
 
     def __init__(self, text: str):
         self.blocks: list[Block] = []
@@ -175,7 +181,7 @@ class Page:
             if token:
                 token[1] += 1
             else:
-                self.tokens[path] = [parent, 1, main]
+                self.tokens[path] = [parent, 1]
         heading = top.heading or tag in ("h1", "h2", "h3", "h4", "h5", "h6")
         self._stack.append(_Open(tag, path, kind, main, heading, top.link or tag == "a", path if block else top.block))
 
@@ -203,69 +209,139 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
+def _text_key(block: Block) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(f"{block.path} {block.text}".encode("utf-8", "surrogatepass")))
+
+
+_FOUND = "what path parent text mark chars own links said".split()
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """(host, path, parent, main, n, mark, chars, links, said) of each token on each page of (host, html).
+    """(host, what, path, parent, text, mark, chars, own, links, said) of each page of (host, html) that is not the same as another.
 
-    ``mark`` hashes the page and the count; chars, links and said (hash) are of the text right in the element.
+    ``what`` is 0 for a token, 1 for a text of a block at a token, 2 for the page itself. ``mark`` hashes the
+    page and the count of the token; chars, links and said (hash) are of the text right in the element, own
+    counts the characters of no known kind; ``text`` is the key of a block's text.
     """
-    ddl = "host string, path long, parent long, main int, n long, mark long, chars long, links long, said long"
-    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}
-    schema = pa.schema([(n, kinds[k]) for n, k in (f.split() for f in ddl.split(", "))])
+    ddl = f"host string, page long, found array<struct<{', '.join(f'{n}: bigint' for n in _FOUND)}>>"
+    rows_of = pa.list_(pa.struct([(n, pa.int64()) for n in _FOUND]))
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            rows = []
-            for host, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                page = Page(text or "")
+        for batch in (whole.slice(at, 500) for whole in stream for at in range(0, whole.num_rows, 500)):
+            hosts, keys, sizes, rows = [], [], [0], []
+            for host, text in zip(*(c.to_pylist() for c in batch.columns)):
+                text = text or ""
+                key = _signed(xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")))
+                page = Page(text)
                 sums: dict[int, list] = {}
+                texts: dict[int, list[int]] = {}
                 for block in page.blocks:
-                    s = sums.setdefault(block.path, [0, 0, []])
+                    s = sums.setdefault(block.path, [0, 0, 0, []])
                     s[0] += len(block.text)
-                    s[1] += block.links
-                    s[2].append(block.text)
-                for path, (parent, n, main) in page.tokens.items():
-                    chars, links, said = sums.get(path, (0, 0, []))
-                    rows.append((host, path, parent, main, n, _signed(xxhash.xxh3_64_intdigest(f"{key} {n}")), chars, links,
+                    s[2] += block.links
+                    s[3].append(block.text)
+                    if not block.kind:
+                        s[1] += len(block.text)
+                        texts.setdefault(_text_key(block), [block.path, 0])[1] += len(block.text)
+                for path, (parent, n) in page.tokens.items():
+                    chars, own, links, said = sums.get(path, (0, 0, 0, []))
+                    rows.append((0, path, parent, 0, _signed(xxhash.xxh3_64_intdigest(f"{key} {n}")), chars, own, links,
                                  _signed(xxhash.xxh3_64_intdigest("\n".join(said).encode("utf-8", "surrogatepass")))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows)) or [()] * len(schema), schema)], schema=schema)
+                rows.extend((1, path, 0, text_key, 0, chars, chars, 0, 0) for text_key, (path, chars) in texts.items())
+                rows.append((2, 0, 0, 0, 0, 0, 0, 0, 0))
+                hosts.append(host)
+                keys.append(key)
+                sizes.append(len(rows))
+            inner = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)] if rows else [pa.array([], pa.int64())] * len(_FOUND), names=_FOUND)
+            found = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), inner).cast(rows_of)
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), found], names=["host", "page", "found"])
 
-    return pages.select("host", "key", "html").mapInArrow(batches, ddl)
+    once = pages.select("host", "html").mapInArrow(batches, ddl).dropDuplicates(["host", "page"])
+    return once.select("host", F.inline("found"))
 
 
 def templates(pages: DataFrame, share: float = TEMPLATE_SHARE, least_pages: int = LEAST_PAGES, link_share: float = LINK_SHARE) -> DataFrame:
-    """(host, dropped, slots): paths of the slots of the template of each host, and of those to drop.
+    """(host, dropped, linked, slots, texts) of the template of each host.
 
-    ``pages``: host, key (of the row), html. The slots of a host are at most
-    ``1 / share`` times the tokens of its mean page.
+    Paths of its slots, the mean of the characters that vary in each, paths of those to drop outside and
+    inside an article, and keys of the texts that belong to it. A host of fewer than ``least_pages``
+    different pages has no means. ``pages``: host, html. The slots of a host are at most ``1 / share``
+    times the tokens of its mean page, and the texts ``1 / share`` times its blocks.
     """
     scratch = Scratch(pages.sparkSession, "htmltext")
-    tokens = scratch.pin(page_tokens(pages).groupBy("host", "path", "parent").agg(
-        F.max("main").alias("main"), F.count("*").alias("pages"), F.sum(F.col("mark").cast("decimal(20,0)")).alias("vector"), F.sum("chars").alias("chars"),
-        F.sum("links").alias("links"), F.min("said").alias("low"), F.max("said").alias("high")))
-    size = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    often = tokens.join(size, "host").where(F.col("pages") >= share * F.col("host_pages"))
-    above = often.select("host", F.col("path").alias("parent"), F.col("vector").alias("above"))
-    nested = often.join(above, ["host", "parent"], "left").withColumn("outside", F.when(~F.col("above").eqNullSafe(F.col("vector")), F.col("parent")))
+    rows = page_tokens(pages).groupBy("host", "what", "path", "parent", "text").agg(
+        F.count("*").alias("pages"), F.sum(F.col("mark").cast("decimal(20,0)")).alias("vector"), F.sum("chars").alias("chars"), F.sum("own").alias("own"),
+        F.sum("links").alias("links"), F.min("said").alias("low"), F.max("said").alias("high"))
+    rows = scratch.pin(rows.where((F.col("what") != 1) | (F.col("pages") >= least_pages)))
+    size = rows.where("what = 2").select("host", F.col("pages").alias("host_pages"))
+    often = rows.where("what < 2").join(size, "host").where(F.col("pages") >= share * F.col("host_pages"))
+    tokens = often.where("what = 0")
+    above = tokens.select("host", F.col("path").alias("parent"), F.col("vector").alias("above"))
+    nested = tokens.join(above, ["host", "parent"], "left").withColumn("outside", F.when(~F.col("above").eqNullSafe(F.col("vector")), F.col("parent")))
     classes = nested.groupBy("host", "vector").agg(F.min("outside").alias("first"), F.max("outside").alias("last")).where("first is null or first = last")
     slots = nested.join(classes.select("host", "vector"), ["host", "vector"], "left_semi")
+    texts = often.where("what = 1").groupBy("host", "path").agg(F.sum("chars").alias("equal"), F.collect_list("text").alias("texts"))
+    said = F.col("chars") > 0
     same = (F.col("pages") >= least_pages) & (F.col("low") == F.col("high"))
-    drop = (F.col("main") == 0) & (F.col("chars") > 0) & (same | (F.col("links") > link_share * F.col("chars")))
-    return slots.groupBy("host").agg(F.collect_list(F.when(drop, F.col("path"))).alias("dropped"), F.collect_list("path").alias("slots"))
+    links = F.col("links") > link_share * F.col("chars")
+    slots = slots.withColumn("slot", F.col("path"))
+    both = slots.join(texts, ["host", "path"], "full")
+    mean = F.when(F.col("host_pages") >= least_pages, F.greatest(F.lit(0), F.col("own") - F.coalesce("equal", F.lit(0))) / F.col("pages"))
+    return both.groupBy("host").agg(
+        F.collect_list(F.when(said & (same | links), F.col("slot"))).alias("dropped"),
+        F.collect_list(F.when(said & links & (F.col("host_pages") >= least_pages), F.col("slot"))).alias("linked"),
+        F.collect_list(F.when(F.col("slot").isNotNull(), F.struct(F.col("slot").alias("path"), mean.alias("mean")))).alias("slots"),
+        F.flatten(F.collect_list("texts")).alias("texts"))
 
 
-def main_text(page: Page, dropped: set[int], slots: set[int]) -> str:
+@dataclass(slots=True)
+class Template:
+    """What main_text has to know of a host; ``slots`` is path to the mean of the characters that vary, None if the pages are too few."""
+
+    dropped: set[int]
+    linked: set[int]
+    slots: dict[int, float | None]
+    texts: set[int]
+
+
+def _article(blocks: list[Block], template: Template) -> int:
+    """The least ``main`` that a block of the article has on a page with these blocks."""
+    best = max((b.main for b in blocks), default=0)
+    if not any(mean is not None for mean in template.slots.values()):
+        return best  # no other pages to tell
+    weights: dict[tuple[int, int], float] = {}
+    for block in blocks:
+        mean = template.slots.get(block.path)
+        place = (block.main, block.path)
+        weights[place] = weights.get(place, 0) + len(block.text) if mean is None else mean
+    least = ARTICLE_SHARE * sum(weights.values())
+    return next((k for k in range(best, 0, -1) if sum(w for (main, _), w in weights.items() if main >= k) >= least), 0)
+
+
+def main_text(page: Page, template: Template) -> str:
     """The blocks left by the template, joined by empty lines."""
-    best = max((b.main for b in page.blocks if b.kind == 0), default=0)
-    out = []
+    blocks, equal, linked = [], set(), set()
     for block in page.blocks:
-        if block.kind or block.main < best:
+        if block.kind:
             continue
         path = block.path
-        while path and path not in slots:
+        while path and path not in template.slots:
             path = page.tokens[path][0]
-        if block.main or path not in dropped:
-            out.append(block.text)
-    return "\n\n".join(out)
+        if not block.main and path in template.dropped:
+            continue
+        if _text_key(block) in template.texts:
+            equal.add(len(blocks))
+        elif path in template.linked:
+            linked.add(len(blocks))
+        blocks.append(block)
+    if sum(len(blocks[k].text) for k in equal) > COPY_SHARE * sum(len(b.text) for b in blocks):
+        equal = set()
+    gone = equal | linked
+    if len(gone) == len(blocks):
+        gone = equal  # a page of links only
+    blocks = [b for k, b in enumerate(blocks) if k not in gone]
+    least = _article(blocks, template)
+    return "\n\n".join(b.text for b in blocks if b.main >= least)
 
 
 def extracted(pages: DataFrame, **limits) -> DataFrame:
@@ -273,18 +349,19 @@ def extracted(pages: DataFrame, **limits) -> DataFrame:
 
     A null or empty html has the empty text. A null url, or one without a host,
     belongs to the host ''. Null ids and repeated rows are pages like any
-    other; other columns are ignored. Where a page has an article or main
-    element with text, only text in it counts.
+    other; other columns are ignored. On a host of fewer than ``least_pages``
+    different pages an article or main element with text is the article.
     """
     placed = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     # written first: Spark then knows its size and moves the pages only if it is too large to be sent to them
-    found = Scratch(pages.sparkSession, "templates").pin(templates(placed.select("host", F.xxhash64("page_id", "url").alias("key"), "html"), **limits))
-    met = placed.join(found, "host", "left").select("page_id", "url", "html", "dropped", "slots")
+    found = Scratch(pages.sparkSession, "templates").pin(templates(placed.select("host", "html"), **limits))
+    met = placed.join(found, "host", "left").select("page_id", "url", "html", "dropped", "linked", "slots", "texts")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            texts = [main_text(Page(text or ""), set(dropped or ()), set(slots or ())) for text, dropped, slots in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            texts = [main_text(Page(text or ""), Template(set(dropped or ()), set(linked or ()), {s["path"]: s["mean"] for s in slots or ()}, set(said or ())))
+                     for text, dropped, linked, slots, said in zip(*(c.to_pylist() for c in batch.columns[2:]))]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.string()), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], schema=schema)
 
     return met.mapInArrow(batches, "page_id long, url string, text string, n_chars long")

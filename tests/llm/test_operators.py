@@ -478,4 +478,29 @@ def test_inline_elements_of_a_known_kind():
         ("<article><header><h1>Title <span class='share'>Share</span></h1><p>by me</p></header><p> <button>Copy</button> </p>body</article>", "Title\n\nbody"),
         ("<div class='ad'><p>all <b>of it</b></p></div><p>text", "text"),
     ]:
-        assert htmltext.main_text(htmltext.Page(html), set(), set()) == text, html
+        assert htmltext.main_text(htmltext.Page(html), htmltext.Template(set(), set(), {}, set())) == text, html
+
+
+def test_template_decides_beside_articles(spark):
+    """Repeated notices and links in articles go; articles that are not the article of their host do not hide it."""
+    body = lambda k, n=12: " ".join(f"w{k}x{i}" for i in range(n))
+    rows, want = [], {}
+
+    def add(host, html, text):
+        rows.append((len(rows), f"http://{host}/{len(rows)}", html))
+        want[rows[-1][0]] = text
+
+    for k in range(6):
+        # the same path as the paragraphs beside it, and a place of its own
+        add("in.net", f"<article><h1>T {k}</h1><p>{body(k)}</p><p>Read our terms</p><p>{body(-k)}</p><div class=more><a>See this {k}</a></div><section class=x>Same</section></article>",
+            f"T {k}\n\n{body(k)}\n\n{body(-k)}")
+        add("teaser.net", f"<div class=text><p>{body(k, 40)}</p></div><article><p>teaser {k}</p></article><article><p>other {k}</p></article>",
+            f"{body(k, 40)}\n\nteaser {k}\n\nother {k}")
+        # the same pages under many places, and copies of a text with other words around it, are no template
+        add("copy.net", f"<article><p>{body(1)}</p><p>{body(2)}</p></article>", f"{body(1)}\n\n{body(2)}")
+        add("near.net", f"<article><p>{body(1)}</p><p>{body(2)}</p><p>end {k}</p></article>", f"{body(1)}\n\n{body(2)}\n\nend {k}")
+        add("list.net", f"<main><ul><li><a>one {k}</a></li><li><a>two {k}</a></li></ul></main>", f"one {k}\n\ntwo {k}")
+        add("plain.net", f"<article><p>{body(k)}</p></article><div class=z>part {k}</div>", body(k))
+    got = {r.page_id: r.text for r in htmltext.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, text in want.items():
+        assert got[k] == text, rows[k]
