@@ -90,7 +90,7 @@ from documents d join settled s using (doc_id) group by d.doc_id, d.text
 """)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the later places of repeated three-line windows."""
-    return linededup.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return linededup.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"), words=None)
 
 
 CONTROL = "\\### Assistant: </turn> ok"  # looks like marks of chat templates

@@ -305,6 +305,31 @@ def test_line_dedup(spark):
     assert got[63].text == "same" and got[63].n_lines_removed == 6
 
 
+def test_line_dedup_of_passages_in_one_or_two_lines(spark):
+    rng = random.Random(8)
+    long = [" ".join(f"p{k}x{i}" for i in range(51)) for k in range(3)]
+    half = [" ".join(f"h{k}x{i}" for i in range(26)) for k in range(3)]
+    lines = long + half + [" ".join(f"s{i}" for i in range(50)), "a short line", "", "another"]
+    rows = [(0, f"begin\n{long[0]}\nend"), (1, f"other\n {long[0]} \nwords"), (2, f"x\n{half[0]}\n{half[1]}\ny"), (3, f"z\n{half[0]}\n\n{half[1]}\nw"), (4, long[1]), (5, long[1]),
+            (6, lines[6]), (7, lines[6]), (8, f"only\n{half[1]}")]
+    rows += [(9 + k, "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 6)))) for k in range(60)]
+    got = {r.doc_id: r for r in linededup.deduplicated(documents(spark, rows)).collect()}
+    assert [got[k].text for k in range(9)] == [rows[0][1], "other\nwords", rows[2][1], "z\nw", long[1], "", lines[6], lines[6], rows[8][1]]
+    seen = set()
+    for doc_id, text in rows:
+        filled = [x.strip(" ") for x in text.split("\n") if x.strip(" ")]
+        gone = set()
+        for p in range(len(filled)):
+            for n in (1, 2, 3):
+                window = tuple(filled[p : p + n])
+                if len(window) == n and (n == 3 or len(" ".join(window).split()) > 50):
+                    if window in seen:
+                        gone |= set(range(p, p + n))
+                    seen.add(window)
+        assert [x.strip(" ") for x in got[doc_id].text.split("\n") if x.strip(" ")] == [x for p, x in enumerate(filled) if p not in gone], doc_id
+        assert got[doc_id].n_lines_removed == len(gone)
+
+
 # token counts
 
 def test_token_counts_follow_edits(spark):
