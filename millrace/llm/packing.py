@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,93 +31,118 @@ from millrace.llm.common import Scratch
 WINDOW, END_ID = 4096, 2
 #: Pieces that one task ranks.
 SLICE_ROWS = 100_000
-#: Words, and cores of words, of a generation that a Python worker remembers.
-_WORDS_KEPT = 500_000
+#: Words that a Python worker remembers, bytes of text that it works on together, and words given to the tokenizer at once.
+_WORDS_KEPT, _TOGETHER, _ENCODED = 500_000, 6_000_000, 20_000
+#: Words whose lower-casing goes letter by letter, with at most one mark behind them.
+_SIMPLE = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+[.,]?$"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def core_of(word: str) -> tuple[str, str]:
-    """The part of a word that needs the tokenizer, and a final point or comma that is a token of its own.
+class Runs:
+    """Ids of words, one run for each: all ids in one array, and the sizes of the runs."""
 
-    Words of Latin letters below U+0250 only change by lower-casing, letter by letter.
-    """
-    tail = word[-1:] if word[-1:] in (".", ",") else ""
-    core = word[:-1] if tail else word
-    if core.isalpha() and max(core) < "\u0250" and "\u0130" not in core:
-        return core.lower(), tail
-    return word, ""
-
-
-class _Recent:
-    """Values of the keys used lately: a full generation becomes the old one, whose keys return when they are used."""
-
-    def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes = ids, sizes
 
-    def turn(self) -> None:
-        if len(self.young) >= _WORDS_KEPT:
-            self.old, self.young = self.young, {}
+    @staticmethod
+    def one_after_another(many: list[Runs]) -> Runs:
+        return Runs(np.concatenate([r.ids for r in many]), np.concatenate([r.sizes for r in many]))
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """Bring back what the old generation knows; the rest of ``keys`` is unknown."""
-        known = self.old.keys() & keys if self.old else ()
-        self.young.update((key, self.old[key]) for key in known)
-        return [key for key in keys if key not in self.young]
+    def take(self, which: np.ndarray) -> Runs:
+        sizes = self.sizes[which]
+        ends = np.cumsum(sizes)
+        shift = (np.cumsum(self.sizes) - self.sizes)[which] - (ends - sizes)
+        return Runs(self.ids[np.repeat(shift, sizes) + np.arange(len(ends) and ends[-1])], sizes)
 
 
 class WordIds:
-    """Ids of the parts of texts between blanks, as bytes; new parts are encoded together.
+    """Ids of the parts of texts between blanks.
 
-    Only for tokenizers that lower-case, drop white space and never join over
-    it, nor letters with points.
+    Only for tokenizers that lower-case, drop white space, never join over it
+    nor letters with marks, and end each pre-token with ``</w>``. Only distinct
+    words that were not met lately become Python objects.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.cores = _Recent(), _Recent()
-
-    def _encode(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        coded = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        owners = np.array([-1 if w is None else w for w in coded.word_ids], np.int64)
-        if len(owners) and owners.min() < 0:  # special tokens have no word
-            coded = self.tokenizer.encode_batch(words, add_special_tokens=False)
-            return ((word, np.array(c.ids, "<u4").tobytes()) for word, c in zip(words, coded))
-        ids = np.array(coded.ids, "<u4").tobytes()
-        ends = (4 * np.searchsorted(owners, np.arange(len(words) + 1))).tolist()
-        return ((word, ids[ends[k] : ends[k + 1]]) for k, word in enumerate(words))
-
-    def documents(self, texts: list[str | None]) -> list[bytes]:
-        self.words.turn()
-        self.cores.turn()
-        known = self.words.young
-        parts = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        found = [list(map(known.get, words)) for words in parts]
-        lacking = [k for k, ids in enumerate(found) if None in ids]
-        unknown = self.words.missing({word for k in lacking for word, ids in zip(parts[k], found[k]) if ids is None})
-        split = [core_of(word) for word in unknown]
-        if new := self.cores.missing({part for pair in split for part in pair}):
-            self.cores.young.update(self._encode(new))
-        cores = self.cores.young
-        known.update((word, cores[core] + cores[tail] if tail else cores[core]) for word, (core, tail) in zip(unknown, split))
-        for k in lacking:
-            found[k] = map(known.__getitem__, parts[k])
-        return [b"".join(ids) for ids in found]
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known, self.runs = pa.array([], pa.string()), Runs(np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        self.marks = self._other([".", ",", ""])
+
+    def _simple(self, words: list[str]) -> Runs:
+        """Words of letters alone, encoded as one text."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        return Runs(ids, np.diff(np.flatnonzero(self.is_end[ids]) + 1, prepend=0))
+
+    def _other(self, words: list[str]) -> Runs:
+        coded = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        return Runs(np.array([i for c in coded for i in c.ids], np.uint32), np.array([len(c.ids) for c in coded], np.int64))
+
+    def _encoded(self, words: pa.Array, simple: np.ndarray) -> Runs:
+        plain, rest = words.filter(pa.array(simple)), words.filter(pa.array(~simple))
+        many = [Runs(np.zeros(0, np.uint32), np.zeros(0, np.int64))]
+        for at in range(0, len(plain), _ENCODED):
+            many.append(self._simple(plain[at : at + _ENCODED].to_pylist()))
+        for at in range(0, len(rest), _ENCODED):
+            many.append(self._other(rest[at : at + _ENCODED].to_pylist()))
+        return Runs.one_after_another(many).take(np.where(simple, np.cumsum(simple) - 1, len(plain) + np.cumsum(~simple) - 1))
+
+    def _distinct(self, words: pa.Array, simple: np.ndarray, times: np.ndarray) -> Runs:
+        """Runs of distinct words that occur so many times, from memory or encoded now."""
+        found = pc.index_in(words, value_set=self.known)
+        missing = pc.is_null(found).to_numpy(zero_copy_only=False)
+        new, held = words.filter(pa.array(missing)), len(self.known)
+        coded = self._encoded(new, simple[missing])
+        everything = Runs.one_after_another([self.runs, coded])
+        out = everything.take(np.where(missing, held + np.cumsum(missing) - 1, pc.fill_null(found, 0).to_numpy(zero_copy_only=False)))
+        if held + len(new) <= _WORDS_KEPT:
+            self.known, self.runs = pa.concat_arrays([self.known, new]), everything
+        else:  # go on with the words of this text that were known before or repeat
+            keep = np.flatnonzero(~missing | (times > 1))[:_WORDS_KEPT]
+            self.known, self.runs = words.take(pa.array(keep)), out.take(keep)
+        return out
+
+    def _runs(self, words: pa.Array, times: np.ndarray) -> Runs:
+        """Runs of distinct words; simple words are looked up in small letters and without the mark behind them."""
+        matched = pc.match_substring_regex(words, _SIMPLE)
+        simple = matched.to_numpy(zero_copy_only=False)
+        cores = pc.dictionary_encode(pc.if_else(matched, pc.utf8_lower(pc.utf8_rtrim(words, ".,")), words))
+        core = cores.indices.to_numpy(zero_copy_only=False)
+        is_simple = np.zeros(len(cores.dictionary), bool)
+        is_simple[core] = simple
+        runs = self._distinct(cores.dictionary, is_simple, np.bincount(core, times, len(cores.dictionary)))
+        last = pc.utf8_slice_codeunits(words, -1)
+        mark = np.where(simple, pc.fill_null(pc.index_in(last, value_set=pa.array([".", ","])), 2).to_numpy(zero_copy_only=False), 2)
+        pairs = np.column_stack([core, len(runs.sizes) + mark]).ravel()
+        both = Runs.one_after_another([runs, self.marks]).take(pairs)
+        return Runs(both.ids, both.sizes.reshape(-1, 2).sum(1))
+
+    def documents(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and where each text begins in it (with the end of the last)."""
+        blank = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        parts = pc.split_pattern(blank, " ")
+        coded = pc.dictionary_encode(parts.flatten())
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        placed = self._runs(coded.dictionary, np.bincount(code, minlength=len(coded.dictionary))).take(code)
+        first = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))])
+        return placed.ids, np.concatenate([[0], np.cumsum(placed.sizes)])[first]
 
 
 #: Word ids of this Python worker, for all of its tasks.
 _KNOWN: dict[str, WordIds] = {}
 
 
-def by_size(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
-    """(begin, end) of runs of texts with about so many characters."""
+def by_size(lengths: list[int], most: int = _TOGETHER) -> Iterator[tuple[int, int]]:
+    """(begin, end) of runs of texts with about so many bytes."""
     begin = held = 0
-    for end, text in enumerate(texts, 1):
-        held += len(text or "")
-        if held >= chars or end == len(texts):
+    for end, length in enumerate(lengths, 1):
+        held += length
+        if held >= most or end == len(lengths):
             yield begin, end
             begin, held = end, 0
 
@@ -124,19 +150,22 @@ def by_size(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[i
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """``PIECES`` of each row of ``docs`` (doc_id, text): its ids and ``end_id``, cut every ``window`` ids."""
     schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("start", "length", "ids_crc32", "doc_tokens"))])
-    end = np.array([end_id], "<u4").tobytes()
+    last_id = np.array([end_id], "<u4").tobytes()
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _KNOWN.get(tokenizer) or _KNOWN.setdefault(tokenizer, WordIds(tokenizer))
         for batch in stream:
-            doc_ids, texts = (c.to_pylist() for c in batch.columns)
+            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             rows = []
-            for first, last in by_size(texts):
-                for doc_id, ids in zip(doc_ids[first:last], words.documents(texts[first:last])):
-                    ids += end
-                    total = len(ids) >> 2
-                    rows += [(doc_id, at, min(window, total - at), zlib.crc32(ids[4 * at : 4 * (at + window)]), total)
-                             for at in range(0, total, window)]
+            for first, last in by_size(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+                ids, at = words.documents(texts.slice(first, last - first))
+                held, at = memoryview(ids).cast("B"), at.tolist()
+                for doc_id, begin, end in zip(doc_ids[first:last], at, at[1:]):
+                    total = end - begin + 1
+                    for start in range(0, total, window):
+                        upto = begin + start + window
+                        crc = zlib.crc32(held[4 * (begin + start) : 4 * min(upto, end)])
+                        rows.append((doc_id, start, min(window, total - start), zlib.crc32(last_id, crc) if upto > end else crc, total))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(list(zip(*rows)) or [()] * 5, schema)], schema=schema)
 
     return docs.select("doc_id", "text").mapInArrow(batches, PIECES)
