@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chatformat, decontaminate, htmltext, linededup, neardup, packing, quality, tokencounts, urlfilter, warc
+from millrace.llm import (
+    bytebpe, chatformat, decontaminate, divergence, htmltext, linededup, neardup, packing, quality, tokencounts, turnrepair, urlfilter, warc,
+)
 from millrace.llm.common import table
 
 def tokenizer_file(name: str) -> str:
@@ -181,3 +183,68 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     edits = tokencounts.redactions(table(spark, sf_dir, "documents", "doc_id", "text"))
     after = tokencounts.recounted(edits.withColumn("n_edits", F.size("edits").cast("long")), *files)
     return after.select("doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_encoded", F.size("tree.tokens").cast("long").alias("n_leaves"))
+
+
+@query("op11_divergence", r"""
+with docs as (
+  select row_number() over () as id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents
+), words as (
+  select id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+), kept as (
+  select lang, term from words group by lang, term having count(distinct id) >= 30
+), sizes as (
+  select lang, count(*) as v from kept group by lang
+), used as (
+  select lang, source, term, count(*) as n from words join kept using (lang, term) group by all
+), groups as (
+  select d.lang, d.source, coalesce(v, 0) as v from (select distinct lang, source from docs) d left join sizes using (lang)
+), filled as (
+  select g.lang, g.source, g.v, k.term, coalesce(u.n, 0) as n from groups g join kept k on k.lang = g.lang
+  left join used u on u.lang = g.lang and u.source = g.source and u.term = k.term
+), shares as (
+  select lang, source, term, n, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by lang, source) + 5 * v) as p from filled
+), whole as (
+  select lang, term, 1 + (1000000000::hugeint * (n + 5)) // (sum(n) over (partition by lang) + 5 * v) as q
+  from (select lang, term, any_value(v) as v, sum(n) as n from filled group by lang, term)
+), pairs as (
+  select a.lang, a.source, b.source as item, coalesce(d.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join (select x.lang, x.source, y.source as item, sum(abs(x.p - y.p)) as value from shares x
+             join shares y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all) d
+    on d.lang = a.lang and d.source = a.source and d.item = b.source
+), terms as (
+  select lang, source, term as item, (p - q)::bigint as value from shares join whole using (lang, term) where n > 0 and p > q
+), ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pairs
+  union all
+  select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item) from terms
+)
+select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 50
+""")
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the word use of each source of a language is from the others, and its most characteristic terms."""
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, and the texts that they decode to."""
+    import public_tokenizers
+
+    files = tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bytebpe.encoded(table(spark, sf_dir, "documents"), *files)
+    digest = F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256)
+    read = bytebpe.decoded(coded, *files, keep={"n_tokens": F.size("ids").cast("long"), "ids_sha256": digest})
+    return read.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query("op13_turn_repair")
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and the cheapest repair of all conversations, after they were damaged."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    findings, left = turnrepair.repaired(turnrepair.damaged(turns))
+    known = turnrepair.met(turnrepair.met(turns.select("conv_id").distinct(), findings, ["conv_id"], "left"), turnrepair.joined_hash(left), ["conv_id"], "left")
+    return known.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
