@@ -127,25 +127,26 @@ def prefix_counts(docs: DataFrame) -> DataFrame:
     return docs.sparkSession.read.schema(_COUNTS).parquet(path)
 
 
-def sent(df: DataFrame) -> DataFrame:
-    """A written table as a side to broadcast if it is proven small; else Spark joins by shuffle."""
-    return F.broadcast(df) if df.limit(_SENT_ROWS + 1).count() <= _SENT_ROWS else df
+def sent(df: DataFrame, rows: int) -> DataFrame:
+    """A table as a side to broadcast if its rows are few; else Spark joins by shuffle."""
+    return F.broadcast(df) if rows <= _SENT_ROWS else df
 
 
 def kept_terms(counts: DataFrame, at_least: int = AT_LEAST) -> DataFrame:
     """(lang, piece) of the terms in ``at_least`` documents of their language, refined from ``prefix_counts``."""
     scratch = Scratch(counts.sparkSession, "iceberg")
-    kept, parents, level = None, None, 1
+    kept, parents, n_parents, level = None, None, 0, 1
     while True:
         rows = counts.where(F.col("level") == level)
         if parents is not None:
             stem = F.substring("piece", 1, 2 ** (level - 1))
-            rows = rows.withColumn("stem", stem).join(sent(parents), ["lang", "stem"], "left_semi")
+            rows = rows.withColumn("stem", stem).join(sent(parents, n_parents), ["lang", "stem"], "left_semi")
         grown = scratch.pin(rows.groupBy("lang", "piece", "whole").agg(F.sum("n").alias("docs")).where(F.col("docs") >= at_least))
         settled = grown.where("whole").select("lang", "piece")
         kept = settled if kept is None else kept.unionByName(settled)
         parents = grown.where("not whole").select("lang", F.col("piece").alias("stem"))
-        if parents.isEmpty():
+        n_parents = parents.count()
+        if not n_parents:
             return scratch.pin(kept)
         level += 1
 
@@ -221,7 +222,7 @@ def audited(docs: DataFrame, at_least: int = AT_LEAST, ranks: int = RANKS) -> Da
     read = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source")])
     counts = prefix_counts(read)
     kept = kept_terms(counts, at_least)
-    used = counts.where("level = 0").join(sent(kept), ["lang", "piece"], "left_semi")
+    used = counts.where("level = 0").join(sent(kept, kept.count()), ["lang", "piece"], "left_semi")
     used = scratch.pin(used.groupBy("lang", "source", "piece").agg(F.sum("n").alias("n")))
     sizes = read.select("lang", "source").distinct().join(used.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
     of_lang = sizes.groupBy("lang").agg(F.count("*").alias("sources"), F.coalesce(F.sum("total"), F.lit(0)).alias("lang_total")).join(
