@@ -24,14 +24,14 @@ from millrace.session import fresh_path
 
 AT_LEAST, ADDED, SCALE, RANKS = 30, 5, 1_000_000_000, 50
 #: Bytes of text counted together; terms in a block and sources in a tile of the pair sums; rows of a table that may be broadcast.
-_TOGETHER, _BLOCK_TERMS, _TILE_SOURCES, _SENT_ROWS = 16_000_000, 2_000, 256, 500_000
+_TOGETHER, _BLOCK_TERMS, _TILE_SOURCES, _SENT_ROWS = 6_000_000, 2_000, 256, 500_000
 
 #: Letters and all beyond ASCII stay, capitals become small, the rest of ASCII separates.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
-_COUNTS = "lang string, source string, piece binary, whole boolean, n long, level int"
+_COUNTS = "lang string, source string, piece binary, whole boolean, docs long, n long, level int"
 _COUNTS_ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("piece", pa.binary()), ("whole", pa.bool_()),
-                           ("n", pa.int64()), ("level", pa.int32())])
+                           ("docs", pa.int64()), ("n", pa.int64()), ("level", pa.int32())])
 
 
 def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -57,18 +57,8 @@ def _terms(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return owners[filled.to_numpy(zero_copy_only=False)], words.filter(filled)
 
 
-def _summed(keys: np.ndarray, amounts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and the sum of their amounts (or their number)."""
-    if amounts is None:
-        return np.unique(keys, return_counts=True)
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
-    return keys[first], np.add.reduceat(amounts[order], first) if len(first) else amounts
-
-
 def _counted(texts: pa.Array, langs: pa.Array, sources: pa.Array) -> Iterator[pa.RecordBatch]:
-    """Level 0: occurrences of whole terms per language and source. Level k: documents per language and prefix of 2**k bytes."""
+    """On level k, documents of a language with a longer term under each prefix of 2**k bytes, and of a source with each whole term of up to so many bytes."""
     owners, words = _terms(texts)
     coded = pc.dictionary_encode(words)
     order = pc.array_sort_indices(coded.dictionary.cast(pa.large_binary()))
@@ -80,36 +70,40 @@ def _counted(texts: pa.Array, langs: pa.Array, sources: pa.Array) -> Iterator[pa
     rank[order.to_numpy()] = np.arange(n_terms)
     keys, times = np.unique(owners * n_terms + rank[coded.indices.to_numpy(zero_copy_only=False)], return_counts=True)
     owner, term = np.divmod(keys, n_terms)
-    lang = pc.dictionary_encode(langs)
-    source = pc.dictionary_encode(sources)
+    lang, source = pc.dictionary_encode(langs), pc.dictionary_encode(sources)
     of_lang, of_source = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64)[owner] for c in (lang, source))
+    sizes = pc.binary_length(terms).to_numpy(zero_copy_only=False)
 
-    def rows(level, group_lang, group_source, pieces, whole, n):
+    def rows(groups, group_sources, pieces, whole, docs, n, level):
         return pa.RecordBatch.from_arrays([
-            lang.dictionary.take(pa.array(group_lang)), group_source, pieces, pa.array(whole), pa.array(n),
-            pa.array(np.full(len(n), level, np.int32))], schema=_COUNTS_ARROW)
-
-    group, n = _summed((of_lang * len(source.dictionary) + of_source) * n_terms + term, times)
-    group, at = np.divmod(group, n_terms)
-    yield rows(0, group // len(source.dictionary), source.dictionary.take(pa.array(group % len(source.dictionary))),
-               terms.take(pa.array(at)), np.ones(len(n), bool), n)
-    sizes, level, width = pc.binary_length(terms).to_numpy(zero_copy_only=False), 1, 2
+            lang.dictionary.take(pa.array(groups)), group_sources, pieces, pa.array(np.full(len(docs), whole)), pa.array(docs), n,
+            pa.array(np.full(len(docs), level, np.int32))], schema=_COUNTS_ARROW)
+
+    keys = (of_lang * len(source.dictionary) + of_source) * n_terms + term
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    group, at = np.divmod(keys[first], n_terms)
+    group_lang, group_source = np.divmod(group, len(source.dictionary))
+    docs, n = np.diff(first, append=len(keys)), np.add.reduceat(times[order], first)
+    level, width = 1, 2
     while True:
+        here = (sizes[at] <= width) & ((sizes[at] > width // 2) | (level == 1))
+        yield rows(group_lang[here], source.dictionary.take(pa.array(group_source[here])), terms.take(pa.array(at[here])), True, docs[here], pa.array(n[here]), level)
+        longer = sizes > width
+        if not longer.any():
+            return
         pieces = pc.binary_slice(terms, 0, width)
-        whole = sizes <= width
-        differs = np.ones(n_terms, bool)  # pieces are in order; a whole term stands before longer ones
-        differs[1:] = pc.not_equal(pieces[1:], pieces[:-1]).to_numpy(zero_copy_only=False) | (whole[1:] != whole[:-1])
+        differs = np.ones(n_terms, bool)  # terms are in order, so those of a prefix follow each other
+        differs[1:] = pc.not_equal(pieces[1:], pieces[:-1]).to_numpy(zero_copy_only=False)
         piece, firsts = np.cumsum(differs) - 1, np.flatnonzero(differs)
-        open_ = (sizes > width // 2 if level > 1 else np.ones(n_terms, bool))[term]
-        own_doc, own_piece, own_lang = owner[open_], piece[term[open_]], of_lang[open_]
+        kept = longer[term]
+        own_doc, own_piece, own_lang = owner[kept], piece[term[kept]], of_lang[kept]
         fresh = np.ones(len(own_doc), bool)
         fresh[1:] = (own_doc[1:] != own_doc[:-1]) | (own_piece[1:] != own_piece[:-1])
-        group, n = _summed(own_lang[fresh] * len(firsts) + own_piece[fresh])
-        group, at = np.divmod(group, len(firsts))
-        at = firsts[at]
-        yield rows(level, group, pa.nulls(len(n), pa.string()), pieces.take(pa.array(at)), whole[at], n)
-        if whole.all():
-            return
+        found, many = np.unique(own_lang[fresh] * len(firsts) + own_piece[fresh], return_counts=True)
+        in_lang, under = np.divmod(found, len(firsts))
+        yield rows(in_lang, pa.nulls(len(many), pa.string()), pieces.take(pa.array(firsts[under])), False, many, pa.nulls(len(many), pa.int64()), level)
         level, width = level + 1, width * 2
 
 
@@ -141,7 +135,7 @@ def kept_terms(counts: DataFrame, at_least: int = AT_LEAST) -> DataFrame:
         if parents is not None:
             stem = F.substring("piece", 1, 2 ** (level - 1))
             rows = rows.withColumn("stem", stem).join(sent(parents, n_parents), ["lang", "stem"], "left_semi")
-        grown = scratch.pin(rows.groupBy("lang", "piece", "whole").agg(F.sum("n").alias("docs")).where(F.col("docs") >= at_least))
+        grown = scratch.pin(rows.groupBy("lang", "piece", "whole").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= at_least))
         settled = grown.where("whole").select("lang", "piece")
         kept = settled if kept is None else kept.unionByName(settled)
         parents = grown.where("not whole").select("lang", F.col("piece").alias("stem"))
@@ -222,7 +216,7 @@ def audited(docs: DataFrame, at_least: int = AT_LEAST, ranks: int = RANKS) -> Da
     read = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source")])
     counts = prefix_counts(read)
     kept = kept_terms(counts, at_least)
-    used = counts.where("level = 0").join(sent(kept, kept.count()), ["lang", "piece"], "left_semi")
+    used = counts.where("whole").join(sent(kept, kept.count()), ["lang", "piece"], "left_semi")
     used = scratch.pin(used.groupBy("lang", "source", "piece").agg(F.sum("n").alias("n")))
     sizes = read.select("lang", "source").distinct().join(used.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
     of_lang = sizes.groupBy("lang").agg(F.count("*").alias("sources"), F.coalesce(F.sum("total"), F.lit(0)).alias("lang_total")).join(

@@ -72,8 +72,8 @@ def test_prefixes_that_are_too_rare_are_not_extended(spark):
     """Ten terms with a common first half stay below the threshold alone: the half is kept on two levels, then all go."""
     docs = spark.createDataFrame([(f"shared{chr(97 + k % 10)}x kept", "en", "s") for k in range(60)], "text string, lang string, source string")
     counts = divergence.prefix_counts(docs)
-    by_level = {r.level: r.n for r in counts.groupBy("level").agg(F.sum("n").alias("n")).collect()}
-    assert by_level == {0: 120, 1: 120, 2: 120, 3: 60}
+    docs_of = {(r.level, r.whole): r.docs for r in counts.groupBy("level", "whole").agg(F.sum("docs").alias("docs")).collect()}
+    assert docs_of == {(1, False): 120, (2, False): 60, (2, True): 60, (3, True): 60}
     assert [bytes(r.piece) for r in divergence.kept_terms(counts, 30).collect()] == [b"kept"]
     assert sorted(bytes(r.piece) for r in divergence.kept_terms(counts, 6).collect())[:2] == [b"kept", b"sharedax"]
     assert divergence.kept_terms(counts, 61).count() == 0
