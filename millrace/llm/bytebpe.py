@@ -23,10 +23,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-#: Pairs of tokens, and pre-tokens of a generation, that a Python worker remembers; bytes after which a long pre-token tells ids.
-_PAIRS_KEPT, _PIECES_KEPT, _PART = 400_000, 200_000, 1024
+#: Pairs of tokens, and pre-tokens of a generation, that a Python worker remembers; bytes after which a
+#: long pre-token tells ids; most bytes of pre-tokens that go in step.
+_PAIRS_KEPT, _PIECES_KEPT, _PART, _IN_STEP = 300_000, 200_000, 1024, 48
 #: Bytes of text worked on together.
-_TOGETHER = 8_000_000
+_TOGETHER = 4_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,7 +44,7 @@ class Merges:
         if missing := [b for b in range(256) if bytes([b]) not in ranks]:
             raise ValueError(f"no token for bytes {missing}")
         self._made: dict[int, list[tuple] | None] = {}
-        self._agree: dict[int, bool] = {}
+        self.known: dict[int, bool] = {}
 
     def _merged(self, rank: int) -> list[tuple] | None:
         """How the bytes of a token are merged: (rank of the next merge, first part, last part) before each merge and at the end.
@@ -68,12 +69,11 @@ class Merges:
     def agree(self, first: int, second: int) -> bool:
         """Whether merging the bytes of two reachable tokens leaves just these two."""
         key = first << 32 | second
-        known = self._agree.get(key)
-        if known is None:
-            if len(self._agree) >= _PAIRS_KEPT:
-                self._agree.clear()
-            known = self._agree[key] = self._apart(self._merged(first), self._merged(second))
-        return known
+        if key not in self.known:
+            if len(self.known) >= _PAIRS_KEPT:
+                self.known.clear()
+            self.known[key] = self._apart(self._merged(first), self._merged(second))
+        return self.known[key]
 
     def _apart(self, left: list[tuple], right: list[tuple]) -> bool:
         i = j = 0
@@ -111,10 +111,13 @@ class Encoder:
                 node = child
             self.token_at[node] = rank
         self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        self.size_of = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.size_of[list(self.sizes)] = list(self.sizes.values())
         self.numbers: dict[tuple[int, ...], int] = {(0,): 0}
         self.places: list[tuple[int, ...]] = [(0,)]  # the longest first
         self.steps: list[dict[int, int]] = [{}]
         self.ends: list[tuple[tuple[int, int], ...]] = [()]  # (bytes, token), the longest first
+        self.table, self.end_at = np.full((1024, 256), -1, np.int64), np.full((1024, 8, 2), -1, np.int64)  # steps and ends as arrays
 
     def _step(self, state: int, byte: int) -> int:
         """Make the step from a state by a byte."""
@@ -164,22 +167,64 @@ class Encoder:
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one pre-token. A pre-token that is a token in whole is that token, even if no merge makes it."""
-        state, last, steps, ends, agree = 0, [None], self.steps, self.ends, self.merges.agree
-        if len(piece) > _PART:
-            if piece in self.merges.ranks:
-                return [self.merges.ranks[piece]]
-            return list(self.stream(piece[at : at + _PART] for at in range(0, len(piece), _PART)))
-        for at, byte in enumerate(piece, 1):
-            state = steps[state].get(byte) or self._step(state, byte)
-            for size, token in ends[state]:
-                before = last[at - size]
-                if before is None or agree(before, token):
-                    last.append(token)
-                    break
-        ids = self._way(last, len(piece))
-        if len(ids) > 1 and piece in self.merges.ranks:
+        if len(piece) > 1 and piece in self.merges.ranks and not self.merges.reachable(self.merges.ranks[piece]):
             return [self.merges.ranks[piece]]
-        return ids
+        return list(self.stream(piece[at : at + _PART] for at in range(0, len(piece), _PART)))
+
+    def _moved(self, states: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
+        """States after a byte for each of many pre-tokens."""
+        after = self.table[states, bytes_]
+        for pair in np.unique(states[after < 0] << 8 | bytes_[after < 0]).tolist():
+            state, byte = pair >> 8, pair & 255
+            to = self.steps[state].get(byte) or self._step(state, byte)
+            if to >= len(self.table):
+                grown = len(self.table)
+                self.table = np.concatenate([self.table, np.full((grown, 256), -1, np.int64)])
+                self.end_at = np.concatenate([self.end_at, np.full((grown, *self.end_at.shape[1:]), -1, np.int64)])
+            if len(self.ends[to]) > self.end_at.shape[1]:
+                wider = len(self.ends[to]) - self.end_at.shape[1]
+                self.end_at = np.concatenate([self.end_at, np.full((len(self.end_at), wider, 2), -1, np.int64)], axis=1)
+            self.table[state, byte] = to
+            self.end_at[to, : len(self.ends[to])] = self.ends[to]
+        return self.table[states, bytes_]
+
+    def _agreed(self, firsts: np.ndarray, seconds: np.ndarray) -> np.ndarray:
+        pairs, place = np.unique(firsts << 32 | seconds, return_inverse=True)
+        return np.fromiter((self.merges.agree(pair >> 32, pair & 0xFFFFFFFF) for pair in pairs.tolist()), bool, len(pairs))[place]
+
+    def encode_many(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids (four bytes each) of many pre-tokens, a step of all of them at a time; long ones go one by one."""
+        out = [np.array(self.encode(piece), "<i4").tobytes() if len(piece) > _IN_STEP else b"" for piece in pieces]
+        order = sorted((k for k, piece in enumerate(pieces) if 0 < len(piece) <= _IN_STEP), key=lambda k: -len(pieces[k]))
+        if not order:
+            return out
+        sizes = np.array([len(pieces[k]) for k in order])
+        text = np.frombuffer(b"".join(pieces[k].ljust(_IN_STEP, b"\0") for k in order), np.uint8).reshape(-1, _IN_STEP).astype(np.int64)
+        last, states = np.full((len(order), _IN_STEP + 1), -1, np.int64), np.zeros(len(order), np.int64)
+        for at in range(int(sizes[0])):
+            n = int(np.searchsorted(-sizes, -at))  # those with a byte here; the longest stand first
+            states[:n] = self._moved(states[:n], text[:n, at])
+            open_, rank = np.arange(n), 0
+            while len(open_):
+                size, token = self.end_at[states[open_], rank].T
+                prior = last[open_, at + 1 - size]
+                fits = prior < 0
+                fits[~fits] = self._agreed(prior[~fits], token[~fits])
+                last[open_[fits], at + 1] = token[fits]
+                open_, rank = open_[~fits], rank + 1
+        ats, rows, found = sizes.copy(), np.arange(len(order)), []
+        while len(rows):
+            tokens = last[rows, ats[rows]]
+            found.append((rows, tokens))
+            ats[rows] -= self.size_of[tokens]
+            rows = rows[ats[rows] > 0]
+        row = np.concatenate([r for r, _ in found[::-1]])
+        ids = np.concatenate([t for _, t in found[::-1]])[np.argsort(row, kind="stable")].astype("<i4").tobytes()
+        ends = np.cumsum(4 * np.bincount(row, minlength=len(order))).tolist()
+        for k, begin, end in zip(order, [0, *ends], ends):
+            whole = end - begin > 4 and self.merges.ranks.get(pieces[k])
+            out[k] = ids[begin:end] if whole in (False, None) else np.array([whole], "<i4").tobytes()
+        return out
 
 
 #: Lead bytes of UTF-8 to the number of bytes that follow and the bounds of the first of them; fixed values of the format.
@@ -236,7 +281,9 @@ class Decoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.steps: dict[bytes, dict[int, tuple[bytes, str]]] = {b"": {}}
+        self.steps = {b"": {rank: Utf8Decoder.step(b"", token) for rank, token in self.tokens.items()}}
+        #: texts of the tokens that leave no character open when none is
+        self.closed = {rank: text for rank, (open_, text) in self.steps[b""].items() if not open_}
 
     def parts(self, ids: Iterable[int]) -> Iterator[str]:
         open_, steps = b"", self.steps[b""]
@@ -244,54 +291,57 @@ class Decoder:
             made = steps.get(token)
             if made is None:
                 made = steps[token] = Utf8Decoder.step(open_, self.tokens[token])
-                self.steps.setdefault(made[0], {})
             if made[0] != open_:
                 open_ = made[0]
-                steps = self.steps[open_]
+                steps = self.steps.setdefault(open_, {})
             yield made[1]
         if open_:
-            yield "�"
+            yield "\ufffd"
 
-    def text(self, ids: Iterable[int]) -> str:
-        return "".join(self.parts(ids))
+    def text(self, ids: list[int]) -> str:
+        try:
+            return "".join(map(self.closed.__getitem__, ids))
+        except KeyError:  # some token ends within a character
+            return "".join(self.parts(ids))
 
 
 class Coder:
-    """Encoder and decoder of a vocabulary file, with the pattern that cuts texts into pre-tokens."""
+    """Ids of texts, cut into pre-tokens by a pattern."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
 
-        ranks = read_ranks(path)
-        self.encoder, self.decoder, self.cut = Encoder(ranks), Decoder(ranks), regex.compile(pattern)
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
-
-    def _coded(self, piece: str) -> tuple[int, ...]:
-        """Ids of a pre-token that was not met lately; a full generation of known ones becomes the old one."""
-        ids = self.old.get(piece) or tuple(self.encoder.encode(piece.encode()))
-        if len(piece) < 100:
-            if len(self.young) >= _PIECES_KEPT:
-                self.young, self.old = {}, self.young
-            self.young[piece] = ids
-        return ids
-
-    def ids(self, text: str) -> list[int]:
-        out = []
-        for piece in self.cut.findall(text):
-            out += self.young.get(piece) or self._coded(piece)
-        return out
+        self.encoder, self.cut = Encoder(ranks), regex.compile(pattern)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def text(self, ids: Iterable[int]) -> str:
-        return self.decoder.text(ids)
+    def _meet(self, pieces: set[str]) -> None:
+        """Make ids of all ``pieces`` known; a full generation of known ones becomes the old one."""
+        if len(self.young) >= _PIECES_KEPT:
+            self.old, self.young = self.young, {}
+        missing = pieces - self.young.keys()
+        again = self.old.keys() & missing
+        self.young.update((piece, self.old[piece]) for piece in again)
+        new = list(missing - again)
+        self.young.update(zip(new, self.encoder.encode_many([piece.encode() for piece in new])))
 
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text, four bytes each."""
+        cut = [self.cut.findall(text or "") for text in texts]
+        self._meet(set().union(*cut))
+        return [b"".join(map(self.young.__getitem__, pieces)) for pieces in cut]
 
-#: Coders of this Python worker, for all of its tasks.
-_CODERS: dict[tuple[str, str], Coder] = {}
+
+#: Coders and decoders of this Python worker, for all of its tasks.
+_KEPT: dict[tuple, Coder | Decoder] = {}
 
 
 def coder(path: str, pattern: str) -> Coder:
-    return _CODERS.get((path, pattern)) or _CODERS.setdefault((path, pattern), Coder(path, pattern))
+    return _KEPT.get((path, pattern)) or _KEPT.setdefault((path, pattern), Coder(read_ranks(path), pattern))
+
+
+def decoder(path: str) -> Decoder:
+    return _KEPT.get((path,)) or _KEPT.setdefault((path,), Decoder(read_ranks(path)))
 
 
 def _runs(sizes: Iterable[int]) -> Iterator[tuple[int, int]]:
@@ -315,26 +365,26 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in stream:
             doc_ids, texts = batch.column("doc_id"), batch.column("text")
             for begin, number in _runs(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
-                found = [np.array(own.ids(text or ""), np.int32) for text in texts.slice(begin, number).to_pylist()]
-                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                found = own.ids(texts.slice(begin, number).to_pylist())
+                ends = np.cumsum([0, *map(len, found)]) // 4
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
                 yield pa.RecordBatch.from_arrays([doc_ids.slice(begin, number), ids], names=["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(batches, StructType().add("doc_id", kind).add("ids", ArrayType(IntegerType())))
 
 
-def decoded(rows: DataFrame, path: str, pattern: str, keep: dict[str, Column] | None = None) -> DataFrame:
+def decoded(rows: DataFrame, path: str, keep: dict[str, Column] | None = None) -> DataFrame:
     """(doc_id, text) of rows (doc_id, ids), with columns to ``keep``; null ids are no ids. Other columns are ignored."""
     given = rows.select("doc_id", "ids", *[value.alias(name) for name, value in (keep or {}).items()])
     schema = StructType([*(field for field in given.schema if field.name != "ids")]).add("text", "string")
     names = [field.name for field in schema[:-1]]
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
+        own = decoder(path)
         for batch in stream:
             ids = batch.column("ids")
             for begin, number in _runs(4 * n for n in pc.fill_null(pc.list_value_length(ids), 0).to_pylist()):
-                texts = [own.text(some or ()) for some in ids.slice(begin, number).to_pylist()]
+                texts = [own.text(some or []) for some in ids.slice(begin, number).to_pylist()]
                 kept = [batch.column(name).slice(begin, number) for name in names]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=[*names, "text"])
 

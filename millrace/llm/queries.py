@@ -235,7 +235,7 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     coded = bytebpe.encoded(table(spark, sf_dir, "documents"), *files)
     digest = F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256)
-    read = bytebpe.decoded(coded, *files, keep={"n_tokens": F.size("ids").cast("long"), "ids_sha256": digest})
+    read = bytebpe.decoded(coded, files[0], keep={"n_tokens": F.size("ids").cast("long"), "ids_sha256": digest})
     return read.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
