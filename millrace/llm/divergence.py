@@ -200,7 +200,8 @@ def pair_sums(groups: DataFrame, shares: DataFrame) -> DataFrame:
     paired = offered.withColumns({"low": F.least("tile", "with"), "high": F.greatest("tile", "with")})
     parts = paired.select("lang", "source", "tile", "block", "low", "high", "piece", "p").groupBy("lang", "block", "low", "high").applyInArrow(
         _tile, "lang string, one string, other string, value long")
-    return parts.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
+    named = parts.select("lang", F.least("one", "other").alias("one"), F.greatest("one", "other").alias("other"), "value")  # a block may meet them either way round
+    return named.groupBy("lang", "one", "other").agg(F.sum("value").alias("value"))
 
 
 def audited(docs: DataFrame, at_least: int = AT_LEAST, ranks: int = RANKS) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +69,23 @@ def test_tiles_blocks_and_batches_change_nothing(spark, monkeypatch):
     assert {tuple(r) for r in divergence.audited(docs, 3, ranks=4).collect()} == brute(rows, 3, 4)
 
 
+def test_blocks_may_meet_two_sources_either_way_round(spark, monkeypatch):
+    """Half of the blocks get the rows of the sources in the other order."""
+    monkeypatch.setattr(divergence, "_BLOCK_TERMS", 1)
+    names = ["a", "b", "c"]
+    groups = spark.createDataFrame([("en", s, 1, 40, 3) for s in names], "lang string, source string, base long, terms long, sources long").coalesce(1)
+    rows = [("en", s, f"t{t}".encode(), 10 * k + 2) for t in range(40) for k, s in enumerate(names if t % 2 else names[::-1]) if t % 4 or s != "a"]
+    shares = spark.createDataFrame(rows, "lang string, source string, piece binary, p long").coalesce(1)
+    both = {}
+    for order in (groups.orderBy("source"), groups.orderBy(F.desc("source"))):
+        for r in divergence.pair_sums(order, shares.orderBy("piece", F.desc("source") if order is not groups else "source")).collect():
+            both.setdefault((r.one, r.other), set()).add(r.value)
+    assert both == {("a", "b"): {30 * 10 + 10 * 11}, ("a", "c"): {30 * 20 + 10 * 1}, ("b", "c"): {40 * 10}}
+    turned = divergence._tile(pa.table({"lang": ["en"] * 4, "source": ["b", "a", "b", "a"], "tile": [0] * 4, "low": [0] * 4, "high": [0] * 4,
+                                        "piece": pa.array([None, None, b"x", b"x"], pa.binary()), "p": [1, 1, 5, 9]}))
+    assert turned.to_pylist() == [{"lang": "en", "one": "b", "other": "a", "value": 4}]
+
+
 def test_prefixes_that_are_too_rare_are_not_extended(spark):
     """Ten terms with a common first half stay below the threshold alone: the half is kept on two levels, then all go."""
     docs = spark.createDataFrame([(f"shared{chr(97 + k % 10)}x kept", "en", "s") for k in range(60)], "text string, lang string, source string")
