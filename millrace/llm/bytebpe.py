@@ -25,9 +25,9 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 #: Pairs of tokens, and pre-tokens of a generation, that a Python worker remembers; bytes after which a
 #: long pre-token tells ids; most bytes of pre-tokens that go in step.
-_PAIRS_KEPT, _PIECES_KEPT, _PART, _IN_STEP = 300_000, 200_000, 1024, 48
+_PAIRS_KEPT, _PIECES_KEPT, _PART, _IN_STEP = 250_000, 150_000, 1024, 48
 #: Bytes of text worked on together.
-_TOGETHER = 4_000_000
+_TOGETHER = 2_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -117,7 +117,7 @@ class Encoder:
         self.places: list[tuple[int, ...]] = [(0,)]  # the longest first
         self.steps: list[dict[int, int]] = [{}]
         self.ends: list[tuple[tuple[int, int], ...]] = [()]  # (bytes, token), the longest first
-        self.table, self.end_at = np.full((1024, 256), -1, np.int64), np.full((1024, 8, 2), -1, np.int64)  # steps and ends as arrays
+        self.table, self.end_at = np.full((1024, 256), -1, np.int32), np.full((1024, 8, 2), -1, np.int64)  # steps and ends as arrays
 
     def _step(self, state: int, byte: int) -> int:
         """Make the step from a state by a byte."""
@@ -179,7 +179,7 @@ class Encoder:
             to = self.steps[state].get(byte) or self._step(state, byte)
             if to >= len(self.table):
                 grown = len(self.table)
-                self.table = np.concatenate([self.table, np.full((grown, 256), -1, np.int64)])
+                self.table = np.concatenate([self.table, np.full((grown, 256), -1, np.int32)])
                 self.end_at = np.concatenate([self.end_at, np.full((grown, *self.end_at.shape[1:]), -1, np.int64)])
             if len(self.ends[to]) > self.end_at.shape[1]:
                 wider = len(self.ends[to]) - self.end_at.shape[1]
@@ -190,7 +190,9 @@ class Encoder:
 
     def _agreed(self, firsts: np.ndarray, seconds: np.ndarray) -> np.ndarray:
         pairs, place = np.unique(firsts << 32 | seconds, return_inverse=True)
-        return np.fromiter((self.merges.agree(pair >> 32, pair & 0xFFFFFFFF) for pair in pairs.tolist()), bool, len(pairs))[place]
+        known, agree = self.merges.known.get, self.merges.agree
+        told = [agree(pair >> 32, pair & 0xFFFFFFFF) if (one := known(pair)) is None else one for pair in pairs.tolist()]
+        return np.array(told, bool)[place]
 
     def encode_many(self, pieces: list[bytes]) -> list[bytes]:
         """Ids (four bytes each) of many pre-tokens, a step of all of them at a time; long ones go one by one."""
@@ -199,15 +201,15 @@ class Encoder:
         if not order:
             return out
         sizes = np.array([len(pieces[k]) for k in order])
-        text = np.frombuffer(b"".join(pieces[k].ljust(_IN_STEP, b"\0") for k in order), np.uint8).reshape(-1, _IN_STEP).astype(np.int64)
-        last, states = np.full((len(order), _IN_STEP + 1), -1, np.int64), np.zeros(len(order), np.int64)
+        text = np.frombuffer(b"".join(pieces[k].ljust(_IN_STEP, b"\0") for k in order), np.uint8).reshape(-1, _IN_STEP)
+        last, states = np.full((len(order), _IN_STEP + 1), -1, np.int32), np.zeros(len(order), np.int64)
         for at in range(int(sizes[0])):
             n = int(np.searchsorted(-sizes, -at))  # those with a byte here; the longest stand first
-            states[:n] = self._moved(states[:n], text[:n, at])
+            states[:n] = self._moved(states[:n], text[:n, at].astype(np.int64))
             open_, rank = np.arange(n), 0
             while len(open_):
                 size, token = self.end_at[states[open_], rank].T
-                prior = last[open_, at + 1 - size]
+                prior = last[open_, at + 1 - size].astype(np.int64)
                 fits = prior < 0
                 fits[~fits] = self._agreed(prior[~fits], token[~fits])
                 last[open_[fits], at + 1] = token[fits]
@@ -286,23 +288,35 @@ class Decoder:
         self.closed = {rank: text for rank, (open_, text) in self.steps[b""].items() if not open_}
 
     def parts(self, ids: Iterable[int]) -> Iterator[str]:
-        open_, steps = b"", self.steps[b""]
+        """Text told by each token in turn, and at the end."""
+        open_ = b""
         for token in ids:
-            made = steps.get(token)
-            if made is None:
-                made = steps[token] = Utf8Decoder.step(open_, self.tokens[token])
-            if made[0] != open_:
-                open_ = made[0]
-                steps = self.steps.setdefault(open_, {})
-            yield made[1]
+            open_, text = self._step(open_, token)
+            yield text
         if open_:
             yield "\ufffd"
 
+    def _step(self, open_: bytes, token: int) -> tuple[bytes, str]:
+        steps = self.steps.setdefault(open_, {})
+        made = steps.get(token)
+        if made is None:
+            made = steps[token] = Utf8Decoder.step(open_, self.tokens[token])
+        return made
+
     def text(self, ids: list[int]) -> str:
-        try:
-            return "".join(map(self.closed.__getitem__, ids))
-        except KeyError:  # some token ends within a character
-            return "".join(self.parts(ids))
+        texts, at = list(map(self.closed.get, ids)), -1
+        for _ in range(texts.count(None)):  # a token that ends within a character: step on until none is open
+            try:
+                at = texts.index(None, at + 1)
+            except ValueError:
+                break
+            open_, texts[at] = self._step(b"", ids[at])
+            while open_ and at + 1 < len(ids):
+                at += 1
+                open_, texts[at] = self._step(open_, ids[at])
+            if open_:
+                texts.append("\ufffd")
+        return "".join(texts)
 
 
 class Coder:
@@ -319,7 +333,8 @@ class Coder:
         """Make ids of all ``pieces`` known; a full generation of known ones becomes the old one."""
         if len(self.young) >= _PIECES_KEPT:
             self.old, self.young = self.young, {}
-        missing = pieces - self.young.keys()
+        young = self.young
+        missing = {piece for piece in pieces if piece not in young}
         again = self.old.keys() & missing
         self.young.update((piece, self.old[piece]) for piece in again)
         new = list(missing - again)
