@@ -38,16 +38,34 @@ def _gate(u: Column, lo: int, hi: int) -> tuple[Column, Column]:
     return size, (size % 5) > 1
 
 
+#: Symbols that one hash gives, of 16 bits each.
+DRAWS = 8
+
+
+def _drawn(seed: int, *keys: Column, size: Column) -> Column:
+    """Hex digits for ``size`` draws: hashes of the keys with 0, 1, 2, ... behind them; draw i has digits 4 i to 4 i + 3."""
+    stem = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys], F.lit(""))
+    hashes = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / DRAWS)), lambda n: F.md5(F.concat(stem, n.cast("string"))))
+    return F.array_join(hashes, "")
+
+
 def random_text(seed: int, *keys: Column, lo: int = 0, hi: int = 50, gated: bool = True,
                 portable: bool = False) -> Column:
-    """Text of ``lo`` to ``hi - 1`` symbols; with ``gated`` some rows stay empty."""
+    """Text of ``lo`` to ``hi - 1`` symbols; with ``gated`` some rows stay empty.
+
+    ``portable=True`` takes eight symbols from one MD5.
+    """
     size, open_gate = _gate(uniform(seed, *keys, portable=portable), lo, hi)
+    symbols = len(SYMBOLS)
 
-    def symbol(i: Column) -> Column:
-        u = uniform(seed, *keys, i, portable=portable)
-        return F.substring(F.lit(SYMBOLS), F.floor(u * F.lit(float(len(SYMBOLS)))).cast("int") + 1, F.lit(1))
+    def picked(place: Column) -> Column:
+        return F.substring(F.lit(SYMBOLS), place.cast("int") + 1, F.lit(1))
 
-    word = F.array_join(F.transform(F.sequence(F.lit(1), size), symbol), "")
+    if portable:
+        digits = F.split(F.regexp_replace(_drawn(seed, *keys, size=size), "(.{4})", "$1 "), " ", -1)
+        word = F.array_join(F.transform(F.slice(digits, 1, size), lambda d: picked(F.floor(F.conv(d, 16, 10).cast("int") * symbols / 65536))), "")
+    else:
+        word = F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: picked(F.floor(uniform(seed, *keys, i) * F.lit(float(symbols))))), "")
     filled = (size >= 1) & open_gate if gated else size >= 1
     return F.when(filled, word).otherwise(F.lit(""))
 

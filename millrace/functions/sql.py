@@ -18,6 +18,8 @@ def _portable(key: str) -> str:
     return f"(CAST(conv(substring(md5(concat_ws('|', CAST(seed AS STRING), {key})), 1, 13), 16, 10) AS BIGINT) / {_TWO_52}D)"
 
 
+#: draw i (from 1) of a text: 16 bits of the hash of the key and (i - 1) div 8
+_DRAW = "CAST(conv(substring(md5(concat_ws('|', CAST(seed AS STRING), row_key, CAST((i - 1) div 8 AS STRING))), 1 + 4 * ((i - 1) % 8), 4), 16, 10) AS INT)"
 _SIZE = f"CAST(floor({_portable('row_key')} * (hi - lo) + lo) AS INT)"
 _FIELD = "CAST(floor({u} * (lo - hi) + hi) AS BIGINT)"
 
@@ -49,7 +51,7 @@ FUNCTIONS = {
     "portable_uniform": ("seed BIGINT, row_key STRING", "DOUBLE", _portable("row_key")),
     "random_text_between": ("seed BIGINT, row_key STRING, lo INT, hi INT", "STRING",
                             f"CASE WHEN {_SIZE} >= 1 AND {_SIZE} % 5 > 1 THEN array_join(transform(sequence(1, {_SIZE}), i -> substring('{SYMBOLS}', "
-                            + f"CAST(floor({_portable('row_key, CAST(i AS STRING)')} * {len(SYMBOLS)}) AS INT) + 1, 1)), '') ELSE '' END"),
+                            + f"CAST(floor({_DRAW} * {len(SYMBOLS)} / 65536) AS INT) + 1, 1)), '') ELSE '' END"),
     "random_json": ("seed BIGINT, row_key STRING, lo INT, hi INT", "STRING",
                     f"CASE WHEN {_SIZE} % 5 > 1 THEN to_json(named_struct("
                     + ", ".join(f"'{k}', " + _FIELD.format(u=_portable(f"row_key, '{k}'")) for k in "abc") + ")) END"),

@@ -6,39 +6,41 @@ levels instead: the rows are range-sorted by key and order and pinned, the
 parts of that sort are chunks, and rows are windowed inside ``(key, chunk)``.
 Only a key that does not fit one part lies in several. Every chunk starts from
 a *seed row* that carries what came before it in its key; seeds come from one
-row per key and chunk. The plan is the same for every size of table.
+row per key and chunk. The plan is the same for every size of table; how many
+parts a sort has follows from its bytes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from millrace.session import pin
 
 _POSITION_BITS = 33  # row position inside its part, as laid out by monotonically_increasing_id
+#: Bytes of a part of a sort, and the most parts of one.
+PART_BYTES, MOST_PARTS = 64 << 20, 100_000
 
 
-def _parts(df: DataFrame) -> int:
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def parts_of(df: DataFrame) -> int:
+    """Parts of a sort, by the bytes that Spark expects of ``df`` (of stored tables, by their files); at least one for each core."""
+    expected = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(2, df.sparkSession.sparkContext.defaultParallelism, min(MOST_PARTS, -(-expected // PART_BYTES)))
 
 
 def chunked(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """``df`` with a ``_chunk`` column that does not decrease along ``keys`` and ``order``."""
-    return pin_sorted(df, [*keys, *order], _parts(df)).withColumnRenamed("_part", "_chunk").drop("_pos")
+    return pin_sorted(df, [*keys, *order], parts_of(df)).withColumnRenamed("_part", "_chunk").drop("_pos")
 
 
-def _carried(ends: DataFrame, keys: list[str], along: dict[str, Column], ahead: dict[str, Column], parts: int) -> DataFrame:
-    """What the earlier chunks of a key leave to each of its chunks, from one row per key and chunk.
+def _along(keys: list[str]) -> WindowSpec:
+    """The chunks of a key in order. There is one row for each key and chunk; without keys, one for each part of a sort."""
+    return Window.partitionBy(*keys).orderBy("_chunk")
 
-    ``along`` are window expressions over the chunks of a key. Without keys there
-    is one row per chunk; it is offered to all later chunks and ``ahead``
-    aggregates what a chunk was offered.
-    """
-    if keys:
-        return ends.select(*keys, "_chunk", *[c.alias(n) for n, c in along.items()])
-    offered = ends.withColumn("_from", F.col("_chunk")).withColumn("_chunk", F.explode(F.sequence(F.col("_chunk") + 1, F.lit(parts))))
-    return offered.groupBy("_chunk").agg(*[c.alias(n) for n, c in ahead.items()])
+
+def _earlier(keys: list[str]) -> WindowSpec:
+    return _along(keys).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def pin_sorted(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
@@ -61,11 +63,10 @@ def pin_sorted(df: DataFrame, order: list, parts: int | None = None) -> DataFram
 
 def global_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFrame:
     """Dense 1..n over the whole table in the given (total) order."""
-    parts = _parts(df)
-    placed = pin_sorted(df, order, parts)
+    placed = pin_sorted(df, order, parts_of(df))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
-    later = counts.select(F.explode(F.sequence(F.col("_part"), F.lit(parts))).alias("_at"), "_part", "_rows")
-    offsets = later.groupBy(F.col("_at").alias("_part")).agg(F.coalesce(F.sum(F.when(F.col("_at") > F.col("_part"), F.col("_rows"))), F.lit(0)).alias("_before"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
     numbered = placed.join(F.broadcast(offsets), "_part")  # one row per part
     return numbered.withColumn(name, F.col("_before") + F.col("_pos") + 1).select(*df.columns, name)
 
@@ -77,8 +78,7 @@ def with_previous(df: DataFrame, keys: list[str], order: str, values: list[str],
     """
     tagged = chunked(df, keys, [order]).withColumn("_real", F.lit(1))
     last = tagged.groupBy(*keys, "_chunk").agg(F.max_by(F.struct(*values), order).alias("_last"))
-    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk"))
-    seeds = _carried(last, keys, {"_before": before}, {"_before": F.max_by("_last", "_from")}, _parts(df))
+    seeds = last.withColumn("_before", F.lag("_last").over(_along(keys)))
     seeds = seeds.where(F.col("_before").isNotNull()).select(*keys, "_chunk", "_before.*", F.lit(0).alias("_real"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", order)
     rows = tagged.unionByName(seeds, allowMissingColumns=True)
@@ -90,10 +90,9 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str], amounts: dict
     """Per name, the sum of its amount from the first row of the key up to and with each row."""
     tagged = chunked(df.select("*", *[a.alias(n) for n, a in amounts.items()]), keys, order).withColumn("_real", F.lit(1))
     totals = tagged.groupBy(*keys, "_chunk").agg(*[F.sum(n).alias(n) for n in amounts])
-    along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = {**{n: F.sum(n).over(along) for n in amounts}, "_n": F.count(F.lit(1)).over(along)}
-    offered = {**{n: F.sum(n) for n in amounts}, "_n": F.count(F.lit(1))}
-    seeds = _carried(totals, keys, earlier, offered, _parts(df)).where("_n > 0").drop("_n").withColumn("_real", F.lit(0))
+    earlier = _earlier(keys)
+    seeds = totals.select(*keys, "_chunk", *[F.sum(n).over(earlier).alias(n) for n in amounts], F.count(F.lit(1)).over(earlier).alias("_n"))
+    seeds = seeds.where("_n > 0").drop("_n").withColumn("_real", F.lit(0))
     rows = tagged.unionByName(seeds, allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -109,8 +108,7 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], value: str | C
     source = F.col(value) if isinstance(value, str) else value
     tagged = chunked(df.select("*", source.alias(name)), keys, order).withColumn("_real", F.lit(1))
     tops = tagged.groupBy(*keys, "_chunk").agg(F.max(name).alias(name))
-    along = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    seeds = _carried(tops, keys, {name: F.max(name).over(along)}, {name: F.max(name)}, _parts(df))
+    seeds = tops.select(*keys, "_chunk", F.max(name).over(_earlier(keys)).alias(name))
     rows = tagged.unionByName(seeds.where(F.col(name).isNotNull()).withColumn("_real", F.lit(0)), allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
-from millrace.session import path_exists, pin
+from millrace.operators import postings
+from millrace.session import pin
 
 BEST = 3  # fixed value: how many of the rarest trigrams a search uses
 
@@ -25,29 +26,15 @@ def trigram_frequency(index: DataFrame) -> DataFrame:
     return index.groupBy("trigram").agg(F.count("*").alias("cnt"))
 
 
-def add_names(names: DataFrame, id_col: str, name_col: str, root: str, batch: int) -> None:
-    """Add names with new ids to the index stored under ``root``, as load ``batch``; writing a load again replaces it.
-
-    Postings lie sorted by trigram, so a lookup reads few row groups; each load
-    keeps its own counts per trigram.
-    """
-    spark = names.sparkSession
+def add_names(names: DataFrame, id_col: str, name_col: str, root: str, load: int) -> None:
+    """Add names with new ids to the index stored under ``root``; writing a load again replaces its part only."""
     rows = names.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).dropDuplicates(["id"])
-    if path_exists(spark, f"{root}/names"):
-        kinds = ", ".join(f"{c} {t}" for c, t in rows.dtypes)
-        known = spark.read.schema(f"{kinds}, batch bigint").parquet(f"{root}/names").where(F.col("batch") != batch)
-        rows = rows.join(known, "id", "left_anti")
-    rows.write.mode("overwrite").parquet(f"{root}/names/batch={batch}")
-    index = trigram_index(spark.read.schema(rows.schema).parquet(f"{root}/names/batch={batch}"), "id", "name", keep_name=True)
-    index.repartitionByRange("trigram").sortWithinPartitions("trigram").write.mode("overwrite").parquet(f"{root}/postings/batch={batch}")
-    trigram_frequency(index).write.mode("overwrite").parquet(f"{root}/frequency/batch={batch}")
+    postings.add_load(trigram_index(rows, "id", "name", keep_name=True).withColumnRenamed("trigram", "term"), root, load)
 
 
-def stored_index(spark: SparkSession, root: str, id_type: str) -> tuple[DataFrame, DataFrame]:
+def stored_index(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Postings (trigram, id, name) and frequency (trigram, cnt) of all loads."""
-    postings = spark.read.schema(f"trigram string, id {id_type}, name string").parquet(f"{root}/postings")
-    counts = spark.read.schema("trigram string, cnt bigint").parquet(f"{root}/frequency")
-    return postings, counts.groupBy("trigram").agg(F.sum("cnt").alias("cnt"))
+    return tuple(df.withColumnRenamed("term", "trigram") for df in (postings.postings(spark, root), postings.counts(spark, root)))
 
 
 def best_trigrams(searches: DataFrame, frequency: DataFrame, query_id: str, text_col: str) -> DataFrame:
@@ -68,13 +55,14 @@ def matching_names(wide: DataFrame, index: DataFrame, query_id: str) -> DataFram
     """Names that hold every chosen trigram of a search, as ``query_id, id, name``.
 
     ``index`` carries the names. Searches with the same trigrams are looked up
-    once. Only the postings of the rarest trigram are read; the other two are
-    checked on the name itself, which equals the intersection of the id lists.
+    once. Only the postings of the rarest trigram are read, from a stored index
+    only the row groups that may hold it; the other two are checked on the name
+    itself, which equals the intersection of the id lists.
     """
     picks = [f"trigram{k}" for k in range(1, BEST + 1)]
     keyed = wide.where(F.col(picks[0]).isNotNull()).select(query_id, F.array_compact(F.array(*picks)).alias("_set"))
     sets = keyed.select("_set").distinct().withColumn("_rarest", F.element_at("_set", 1))
-    found = index.withColumnRenamed("trigram", "_rarest").join(sets, "_rarest")
+    found = postings.looked_up(index.withColumnRenamed("trigram", "term"), sets, "_rarest")
     others = F.slice("_set", 2, BEST)
     kept = found.where(F.forall(others, lambda t: F.contains(F.col("name"), t)))
     return keyed.join(kept.select("_set", "id", "name"), "_set").select(query_id, "id", "name")
@@ -109,12 +97,5 @@ def name_totals(hits: DataFrame, facts: DataFrame, fact_id: str, group: list[str
 
 
 def element_index(df: DataFrame, array: str, id_col: str) -> DataFrame:
-    """Inverted index ``(element, id)`` over the distinct elements of an array column."""
-    return df.select(F.explode(F.array_distinct(array)).alias("element"), F.col(id_col).alias("id"))
-
-
-def ids_with_all(index: DataFrame, elements: list) -> DataFrame:
-    """Ids whose array holds every given element."""
-    wanted = list(dict.fromkeys(elements))
-    hits = index.where(F.col("element").isin(wanted)).groupBy("id").agg(F.count("*").alias("_n"))
-    return hits.where(F.col("_n") == len(wanted)).select("id")
+    """Inverted index ``(term, id)`` over the distinct elements of an array column; ``postings`` stores and searches it."""
+    return df.select(F.explode(F.array_distinct(array)).alias("term"), F.col(id_col).alias("id"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import dates
@@ -40,10 +40,11 @@ def cluster_snapshot(stats: DataFrame, created: Column, counters: list[str], log
 
 def ingest_snapshot(stats: DataFrame, roles: DataFrame, databases: DataFrame, root: str, taken: dt.datetime,
                     log_position: Column, started: Column, counters: list[str] = COUNTERS) -> None:
-    """Write one snapshot to the tables ``queries``, ``snapshots`` and ``statements`` under ``root``.
+    """Write one snapshot to the tables ``queries``, ``snapshots`` and ``statements`` under ``root``, as one.
 
     Each snapshot owns the folder ``taken=...`` of every table, so writing it
-    again replaces it. Query texts are stored once per (queryid, datname,
+    again replaces it. Its mark under ``committed`` is written last; ``committed``
+    reads marked snapshots only, so one that was broken off is not seen. Query texts are stored once per (queryid, datname,
     rolname); a query known from another snapshot keeps its text. Role and
     database names come from their small catalogs.
     """
@@ -51,8 +52,8 @@ def ingest_snapshot(stats: DataFrame, roles: DataFrame, databases: DataFrame, ro
     folder, created = f"taken={taken:%Y%m%dT%H%M%S%f}", _ntz(taken)
     named = pin(stats.join(roles, "userid").join(databases, "dbid"), "snapshot")
     texts = named.select(*QUERY_KEY, "query")
-    if path_exists(spark, f"{root}/queries"):
-        known = spark.read.schema(f"{texts.schema.toDDL()}, taken string").parquet(f"{root}/queries").where(F.col("taken") != folder.removeprefix("taken="))
+    if path_exists(spark, f"{root}/committed"):
+        known = committed(spark, root, "queries", texts.schema.toDDL()).where(F.col("taken") != folder.removeprefix("taken="))
     else:
         known = texts.limit(0)
     for name, rows in (
@@ -61,6 +62,14 @@ def ingest_snapshot(stats: DataFrame, roles: DataFrame, databases: DataFrame, ro
         ("statements", named.select(created.alias("created"), *QUERY_KEY, *counters)),
     ):
         rows.write.mode("overwrite").parquet(f"{root}/{name}/{folder}")
+    spark.range(1).write.mode("overwrite").parquet(f"{root}/committed/{folder}")
+
+
+def committed(spark: SparkSession, root: str, name: str, schema: str | None = None) -> DataFrame:
+    """Rows of the table ``name`` from marked snapshots, with ``taken``; the marks prune its folders."""
+    reader = spark.read.schema(f"{schema}, taken string") if schema else spark.read
+    marks = spark.read.schema("id long, taken string").parquet(f"{root}/committed").select("taken")
+    return reader.parquet(f"{root}/{name}").withColumn("taken", F.col("taken").cast("string")).join(marks, "taken", "left_semi")
 
 
 def _deltas(df: DataFrame, keys: list[str], counters: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import dates
 from millrace.operators import ordered
-from millrace.plans import alerts
+from millrace.plans import alerts, monitoring
 from millrace.session import pin
 from millrace.streaming import batches
 
@@ -27,6 +27,25 @@ def snapshot_batch(path: str, created: str, amount: str):
     return on_batch
 
 
+def snapshot_job(root: str, roles: DataFrame, databases: DataFrame, log_position: Column, started: Column, taken: str = "taken",
+                 counters: list[str] = monitoring.COUNTERS):
+    """``foreachBatch`` function of the timed job: each dump of the statistics view becomes a snapshot of all its counters.
+
+    A dump is the rows with one ``taken``; a batch has the dumps that have come
+    since the last one (bounded by the files that a batch takes). A dump is
+    committed over its three tables at once, and a batch that runs again writes
+    the same snapshots.
+    """
+
+    def on_batch(df: DataFrame, batch_id: int) -> None:
+        dumps = pin(df, "dumps")
+        for moment in sorted(r[0] for r in dumps.select(taken).distinct().collect()):
+            rows = dumps.where(F.col(taken) == F.lit(moment)).drop(taken)
+            monitoring.ingest_snapshot(rows, roles, databases, root, moment, log_position, started, counters)
+
+    return on_batch
+
+
 class LiveDeltas:
     """Differences of a growing counter to the row before of its key, as rows arrive.
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import arrays
-from millrace.operators import search
+from millrace.operators import postings, search
 from millrace.operators.ordered import chunked_pages
+from millrace.session import fresh_path
 from millrace.sources import series
 from registry import query, table
 
@@ -153,8 +154,11 @@ def series_in_step(spark, d):
 SELECT p_partkey AS id FROM {_PARTS} WHERE list_has_all(words, ['red', 'bolt'])
 """)
 def array_inverted_lookup(spark, d):
-    index = search.element_index(_parts(spark, d), "words", "p_partkey")
-    return search.ids_with_all(index, ["red", "bolt"])
+    """Parts with two words, by an index of words that is stored in two loads and read again."""
+    root, parts = fresh_path(spark, "words"), _parts(spark, d)
+    for load in (0, 1):
+        postings.add_load(search.element_index(parts.where(F.col("p_partkey") % 2 == load), "words", "p_partkey"), root, load)
+    return postings.ids_with_all(postings.postings(spark, root), ["red", "bolt"])
 
 
 @query("array_element_counts", """
@@ -164,7 +168,7 @@ SELECT word, count(*) AS documents FROM (
 def array_element_counts(spark, d):
     words = table(spark, d, "documents").select("doc_id", F.split("text", " ").alias("words"))
     index = search.element_index(words, "words", "doc_id")
-    return index.groupBy(F.col("element").alias("word")).agg(F.count("*").alias("documents"))
+    return index.groupBy(F.col("term").alias("word")).agg(F.count("*").alias("documents"))
 
 
 @query("chunk_arrays", """

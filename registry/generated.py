@@ -196,6 +196,12 @@ def seasonal_traffic(spark, d):
 _U = "(CAST('0x' || substr(md5(concat_ws('|', {keys})), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
 
 
+def _symbol(*keys):
+    """SQL for symbol i (from 1) of a text: 16 bits of the hash of the keys and (i - 1) div 8."""
+    bits = f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(keys)}, (i - 1) // 8)), CAST(1 + 4 * ((i - 1) % 8) AS INTEGER), 4) AS BIGINT)"
+    return f"substr('{rand.SYMBOLS}', CAST(floor({bits} * {len(rand.SYMBOLS)} / 65536.0::DOUBLE) AS INTEGER) + 1, 1)"
+
+
 def _u(*keys):
     return _U.format(keys=", ".join(["'7'", "o_orderkey", *keys]))
 
@@ -208,7 +214,7 @@ WITH drawn AS (
 sized AS (SELECT *, CAST(floor(u_note * 8 + 2) AS INTEGER) AS size, CAST(floor(u_loc * 19 + 1) AS INTEGER) AS gate FROM drawn)
 SELECT o_orderkey, round(u_cpu * -97 + 100, 4) AS cpu, CAST(floor(u_temp * -55 + 83) AS BIGINT) AS temperature_c,
        CASE WHEN size >= 1 AND size % 5 > 1 THEN array_to_string(list_transform(generate_series(1, size), lambda i:
-         substr('{rand.SYMBOLS}', CAST(floor({_u("'note'", "i")} * {len(rand.SYMBOLS)}) AS INTEGER) + 1, 1)), '') ELSE '' END AS note,
+         {_symbol("'7'", "o_orderkey", "'note'")}), '') ELSE '' END AS note,
        CASE WHEN gate % 5 > 1 THEN '{{"building":' || CAST(floor(u_b * -19 + 20) AS BIGINT) || ',"rack":'
          || CAST(floor(u_r * -19 + 20) AS BIGINT) || '}}' END AS device_location
 FROM sized
@@ -238,8 +244,7 @@ def _bulk_u(*keys):
 
 def _bulk_text(label, hi):
     size = f"CAST(floor({_bulk_u(repr(label))} * {hi - 1} + 1) AS INTEGER)"
-    symbol = f"CAST(floor({_bulk_u(repr(label), 'i')} * {len(rand.SYMBOLS)}) AS INTEGER) + 1"
-    return f"array_to_string(list_transform(generate_series(1, {size}), lambda i: substr('{rand.SYMBOLS}', {symbol}, 1)), '')"
+    return f"array_to_string(list_transform(generate_series(1, {size}), lambda i: {_symbol(repr('3'), *_BULK_KEYS, repr(label))}), '')"
 
 
 @query("sample_bulk_portable", f"""
@@ -283,7 +288,7 @@ _SIZE9 = f"CAST(floor({_u9()} * 18 + 2) AS INTEGER)"
 @query("sql_random_functions", f"""
 SELECT o_orderkey, round({_u9()}, 9) AS u,
        CASE WHEN {_SIZE9} % 5 > 1 THEN array_to_string(list_transform(range(1, {_SIZE9} + 1),
-            lambda i: substr('{rand.SYMBOLS}', CAST(floor({_u9("CAST(i AS VARCHAR)")} * {len(rand.SYMBOLS)}) AS INTEGER) + 1, 1)), '') ELSE '' END AS note,
+            lambda i: {_symbol("'9'", "CAST(o_orderkey AS VARCHAR)")}), '') ELSE '' END AS note,
        CASE WHEN {_SIZE9} % 5 > 1 THEN '{{' || {" || ',' || ".join(f"""'"{k}":' || CAST(floor({_u9(f"'{k}'")} * -18 + 20) AS BIGINT)""" for k in "abc")} || '}}' END AS place
 FROM orders
 """)
@@ -298,7 +303,7 @@ def sql_random_functions(spark, d):
 
 
 @query("sample_shared_note", f"""
-SELECT o_orderkey, (SELECT string_agg(substr('{rand.SYMBOLS}', CAST(floor({_U.format(keys="'4', 'shared', i")} * {len(rand.SYMBOLS)}) AS INTEGER) + 1, 1), '' ORDER BY i)
+SELECT o_orderkey, (SELECT string_agg({_symbol("'4'", "'shared'")}, '' ORDER BY i)
                     FROM range(1, 11) r(i)) AS note FROM orders
 """)
 def sample_shared_note(spark, d):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.functions import dates
 from millrace.plans import reports
 from millrace.session import fresh_path
-from millrace.sources import files, series, sinks
+from millrace.sources import files, series, sinks, versions
 from registry import query, table
 
 
@@ -297,6 +297,32 @@ def layout_detach_attach(spark, d):
     return _months(spark.read.parquet(path))
 
 
+def _versioned_months(spark, d):
+    orders = versions.VersionedTable(spark, fresh_path(spark, "orders-versions"), sinks.month_key("o_orderdate"))
+    orders.reload(_orders(spark, d))
+    return orders
+
+
+@query("version_detach", _MONTHS_SQL.format(where="WHERE strftime(o_orderdate, '%Y-%m') NOT IN ('1999-02', '1999-03')"))
+def version_detach(spark, d):
+    """Two months are detached, one of them after it was attached again."""
+    orders = _versioned_months(spark, d)
+    orders.attach("1999-02", orders.detach("1999-02"))
+    for month in ("1999-03", "1999-02"):
+        orders.detach(month)
+    return _months(orders.read())
+
+
+@query("version_reload", _MONTHS_SQL.format(where="WHERE o_orderdate >= TIMESTAMP '1998-06-01'"))
+def version_reload(spark, d):
+    """Half of the rows, then all rows, then retention."""
+    orders = versions.VersionedTable(spark, fresh_path(spark, "orders-versions"), sinks.month_key("o_orderdate"))
+    orders.reload(_orders(spark, d).where("o_orderkey % 2 = 0"))
+    orders.reload(_orders(spark, d))
+    orders.drop_parts(lambda month: month < "1998-06")
+    return _months(orders.read())
+
+
 @query("layout_add_column", """
 SELECT CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN o_orderstatus END AS status, count(*) AS n FROM orders GROUP BY 1
 """)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, docs
 from millrace.session import fresh_path
-from millrace.streaming import batches, queue, snapshots
+from millrace.streaming import batches, keyed, queue, snapshots
 from millrace.streaming.rollup import OrderRollup
 from registry import query, table
-from registry.reports import _SALES, _clock, _money, _sales_inputs
+from registry.reports import _SALES, SNAPSHOTS_SQL, _clock, _money, _sales_inputs, catalogs, dumps, snapshot_rows
 
 
 def _stream(spark, d, name, max_files=None):
@@ -96,6 +98,18 @@ def stream_snapshot(spark, d):
     return _clock(summed, "created")
 
 
+@query("stream_snapshot_counters", SNAPSHOTS_SQL)
+def stream_snapshot_counters(spark, d):
+    """Dumps of the statistics arrive one by one; each is stored with all counters."""
+    files, root = fresh_path(spark, "dumps"), fresh_path(spark, "history")
+    for moment, stats in dumps(spark, d):
+        rows = stats.withColumn("taken", dates.as_ntz(moment.isoformat(sep=" ")))
+        rows.write.mode("append").parquet(files)
+    job = snapshots.snapshot_job(root, *catalogs(spark, d), F.lit(1000).cast("bigint"), dates.as_ntz("2024-01-01 00:00:00"))
+    _drain(batches.read_stream(spark, files, rows.schema), job)
+    return snapshot_rows(spark, root)
+
+
 @query("stream_deltas", """
 SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created, event_id - lag(event_id) OVER w AS delta,
        round((epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6, 6) AS seconds
@@ -129,6 +143,87 @@ def stream_alerts(spark, d):
     return job.known().select("session_id", "email_sent", "email2_sent")
 
 
+def _in_two_runs(spark, first, second, stream_of, columns):
+    """Rows of a stream that is started, ends, and is started again on its checkpoint when more has come."""
+    files, out, checkpoint = (fresh_path(spark, n) for n in ("arrivals", "told", "checkpoint"))
+    for load in (first, second):
+        load.write.mode("append").parquet(files)
+        stream = stream_of(batches.read_stream(spark, files, first.schema))
+        batches.run(stream, lambda df, batch_id: batches.write_batch(df, out, batch_id), checkpoint).awaitTermination()
+    return batches.read_batches(spark, out, columns)
+
+
+def _middle(spark, d):
+    low, high = table(spark, d, "events").agg(F.min("ts"), F.max("ts")).first()
+    return low + (high - low) // 2
+
+
+@query("stream_session_alerts", """
+WITH rows_in AS (
+  SELECT user_id, date_trunc('day', ts) AS st, ts, lag(ts) OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts) AS before FROM events
+), lives AS (
+  SELECT *, lead(life) OVER (PARTITION BY user_id, st ORDER BY life) IS NOT NULL AS followed FROM (
+    SELECT user_id, st, life, min(ts) AS f, max(ts) AS l FROM (
+      SELECT *, sum(CASE WHEN before IS NULL OR ts - before > INTERVAL 6 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, st ORDER BY ts) AS life FROM rows_in)
+    GROUP BY 1, 2, 3)
+), due AS (
+  SELECT user_id, st, l, followed, 'low' AS alert, greatest(f, st + INTERVAL 1 HOUR) AS told FROM lives
+  UNION ALL SELECT user_id, st, l, followed, 'high', greatest(f, st + INTERVAL 12 HOUR) FROM lives
+  UNION ALL SELECT user_id, st, l, followed, 'closed', l + INTERVAL 6 HOUR FROM lives
+)
+SELECT user_id AS session_id, strftime(st, '%Y-%m-%d') AS day, alert, strftime(told, '%Y-%m-%d %H:%M:%S.%f') AS told_at FROM due
+WHERE told <= l + INTERVAL 6 HOUR
+AND (followed OR told <= l AND alert <> 'closed' OR epoch_us(told) <= ((SELECT max(epoch_ms(ts)) FROM events) - 600000) * 1000)
+""")
+def stream_session_alerts(spark, d):
+    """Every event shows the session of its user and day at work; alerts after 1 and 12 hours by rows or timers, closed after 6 silent hours."""
+    rows = table(spark, d, "events").select(F.col("user_id").alias("session_id"), F.date_trunc("day", "ts").cast("timestamp").alias("start_time"),
+                                            F.col("ts").cast("timestamp").alias("collection_time"))
+    half = F.col("collection_time") < F.lit(_middle(spark, d)).cast("timestamp_ntz").cast("timestamp")
+    hours = [dt.timedelta(hours=h) for h in (1, 12, 6)]
+    told = _in_two_runs(spark, rows.where(half), rows.where(~half), lambda s: keyed.session_alerts(
+        s, key=["session_id", "start_time"], low=hours[0], high=hours[1], silence=hours[2], late="10 minutes"),
+        "session_id long, start_time timestamp, alert string, at timestamp")
+    return _clock(told.select("session_id", F.date_format("start_time", "yyyy-MM-dd").alias("day"), "alert", F.col("at").alias("told_at")), "told_at")
+
+
+_DELTAS = """
+(SELECT user_id, ts, event_id AS counter, event_id - lag(event_id) OVER w AS delta, (epoch_us(ts) - lag(epoch_us(ts)) OVER w) / 1e6 AS seconds
+ FROM events WINDOW w AS (PARTITION BY user_id, date_trunc('week', ts) ORDER BY ts))
+"""
+_PASSED = "((SELECT max(epoch_ms(ts)) FROM events) - 172800000) * 1000"
+
+
+def _counters(spark, d):
+    """The event number as a growing counter per user that starts over every week; some rows come a day late, some twice."""
+    rows = table(spark, d, "events").select(
+        "user_id", F.col("ts").cast("timestamp").alias("created"), F.date_trunc("week", "ts").cast("timestamp").alias("stats_reset"), "event_id")
+    middle = _middle(spark, d)
+    before, eve = (F.col("created") < F.lit(m).cast("timestamp_ntz").cast("timestamp") for m in (middle, middle - dt.timedelta(days=1)))
+    late, twice = before & ~eve & (F.col("event_id") % 5 == 0), before & ~eve & (F.col("event_id") % 11 == 0)
+    return rows.where(before & ~late), rows.where(~before | late | twice)
+
+
+@query("stream_counter_deltas", f"""
+SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS created, counter, delta, round(seconds, 6) AS seconds FROM {_DELTAS} WHERE epoch_us(ts) <= {_PASSED}
+""")
+def stream_counter_deltas(spark, d):
+    told = _in_two_runs(spark, *_counters(spark, d), lambda s: keyed.counter_deltas(s, ["user_id"], "created", "stats_reset", "event_id", "2 days"),
+                        "user_id long, created timestamp, counter long, delta long, seconds double")
+    return _clock(told.select("user_id", "created", "counter", "delta", F.round("seconds", 6).alias("seconds")), "created")
+
+
+@query("stream_minute_deltas", f"""
+SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S.%f') AS start, count(*) AS rows, CAST(sum(delta) AS BIGINT) AS delta, CAST(sum(CAST(round(seconds * 1e6) AS BIGINT)) AS BIGINT) AS micros
+FROM {_DELTAS} GROUP BY 1 HAVING epoch_us(max(date_trunc('minute', ts))) + 60000000 <= {_PASSED}
+""")
+def stream_minute_deltas(spark, d):
+    """Deltas of all users per minute."""
+    told = _in_two_runs(spark, *_counters(spark, d), lambda s: keyed.per_window(
+        keyed.counter_deltas(s, ["user_id"], "created", "stats_reset", "event_id", "2 days")), "start timestamp, rows long, delta long, seconds double")
+    return _clock(told.select("start", "rows", "delta", F.round(F.col("seconds") * 1e6).cast("long").alias("micros")), "start")
+
+
 @query("change_envelopes", """
 SELECT DISTINCT l_orderkey AS OrderID FROM lineitem WHERE l_returnflag = 'R' AND l_discount > 0.05
 AND (l_orderkey, l_quantity + 1, l_extendedprice, l_tax) NOT IN (SELECT (l_orderkey, l_quantity, l_extendedprice, l_tax) FROM lineitem)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import hierarchy, merge, ordered, search
 from millrace.plans import alerts, measurements, monitoring, reports, texts
-from millrace.session import fresh_path
+from millrace.session import fresh_path, pin
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -319,7 +319,32 @@ def test_stored_index_takes_new_names_once(spark, as_rows):
     search.add_names(first, "id", "name", root, 0)
     for _ in range(2):  # a load that runs again replaces itself
         search.add_names(both, "id", "name", root, 1)
-    index, frequency = search.stored_index(spark, root, "int")
+    index, frequency = search.stored_index(spark, root)
     everything = search.trigram_index(first.union(both).distinct(), "id", "name")
     assert as_rows(index, "trigram", "id") == as_rows(everything, "trigram", "id")
     assert as_rows(frequency, "trigram", "cnt") == as_rows(search.trigram_frequency(everything), "trigram", "cnt")
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_windows_do_not_depend_on_the_number_of_parts(spark, monkeypatch, keys):
+    rows = spark.range(3000).select("id", F.when(F.col("id") < 2500, 0).otherwise(F.col("id") % 7).alias("k"), (F.col("id") * 37 % 101).alias("v"))
+    found = []
+    for parts, shuffles in ((2, 2), (7, 7), (40, 200)):
+        with monkeypatch.context() as m:
+            m.setattr(ordered, "parts_of", lambda df: parts)
+            before = spark.conf.get("spark.sql.shuffle.partitions")
+            spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+            try:
+                sums = ordered.running_sum(rows, keys, ["id"], F.col("v"), "s")
+                both = ordered.running_max(ordered.with_previous(sums, keys, "id", ["v"]), keys, ["id"], "v", "m")
+                found.append(sorted(map(tuple, both.collect())))
+            finally:
+                spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2] and len(found[0]) == 3000
+
+
+def test_parts_follow_the_bytes(spark, monkeypatch):
+    rows = pin(spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")))
+    few = ordered.parts_of(rows)
+    monkeypatch.setattr(ordered, "PART_BYTES", 1 << 18)
+    assert few == max(2, spark.sparkContext.defaultParallelism) and 30 <= ordered.parts_of(rows) <= 200

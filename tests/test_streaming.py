@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, docs
-from millrace.plans import rollup
+from millrace.plans import monitoring, rollup
 from millrace.session import fresh_path
-from millrace.streaming import batches, queue, snapshots
+from millrace.streaming import batches, keyed, queue, snapshots
 from millrace.streaming.rollup import OrderRollup
 
 GOOD = "<data><row><OrderID>7</OrderID></row><row><OrderID>8</OrderID></row></data>"
@@ -159,3 +159,122 @@ def test_envelope_needs_no_rows(spark):
     assert queue.order_messages(spark.range(0), "id", F.col("id"), F.col("id")).isEmpty()
     empty = docs.xml_envelope(F.array().cast("array<string>"))
     assert spark.range(1).select(empty.alias("x")).first()["x"] == "<data></data>"
+
+
+# keyed state
+
+SESSIONS = "session_id int, login_name string, database_name string, start_time timestamp_ntz, collection_time timestamp_ntz"
+NOON = dt.datetime(2024, 1, 1, 12)
+
+
+def told(spark, folders, rows, kind, stream_of):
+    """Add rows, start the stream on its checkpoint, and return all that it has told so far."""
+    files, out, checkpoint = folders
+    if rows:
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(files)
+    stream = stream_of(stream_of_files(spark, files, kind))
+    batches.run(stream, lambda df, batch_id: batches.write_batch(df, out, batch_id), checkpoint).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_of_files(spark, files, kind):
+    return batches.read_stream(spark, files, kind, max_files=1)
+
+
+def snapshot(minute, *sessions):
+    return [(s, "u", "db", NOON, NOON + dt.timedelta(minutes=minute)) for s in sessions]
+
+
+def test_alerts_by_timers_over_a_restart(spark):
+    """Session 1 is seen before each threshold only: both alerts come from timers. Session 3 falls silent and is closed without the second."""
+    folders = [fresh_path(spark, n) for n in ("sessions", "told", "cp")]
+    silence = dt.timedelta(minutes=12)
+
+    def run(rows):
+        df = told(spark, folders, rows, SESSIONS, lambda s: keyed.session_alerts(s, silence=silence))
+        return {(r.session_id, r.alert, (r["at"] - NOON).total_seconds() / 60) for r in df.collect()}
+
+    assert run(snapshot(1, 1, 2, 3)) == set()
+    assert run(snapshot(8, 2)) == {(2, "low", 5.0), (1, "low", 5.0), (3, "low", 5.0)}
+    first = run(snapshot(12, 1) + snapshot(20, 1, 2) + snapshot(28, 2))
+    assert first == {(2, "low", 5.0), (1, "low", 5.0), (3, "low", 5.0), (3, "closed", 13.0)}
+    # nothing of session 1 comes any more; its second alert is due at 30 and fires when the watermark passes that
+    second = run(snapshot(31.5, 9))
+    assert second - first == {(1, "high", 30.0), (2, "high", 30.0), (9, "low", 31.5), (9, "high", 31.5)}
+    # of one key, rows that say so close and open anew; a row older than the last one changes nothing
+    third = run(snapshot(60, 9) + snapshot(59.5, 9))
+    assert third - second == {(1, "closed", 32.0), (2, "closed", 40.0), (9, "closed", 43.5), (9, "low", 59.5), (9, "high", 59.5)}
+
+
+def test_a_batch_of_alerts_reads_no_earlier_batch(spark, monkeypatch):
+    folders = [fresh_path(spark, n) for n in ("sessions", "told", "cp")]
+    monkeypatch.setattr(batches, "read_batches", lambda *a: pytest.fail("read back"))
+    alerts = lambda s: keyed.session_alerts(s)
+    told(spark, folders, snapshot(1, 1), SESSIONS, alerts)
+    assert told(spark, folders, snapshot(3, 1) + snapshot(5.5, 1), SESSIONS, alerts).count() == 1
+
+
+COUNTERS = "k int, created timestamp_ntz, stats_reset timestamp_ntz, c bigint"
+
+
+def test_counter_deltas_in_event_time(spark):
+    """Rows in any order within the delay, rows sent twice, a reset, a NULL counter and numbers beyond 2**53."""
+    folders = [fresh_path(spark, n) for n in ("counters", "told", "cp")]
+    value = {(k, i): None if (k, i) == (2, 5) else 2**60 + i * i * k for k in (1, 2) for i in range(30)}
+    row = {(k, i): (k, NOON + dt.timedelta(minutes=i), NOON + dt.timedelta(minutes=7 * (i >= 7)), v) for (k, i), v in value.items()}
+    loads = [[(k, i) for k, i in row if i < 10 and i not in (4, 8)], [(1, 8), (1, 4), (2, 9), (2, 4), (2, 8), (1, 12), (1, 11), (2, 10)],
+             [(k, i) for k, i in row if i >= 10], [(1, 29)]]
+    for load in loads:
+        df = told(spark, folders, [row[x] for x in load], COUNTERS, lambda s: keyed.counter_deltas(s, ["k"], "created", "stats_reset", "c", "10 minutes"))
+    got = {(r.k, int((r.created - NOON).total_seconds() // 60)): (r.counter, r.delta, r.seconds) for r in df.collect()}
+    assert df.count() == len(got) and got.keys() == {x for x in value if x[1] <= 19}
+    for k, i in got:
+        now, past = value[k, i], value.get((k, i - 1))
+        want = (None, None) if i in (0, 7) else (None if None in (now, past) else now - past, 60.0)
+        assert got[k, i] == (now, *want), (k, i)
+
+
+def test_window_sums_of_deltas(spark):
+    folders = [fresh_path(spark, n) for n in ("counters", "told", "cp")]
+    rows = [(k, NOON + dt.timedelta(seconds=20 * i), NOON, 10 * i) for k in (1, 2) for i in range(30)]
+
+    def sums(stream):
+        return keyed.per_window(keyed.counter_deltas(stream, ["k"], "created", "stats_reset", "c", "1 minute"))
+
+    told(spark, folders, rows[:20] + rows[30:50], COUNTERS, sums)
+    df = told(spark, folders, rows[20:30] + rows[50:], COUNTERS, sums)
+    got = {int((r.start - NOON).total_seconds() // 60): (r["rows"], r.delta, r.seconds) for r in df.collect()}
+    assert got == {m: (6, 60 - 20 * (m == 0), 120.0 - 40 * (m == 0)) for m in range(8)}
+
+
+# the timed job
+
+def dump(spark, minute, n):
+    counters = ", ".join(f"{c} bigint" for c in monitoring.COUNTERS)
+    rows = [(q, 1, 1, f"select {q}", *[minute * 100 + q + k for k in range(len(monitoring.COUNTERS))], NOON + dt.timedelta(minutes=minute)) for q in range(n)]
+    return spark.createDataFrame(rows, f"queryid bigint, userid int, dbid int, query string, {counters}, taken timestamp_ntz")
+
+
+def test_snapshot_job_commits_three_tables_at_once(spark, monkeypatch):
+    root = fresh_path(spark, "history")
+    roles, bases = spark.createDataFrame([(1, "r")], "userid int, rolname string"), spark.createDataFrame([(1, "d")], "dbid int, datname string")
+    job = snapshots.snapshot_job(root, roles, bases, F.lit(5).cast("bigint"), dates.as_ntz("2024-01-01 00:00:00"))
+    job(dump(spark, 1, 3), 0)
+    whole = monitoring.cluster_snapshot
+
+    def lost(*args):
+        raise RuntimeError("lost between the tables")
+
+    with monkeypatch.context() as m:
+        m.setattr(monitoring, "cluster_snapshot", lost)
+        with pytest.raises(RuntimeError):
+            job(dump(spark, 2, 5), 1)
+    assert monitoring.cluster_snapshot is whole
+    seen = {n: monitoring.committed(spark, root, n).count() for n in ("queries", "snapshots", "statements")}
+    assert seen == {"queries": 3, "snapshots": 1, "statements": 3}
+    for _ in range(2):  # the batch runs again, and once more after that
+        job(dump(spark, 2, 5), 1)
+    seen = {n: monitoring.committed(spark, root, n).count() for n in ("queries", "snapshots", "statements")}
+    assert seen == {"queries": 5, "snapshots": 2, "statements": 8}
+    last = monitoring.committed(spark, root, "snapshots").orderBy(F.desc("created")).first()
+    assert [last[c] for c in monitoring.COUNTERS] == [5 * (200 + k) + 10 for k in range(len(monitoring.COUNTERS))]
