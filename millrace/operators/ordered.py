@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from millrace.session import pin
 
@@ -34,13 +33,36 @@ def chunked(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return pin_sorted(df, [*keys, *order], parts_of(df)).withColumnRenamed("_part", "_chunk").drop("_pos")
 
 
-def _along(keys: list[str]) -> WindowSpec:
-    """The chunks of a key in order. There is one row for each key and chunk; without keys, one for each part of a sort."""
-    return Window.partitionBy(*keys).orderBy("_chunk")
+_FAN = 512  # chunks of a tile; its square is more than MOST_PARTS
+_KINDS = {"sum": F.sum, "max": F.max, "last": F.last}
 
 
-def _earlier(keys: list[str]) -> WindowSpec:
-    return _along(keys).rowsBetween(Window.unboundedPreceding, -1)
+def _both(kind: str, near: Column, far: Column) -> Column:
+    """What a chunk gets from its own tile and from the tiles before it."""
+    if kind == "last":
+        return F.coalesce(near, far)
+    return F.greatest(near, far) if kind == "max" else F.when(near.isNull(), far).when(far.isNull(), near).otherwise(near + far)
+
+
+def _before(ends: DataFrame, keys: list[str], kinds: dict[str, str]) -> DataFrame:
+    """``ends`` (a row for each key and chunk) with the sum, maximum or last of its values over the earlier chunks of the key.
+
+    Without keys the chunks form a tree of two levels: tiles of ``_FAN``
+    chunks, and the tiles in their order.
+    """
+    def scanned(df: DataFrame, group: list[str], order: str) -> DataFrame:
+        earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({n: _KINDS[kind](n).over(earlier) for n, kind in kinds.items()})
+
+    if keys:
+        return scanned(ends, keys, "_chunk")
+    tiled = ends.withColumn("_tile", F.floor(F.col("_chunk") / _FAN))
+    whole = [(F.max_by(n, "_chunk") if kind == "last" else _KINDS[kind](n)).alias(n) for n, kind in kinds.items()]
+    tiles = tiled.groupBy("_tile").agg(*whole).withColumn("_top", F.floor(F.col("_tile") / _FAN))
+    far = scanned(tiles, ["_top"], "_tile").select("_tile", *[F.col(n).alias(f"_far_{n}") for n in kinds])
+    near = scanned(tiled, ["_tile"], "_chunk")
+    joined = near.join(far, "_tile")
+    return joined.select("_chunk", *[_both(kind, F.col(n), F.col(f"_far_{n}")).cast(near.schema[n].dataType).alias(n) for n, kind in kinds.items()])
 
 
 def pin_sorted(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
@@ -65,8 +87,8 @@ def global_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFra
     """Dense 1..n over the whole table in the given (total) order."""
     placed = pin_sorted(df, order, parts_of(df))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    earlier = _before(counts.withColumnRenamed("_part", "_chunk"), [], {"_rows": "sum"})
+    offsets = earlier.select(F.col("_chunk").alias("_part"), F.coalesce("_rows", F.lit(0)).alias("_before"))
     numbered = placed.join(F.broadcast(offsets), "_part")  # one row per part
     return numbered.withColumn(name, F.col("_before") + F.col("_pos") + 1).select(*df.columns, name)
 
@@ -78,8 +100,8 @@ def with_previous(df: DataFrame, keys: list[str], order: str, values: list[str],
     """
     tagged = chunked(df, keys, [order]).withColumn("_real", F.lit(1))
     last = tagged.groupBy(*keys, "_chunk").agg(F.max_by(F.struct(*values), order).alias("_last"))
-    seeds = last.withColumn("_before", F.lag("_last").over(_along(keys)))
-    seeds = seeds.where(F.col("_before").isNotNull()).select(*keys, "_chunk", "_before.*", F.lit(0).alias("_real"))
+    seeds = _before(last, keys, {"_last": "last"})
+    seeds = seeds.where(F.col("_last").isNotNull()).select(*keys, "_chunk", "_last.*", F.lit(0).alias("_real"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", order)
     rows = tagged.unionByName(seeds, allowMissingColumns=True)
     lagged = rows.select("*", *[F.lag(v).over(inside).alias(prefix + v) for v in values])
@@ -89,10 +111,8 @@ def with_previous(df: DataFrame, keys: list[str], order: str, values: list[str],
 def running_sums(df: DataFrame, keys: list[str], order: list[str], amounts: dict[str, Column]) -> DataFrame:
     """Per name, the sum of its amount from the first row of the key up to and with each row."""
     tagged = chunked(df.select("*", *[a.alias(n) for n, a in amounts.items()]), keys, order).withColumn("_real", F.lit(1))
-    totals = tagged.groupBy(*keys, "_chunk").agg(*[F.sum(n).alias(n) for n in amounts])
-    earlier = _earlier(keys)
-    seeds = totals.select(*keys, "_chunk", *[F.sum(n).over(earlier).alias(n) for n in amounts], F.count(F.lit(1)).over(earlier).alias("_n"))
-    seeds = seeds.where("_n > 0").drop("_n").withColumn("_real", F.lit(0))
+    totals = tagged.groupBy(*keys, "_chunk").agg(*[F.sum(n).alias(n) for n in amounts], F.lit(1).cast("long").alias("_n"))
+    seeds = _before(totals, keys, {**dict.fromkeys(amounts, "sum"), "_n": "sum"}).where("_n > 0").drop("_n").withColumn("_real", F.lit(0))
     rows = tagged.unionByName(seeds, allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -108,7 +128,7 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], value: str | C
     source = F.col(value) if isinstance(value, str) else value
     tagged = chunked(df.select("*", source.alias(name)), keys, order).withColumn("_real", F.lit(1))
     tops = tagged.groupBy(*keys, "_chunk").agg(F.max(name).alias(name))
-    seeds = tops.select(*keys, "_chunk", F.max(name).over(_earlier(keys)).alias(name))
+    seeds = _before(tops, keys, {name: "max"})
     rows = tagged.unionByName(seeds.where(F.col(name).isNotNull()).withColumn("_real", F.lit(0)), allowMissingColumns=True)
     inside = Window.partitionBy(*keys, "_chunk").orderBy("_real", *order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)

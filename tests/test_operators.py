@@ -332,6 +332,7 @@ def test_windows_do_not_depend_on_the_number_of_parts(spark, monkeypatch, keys):
     for parts, shuffles in ((2, 2), (7, 7), (40, 200)):
         with monkeypatch.context() as m:
             m.setattr(ordered, "parts_of", lambda df: parts)
+            m.setattr(ordered, "_FAN", 8)
             before = spark.conf.get("spark.sql.shuffle.partitions")
             spark.conf.set("spark.sql.shuffle.partitions", shuffles)
             try:
