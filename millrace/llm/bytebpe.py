@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 #: Pairs of tokens, and pre-tokens of a generation, that a Python worker remembers; bytes after which a
 #: long pre-token tells ids; most bytes of pre-tokens that go in step.
-_PAIRS_KEPT, _PIECES_KEPT, _PART, _IN_STEP = 250_000, 150_000, 1024, 48
+_PAIRS_KEPT, _PIECES_KEPT, _PART, _IN_STEP = 250_000, 230_000, 1024, 48
 #: Bytes of text worked on together.
 _TOGETHER = 2_000_000
 
