@@ -77,10 +77,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def drop_paths(spark: SparkSession, name: str = "") -> None:
-    """Delete this application's folders in the shared folder whose names begin with ``name``, once nothing reads them."""
+def drop_paths(spark: SparkSession, name: str = "", keep: str | None = None) -> None:
+    """Delete this application's folders in the shared folder whose names begin with ``name`` (and not with ``keep``), once nothing reads them."""
     home = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}")
     fs = home.getFileSystem(spark._jsc.hadoopConfiguration())
     for status in fs.listStatus(home) if fs.exists(home) else []:
-        if status.getPath().getName().startswith(name):
+        found = status.getPath().getName()
+        if found.startswith(name) and not (keep and found.startswith(keep)):
             fs.delete(status.getPath(), True)
