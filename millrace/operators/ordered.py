@@ -23,13 +23,32 @@ PART_BYTES, MOST_PARTS = 64 << 20, 100_000
 
 
 def parts_of(df: DataFrame) -> int:
-    """Parts of a sort, by the bytes that Spark expects of ``df`` (of stored tables, by their files); at least one for each core."""
+    """Parts of a sort, by the bytes that Spark expects of ``df`` (of stored tables and ``measured`` rows, by their files); at least one for each core."""
     expected = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(2, df.sparkSession.sparkContext.defaultParallelism, min(MOST_PARTS, -(-expected // PART_BYTES)))
 
 
+def _known_size(plan) -> bool:
+    """Whether a plan only picks rows and columns of stored or listed tables, so that Spark can tell its bytes."""
+    if plan.nodeName() in ("Project", "Filter", "Union"):
+        children = plan.children()
+        return all(_known_size(children.apply(i)) for i in range(children.size()))
+    return plan.nodeName() in ("LogicalRelation", "LocalRelation", "Range")
+
+
+def measured(df: DataFrame) -> DataFrame:
+    """``df`` with bytes that are known.
+
+    What Spark expects of a join is the product of its sides, of exploded rows
+    too little. Such rows are written first, and count by their files; they are
+    also computed once, where a range sort would compute them for its sample too.
+    """
+    return df if _known_size(df._jdf.queryExecution().optimizedPlan()) else pin(df, "measured")
+
+
 def chunked(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """``df`` with a ``_chunk`` column that does not decrease along ``keys`` and ``order``."""
+    df = measured(df)
     return pin_sorted(df, [*keys, *order], parts_of(df)).withColumnRenamed("_part", "_chunk").drop("_pos")
 
 
@@ -85,6 +104,7 @@ def pin_sorted(df: DataFrame, order: list, parts: int | None = None) -> DataFram
 
 def global_ordinal(df: DataFrame, order: list, name: str = "ordinal") -> DataFrame:
     """Dense 1..n over the whole table in the given (total) order."""
+    df = measured(df)
     placed = pin_sorted(df, order, parts_of(df))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
     earlier = _before(counts.withColumnRenamed("_part", "_chunk"), [], {"_rows": "sum"})
