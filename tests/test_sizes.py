@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from millrace.functions import dates
 from millrace.operators import ordered
 from millrace.plans import monitoring
-from millrace.session import pin
+from millrace.session import fresh_path, pin
+from millrace.streaming import snapshots
 
 NOON = dt.datetime(2024, 1, 1, 12)
 
@@ -37,3 +38,15 @@ def test_drilldown_sorts_as_few_parts_as_its_rows_need(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert seen == [max(2, spark.sparkContext.defaultParallelism)] and out.count() == 0
+
+
+def test_live_deltas_sort_as_few_parts_as_a_batch_needs(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PART_BYTES", 4 << 20)
+    seen = _parts_seen(monkeypatch)
+    job = snapshots.LiveDeltas(spark, fresh_path(spark, "live"), "text string", "c")
+    for batch in range(2):
+        later = _moments(spark, 20_000).withColumns({"created": F.timestamp_add("DAY", F.lit(batch), "created"), "text": F.sha1(F.col("c").cast("string")),
+                                                     "stats_reset": dates.as_ntz(str(NOON)), "c": F.col("c") + batch})
+        job.on_batch(pin(later), batch)
+    assert set(seen) == {max(2, spark.sparkContext.defaultParallelism)}
+    assert job.read().where("delta = 1").count() == 20_000
