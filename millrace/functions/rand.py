@@ -6,8 +6,13 @@ gives the same value on one core or on a thousand executors.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from millrace.functions.md5 import Numbered
 
 # Symbols of the generated texts.
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ abcdefghijklmnopqrstuvwxyz 0123456789 "
@@ -49,19 +54,41 @@ def _drawn(seed: int, *keys: Column, size: Column) -> Column:
     return F.array_join(hashes, "")
 
 
+@F.arrow_udf(StringType())
+def _each_drawn(stem: pa.Array, size: pa.Array) -> pa.Array:
+    """Texts of ``size`` symbols; symbol i is the uniform value of the stem with i behind it."""
+    sizes = np.maximum(size.to_numpy(zero_copy_only=False), 0)
+    longest = int(sizes.max(initial=0))
+    texts, symbols = Numbered(stem, len(str(longest))), np.frombuffer(SYMBOLS.encode(), dtype=np.uint8)
+    out = np.zeros((len(sizes), longest), dtype=np.uint8)
+    for i in range(longest):
+        rows = np.flatnonzero(sizes > i)
+        u = (texts.hashes(rows, i + 1).view(">u8")[:, 0] >> np.uint64(12)) / float(1 << 52)
+        out[rows, i] = symbols[(u * float(len(SYMBOLS))).astype(np.int64)]
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    data = out[np.arange(longest) < sizes[:, None]]
+    return pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(data))
+
+
 def random_text(seed: int, *keys: Column, lo: int = 0, hi: int = 50, gated: bool = True,
-                portable: bool = False) -> Column:
+                portable: bool = False, draws: int = DRAWS) -> Column:
     """Text of ``lo`` to ``hi - 1`` symbols; with ``gated`` some rows stay empty.
 
-    ``portable=True`` takes eight symbols from one MD5.
+    ``portable=True`` takes eight symbols from one MD5, or with ``draws=1`` the
+    uniform value of its own MD5 for each.
     """
+    if draws not in (1, DRAWS):
+        raise ValueError(f"a hash gives 1 or {DRAWS} symbols")
     size, open_gate = _gate(uniform(seed, *keys, portable=portable), lo, hi)
     symbols = len(SYMBOLS)
 
     def picked(place: Column) -> Column:
         return F.substring(F.lit(SYMBOLS), place.cast("int") + 1, F.lit(1))
 
-    if portable:
+    if portable and draws == 1:
+        stem = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys], F.lit(""))
+        word = _each_drawn(stem, F.when(open_gate, size).otherwise(0) if gated else size)
+    elif portable:
         digits = F.split(F.regexp_replace(_drawn(seed, *keys, size=size), "(.{4})", "$1 "), " ", -1)
         word = F.array_join(F.transform(F.slice(digits, 1, size), lambda d: picked(F.floor(F.conv(d, 16, 10).cast("int") * symbols / 65536))), "")
     else:

@@ -40,7 +40,7 @@ def shared_note(grid: DataFrame, seed: int, size: int = 10, portable: bool = Fal
 
 
 def bulk_rows(grid: DataFrame, keys: list[str], seed: int, portable: bool = False) -> DataFrame:
-    """Wide load-test rows: four integers, three fractions, two texts."""
+    """Wide load-test rows: four integers, three fractions, two texts; every symbol has its own draw."""
     row = [F.col(k) for k in keys]
     # Fixed values: (lowest, highest, digits) per value column.
     bounds = [(1, 100, 0), (1, 1000, 0), (1, 10000, 0), (1, 100000, 0), (0, 100, 2), (0, 100, 5), (0, 10000, 7)]
@@ -49,7 +49,7 @@ def bulk_rows(grid: DataFrame, keys: list[str], seed: int, portable: bool = Fals
         for i, (lo, hi, digits) in enumerate(bounds, start=1)
     ]
     texts = [
-        rand.random_text(seed, *row, F.lit(f"t{i}"), lo=1, hi=hi, gated=False, portable=portable).alias(f"val{i}")
+        rand.random_text(seed, *row, F.lit(f"t{i}"), lo=1, hi=hi, gated=False, portable=portable, draws=1).alias(f"val{i}")
         for i, hi in ((8, 25), (9, 50))
     ]
     return grid.select("*", *values, *texts)

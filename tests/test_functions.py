@@ -147,3 +147,19 @@ def test_sql_functions_agree_with_the_column_helpers(spark, as_rows):
     assert 3 <= row["r0"] <= row["r2"] < 100 and row["size"] == 12 and row["p"] == 52
     assert as_rows(spark.sql("SELECT * FROM generate_trigrams('Vivi')")) == [("Viv",), ("ivi",)]
     assert as_rows(spark.sql("SELECT * FROM split_rows('a\\r\\nb\\nc')")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_every_symbol_of_bulk_texts_has_its_own_hash(spark):
+    import hashlib
+
+    from millrace.plans import sampledata
+
+    def u(*keys):
+        return int(hashlib.md5("|".join(map(str, (3, *keys))).encode()).hexdigest()[:13], 16) / 2**52
+
+    names = ["é" * 4, "", "k" * 47, "k" * 52, "k" * 55, "k" * 120, *map(str, range(300))]
+    out = sampledata.bulk_rows(spark.createDataFrame([(n,) for n in names], "k string"), ["k"], seed=3, portable=True)
+    for row in out.select("k", "val8", "val9").collect():
+        for label, hi, got in (("t8", 25, row.val8), ("t9", 50, row.val9)):
+            size = int(u(row.k, label) * (hi - 1) + 1)
+            assert got == "".join(rand.SYMBOLS[int(u(row.k, label, i) * len(rand.SYMBOLS))] for i in range(1, size + 1)), (row, label)
