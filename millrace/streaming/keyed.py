@@ -1,13 +1,14 @@
 """Stream operators that keep what they know per key in the state store, with timers.
 
-A batch reads no earlier batch and touches only the keys that it brings or whose
-timer ends. Both operators are streaming DataFrames: the state is part of the
+A batch reads no earlier batch and touches only the keys (of sessions: groups of
+keys) that it brings or whose timer ends. Both operators are streaming DataFrames: the state is part of the
 checkpoint of the query that writes them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import pickle
 import sys
 from collections.abc import Iterator
 
@@ -23,6 +24,8 @@ from millrace.plans import alerts
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Groups of sessions that share a state; fixed, because the state of a stream is stored under them.
+BUCKETS = 4096
 _STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -42,7 +45,7 @@ def _timer(micros: int) -> int:
 
 
 class SessionAlerts(StatefulProcessor):
-    """Life of one session: low alert, high alert, closed.
+    """Lives of sessions: low alert, high alert, closed.
 
     An alert is due when the session is older than its threshold, whether a new
     snapshot says so or a timer ends; at the time it is due, or when the session
@@ -50,6 +53,10 @@ class SessionAlerts(StatefulProcessor):
     silence has ended: it is closed and forgotten. A later snapshot of it begins
     anew. Rows of a batch are taken in time order; one that is older than the
     last row of its session changes nothing. All times are microseconds.
+
+    A state holds the open sessions of one of ``BUCKETS``, with one timer for the
+    first thing that is due among them: every call to the state store costs as
+    much as the work on dozens of sessions.
     """
 
     def __init__(self, key: list[str], low: int, high: int, silence: int):
@@ -57,53 +64,80 @@ class SessionAlerts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("session", "start long, first long, last long, told string")
+        self.state = handle.getValueState("sessions", "open binary, timer long")
 
-    def _due(self, state: tuple) -> list[tuple[int, int, str]]:
+    def _due(self, session: tuple) -> list[tuple[int, int, str]]:
         """What is still to happen if no further row comes, in order."""
-        start, first, last, told = state
+        start, first, last, told = session
         done = 0 if not told else 1 if told == "low" else 2
         end = last + self.silence
         out = [(max(first, start + age), rank, name) for rank, (name, age) in enumerate(self.levels) if rank >= done]
         return [x for x in sorted(out) if x[0] <= end] + [(end, len(self.levels), "closed")]
 
-    def _until(self, state: tuple | None, now: int, strictly: bool) -> tuple[tuple | None, list[tuple[str, int]]]:
+    def _until(self, session: tuple | None, now: int, strictly: bool) -> tuple[tuple | None, list[tuple[str, int]]]:
         told = []
-        if state is not None:
-            for at, _, name in self._due(state):
+        if session is not None:
+            for at, _, name in self._due(session):
                 if at > now or (name == "closed" and strictly and at == now):
                     break
                 told.append((name, at))
-                state = None if name == "closed" else (*state[:3], name)
-        return state, told
+                session = None if name == "closed" else (*session[:3], name)
+        return session, told
 
-    def _keep(self, key: tuple, state: tuple | None, told: list[tuple[str, int]]) -> Iterator[Row]:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if state is None:
-            self.state.clear()
+    def _load(self) -> tuple[dict, int | None]:
+        """Open sessions by key, each with the time of what is due first behind it; and the timer."""
+        found = self.state.get()
+        return ({}, None) if found is None else (pickle.loads(bytes(found[0])), found[1])
+
+    def _set(self, open_: dict, key: tuple, session: tuple | None) -> None:
+        if session is None:
+            open_.pop(key, None)
+        else:
+            open_[key] = (session, self._due(session)[0][0])
+
+    def _save(self, open_: dict, timer: int | None, ended: int | None = None) -> None:
+        """Store the open sessions and move the timer from ``timer``, unless that one has just ended."""
+        wanted = _timer(min(at for _, at in open_.values())) if open_ else None
+        if wanted != timer or timer == ended:
+            if timer is not None and timer != ended:
+                self.handle.deleteTimer(timer)
+            if wanted is not None:
+                self.handle.registerTimer(wanted)
+        if open_:
+            self.state.update((pickle.dumps(open_), wanted))
         else:
-            self.state.update(state)
-            self.handle.registerTimer(_timer(self._due(state)[0][0]))
+            self.state.clear()
+
+    def _rows(self, key: tuple, told: list[tuple[str, int]]) -> Iterator[Row]:
         for name, at in told:
             yield Row(**dict(zip(self.key, key)), alert=name, at=at)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state, told = (self.state.get() if self.state.exists() else None), []
-        for row in sorted(rows, key=lambda r: r["_seen"]):
-            now = row["_seen"]
-            state, due = self._until(state, now, strictly=True)
-            told += due
-            state = (row["_start"], now, now, "") if state is None else (*state[:2], max(state[2], now), state[3])
-            state, due = self._until(state, now, strictly=True)
-            told += due
-        yield from self._keep(key, state, told)
+        open_, timer = self._load()
+        fresh: dict[tuple, list[tuple[int, int]]] = {}
+        for row in rows:
+            fresh.setdefault(tuple(row[k] for k in self.key), []).append((row["_seen"], row["_start"]))
+        for name, seen in fresh.items():
+            session, told = open_.get(name, (None, 0))[0], []
+            for now, start in sorted(seen, key=lambda s: s[0]):
+                session, due = self._until(session, now, strictly=True)
+                told += due
+                session = (start, now, now, "") if session is None else (*session[:2], max(session[2], now), session[3])
+                session, due = self._until(session, now, strictly=True)
+                told += due
+            self._set(open_, name, session)
+            yield from self._rows(name, told)
+        self._save(open_, timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.state.exists():
-            state = self.state.get()
-            # all that the watermark has passed: a timer set now for such a moment would wait for the next batch
-            yield from self._keep(key, *self._until(state, 1000 * timerValues.getCurrentWatermarkInMs(), strictly=False))
+        open_, timer = self._load()
+        # all that the watermark has passed: a timer set now for such a moment would wait for the next batch
+        now = 1000 * timerValues.getCurrentWatermarkInMs()
+        for name in [name for name, (_, at) in open_.items() if at <= now]:
+            session, told = self._until(open_[name][0], now, strictly=False)
+            self._set(open_, name, session)
+            yield from self._rows(name, told)
+        self._save(open_, timer, ended=expiredTimerInfo.getExpiryTimeInMs())
 
 
 def session_alerts(snapshots: DataFrame, seen: str = "collection_time", start: str = "start_time", key: list[str] = alerts.KEY,
@@ -120,7 +154,8 @@ def session_alerts(snapshots: DataFrame, seen: str = "collection_time", start: s
     rows = marked.select("_at", *[_micros(k).alias(k) if k in moments else k for k in key], _micros(start).alias("_start"), _micros(seen).alias("_seen"))
     out = StructType([*[rows.schema[k] for k in key], StructField("alert", StringType()), StructField("at", LongType())])
     each = [int(span / dt.timedelta(microseconds=1)) for span in (low, high, silence)]
-    told = rows.groupBy(*key).transformWithState(SessionAlerts(key, *each), out, "append", "eventTime")
+    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(BUCKETS)).cast("int"))
+    told = placed.groupBy("_bucket").transformWithState(SessionAlerts(key, *each), out, "append", "eventTime")
     return told.withColumns({k: F.timestamp_micros(k).cast(snapshots.schema[k].dataType if k in moments else "timestamp") for k in [*moments, "at"]})
 
 

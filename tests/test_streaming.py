@@ -214,6 +214,23 @@ def test_a_batch_of_alerts_reads_no_earlier_batch(spark, monkeypatch):
     assert told(spark, folders, snapshot(3, 1) + snapshot(5.5, 1), SESSIONS, alerts).count() == 1
 
 
+def test_sessions_of_a_bucket_share_one_state_and_timer(spark, monkeypatch):
+    """Calls to the state store follow the buckets, not the sessions; NULL and text keys are kept apart."""
+    monkeypatch.setattr(keyed, "BUCKETS", 1)
+    schema = "session_id bigint, name string, start_time timestamp_ntz, collection_time timestamp_ntz"
+    folders = [fresh_path(spark, n) for n in ("sessions", "told", "cp")]
+    ask = lambda s: keyed.session_alerts(s, key=["session_id", "name"], silence=dt.timedelta(minutes=12))
+    names = [(k, n) for k in (None, 2**60, 2**60 + 1) for n in ("a", "b", None)]
+    rows = lambda m, some: [(*n, NOON, NOON + dt.timedelta(minutes=m)) for n in some]
+    told(spark, folders, rows(1, names), schema, ask)
+    told(spark, folders, rows(12, names[:4]), schema, ask)
+    got = {(r.session_id, r.name, r.alert, (r["at"] - NOON).total_seconds() / 60) for r in told(spark, folders, rows(40, names[:1]), schema, ask).collect()}
+    lows, ends = {(*n, "low", 5.0) for n in names}, {(*n, "closed", 24.0 if n in names[:4] else 13.0) for n in names}
+    assert got == lows | ends | {(*names[0], "low", 40.0), (*names[0], "high", 40.0)}
+    state = spark.read.format("statestore").option("stateVarName", "sessions").load(folders[2])
+    assert state.count() == 1
+
+
 COUNTERS = "k int, created timestamp_ntz, stats_reset timestamp_ntz, c bigint"
 
 
