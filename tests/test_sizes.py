@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from millrace.functions import dates
-from millrace.operators import ordered
+from millrace.operators import intervals, ordered
 from millrace.plans import monitoring
 from millrace.session import fresh_path, pin
 from millrace.streaming import snapshots
@@ -50,3 +50,17 @@ def test_live_deltas_sort_as_few_parts_as_a_batch_needs(spark, monkeypatch):
         job.on_batch(pin(later), batch)
     assert set(seen) == {max(2, spark.sparkContext.defaultParallelism)}
     assert job.read().where("delta = 1").count() == 20_000
+
+
+def test_a_range_enters_a_join_in_few_bins(spark, monkeypatch):
+    """With equal keys a range has at most three bins, and only at levels where the other side can meet it."""
+    rows = []
+    whole = intervals._bins
+    monkeypatch.setattr(intervals, "_bins", lambda df, level: rows.append(whole(df, level)) or rows[-1])
+    left = pin(spark.range(1000).select((F.col("id") % 50).alias("k"), (F.col("id") * 3).alias("lo"), (F.col("id") * 3 + 14).alias("hi")))
+    right = pin(spark.range(1000).select((F.col("id") % 50).alias("k"), (F.col("id") * 3).alias("lo"), (F.col("id") * 3 + F.col("id") % 120).alias("hi")))
+    bounds = (F.col("lo"), F.col("hi"))
+    got = intervals.interval_join(left, right, bounds, bounds, on=[(F.col("k"), F.col("k"))])
+    brute = left.alias("a").join(right.alias("b"), F.expr("a.k = b.k AND a.lo <= b.hi AND b.lo <= a.hi"))
+    assert got.count() == got.distinct().count() == brute.count()
+    assert sum(df.count() for df in rows) <= 8 * 1000
