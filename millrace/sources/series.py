@@ -54,12 +54,17 @@ def back_from(spark: SparkSession, as_of: dt.datetime, back: dt.timedelta, step:
     return ts_series(spark, as_of - back, as_of, step, name)
 
 
+#: Cells that one task makes: what it groups them by may be as large as they are.
+CELLS = 1 << 20
+
+
 def device_grid(spark: SparkSession, start: dt.datetime, stop: dt.datetime, step: dt.timedelta,
                 devices: int, first_device: int = 1) -> DataFrame:
     """Every time with every device id, from one range (no cross join)."""
-    times = _count(start, stop, step)
+    cells = _count(start, stop, step) * devices
+    parts = max(spark.sparkContext.defaultParallelism, -(-cells // CELLS))
     cell = F.col("id")
-    return spark.range(times * devices).select(
+    return spark.range(0, cells, 1, parts).select(
         _shifted(start, F.floor(cell / devices).cast("bigint"), step).alias("time"),
         (cell % devices + first_device).alias("device_id"),
     )

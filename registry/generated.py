@@ -112,10 +112,11 @@ SELECT CAST(CAST(time AS DATE) AS VARCHAR) AS day, count(*) AS cells, CAST(sum(d
 FROM {_GRID} GROUP BY 1
 """)
 def device_grid(spark, d):
-    # one row per (hour) first: the distinct counts then need no second pass over the cells
-    hourly = _grid(spark, d).groupBy("time").agg(
-        F.count("*").alias("cells"), F.sum("device_id").alias("ids"), F.count_distinct("device_id").alias("devices")
+    # distinct devices as bits: what a task holds and sends does not grow with the cells
+    bits = _grid(spark, d).groupBy("time", F.bitmap_bucket_number("device_id").alias("b")).agg(
+        F.count("*").alias("cells"), F.sum("device_id").alias("ids"), F.bitmap_construct_agg(F.bitmap_bit_position("device_id")).alias("bits")
     )
+    hourly = bits.groupBy("time").agg(F.sum("cells").alias("cells"), F.sum("ids").alias("ids"), F.sum(F.bitmap_count("bits")).alias("devices"))
     return hourly.groupBy(F.to_date("time").cast("string").alias("day")).agg(
         F.sum("cells").alias("cells"), F.sum("ids").alias("ids"), F.max("devices").alias("devices"),
         F.count("*").alias("hours"),

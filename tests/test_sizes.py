@@ -8,6 +8,7 @@ from millrace.functions import dates
 from millrace.operators import intervals, ordered
 from millrace.plans import monitoring
 from millrace.session import fresh_path, pin
+from millrace.sources import series
 from millrace.streaming import snapshots
 
 NOON = dt.datetime(2024, 1, 1, 12)
@@ -64,3 +65,9 @@ def test_a_range_enters_a_join_in_few_bins(spark, monkeypatch):
     brute = left.alias("a").join(right.alias("b"), F.expr("a.k = b.k AND a.lo <= b.hi AND b.lo <= a.hi"))
     assert got.count() == got.distinct().count() == brute.count()
     assert sum(df.count() for df in rows) <= 8 * 1000
+
+
+def test_a_grid_has_parts_by_its_cells(spark, monkeypatch):
+    monkeypatch.setattr(series, "CELLS", 100)
+    grid = series.device_grid(spark, NOON, NOON + dt.timedelta(hours=9), dt.timedelta(hours=1), 200)
+    assert grid.rdd.getNumPartitions() == 20 and grid.distinct().count() == 2000
