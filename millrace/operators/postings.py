@@ -34,16 +34,27 @@ def _write_sorted(rows: DataFrame, path: str) -> None:
     writer.parquet(path)
 
 
-def add_load(rows: DataFrame, root: str, load: int) -> None:
-    """Store the postings (term, id, ...) of ids that no other load has; ``rows`` holds each (term, id) once."""
+def new_ids(rows: DataFrame, root: str, load: int) -> DataFrame:
+    """Rows whose id no load but ``load`` has."""
     spark = rows.sparkSession
-    if any(n != load for n in _numbers(spark, f"{root}/ids")):
-        kind = rows.schema["id"].dataType.simpleString()
-        known = spark.read.schema(f"id {kind}, load int").parquet(f"{root}/ids").where(F.col("load") != load).select("id").distinct()
-        rows = rows.join(known, "id", "left_anti")
+    if not any(n != load for n in _numbers(spark, f"{root}/ids")):
+        return rows
+    kind = rows.schema["id"].dataType.simpleString()
+    known = spark.read.schema(f"id {kind}, load int").parquet(f"{root}/ids").where(F.col("load") != load).select("id")
+    return rows.join(known, "id", "left_anti")
+
+
+def add_load(rows: DataFrame, root: str, load: int, ids: DataFrame | None = None) -> None:
+    """Store the postings (term, id, ...) of ids that no other load has; ``rows`` holds each (term, id) once.
+
+    Pass ``ids`` when it is known which new ids ``rows`` is of, each once: postings
+    are many times as many, and then neither joined nor grouped by id.
+    """
+    spark = rows.sparkSession
+    rows = new_ids(rows, root, load) if ids is None else rows
     _write_sorted(rows, f"{root}/postings/load={load}")
     own = spark.read.schema(rows.schema).parquet(f"{root}/postings/load={load}")
-    own.select("id").distinct().write.mode("overwrite").parquet(f"{root}/ids/load={load}")
+    (own.select("id").distinct() if ids is None else ids.select("id")).write.mode("overwrite").parquet(f"{root}/ids/load={load}")
     own.groupBy("term").agg(F.count("*").alias("cnt")).write.mode("overwrite").parquet(f"{root}/counts/load={load}")
 
 

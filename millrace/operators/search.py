@@ -27,9 +27,15 @@ def trigram_frequency(index: DataFrame) -> DataFrame:
 
 
 def add_names(names: DataFrame, id_col: str, name_col: str, root: str, load: int) -> None:
-    """Add names with new ids to the index stored under ``root``; writing a load again replaces its part only."""
-    rows = names.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).dropDuplicates(["id"])
-    postings.add_load(trigram_index(rows, "id", "name", keep_name=True).withColumnRenamed("trigram", "term"), root, load)
+    """Add names with new ids to the index stored under ``root``; writing a load again replaces its part only.
+
+    Which ids are new is settled on the names, written once, before they become
+    trigrams. Repeated rows go by hash, so only distinct ones are sorted for one name per id.
+    """
+    rows = pin(names.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).distinct(), "names")
+    named = rows.where(F.size(tx.ngrams(F.col("name"))) > 0)
+    fresh = pin(postings.new_ids(named if id_col == name_col else named.dropDuplicates(["id"]), root, load), "names")
+    postings.add_load(trigram_index(fresh, "id", "name", keep_name=True).withColumnRenamed("trigram", "term"), root, load, fresh)
 
 
 def stored_index(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

@@ -62,3 +62,20 @@ def test_more_terms_than_a_list_holds(spark, monkeypatch):
     listed = sorted((r.q, r.id) for r in postings.looked_up(index, asked, "wanted").collect())
     monkeypatch.setattr(postings, "LISTED", 1)
     assert listed and listed == sorted((r.q, r.id) for r in postings.looked_up(index, asked, "wanted").collect())
+
+
+def test_new_ids_are_settled_before_they_become_trigrams(spark, monkeypatch):
+    settled, whole = [], postings.new_ids
+    monkeypatch.setattr(postings, "new_ids", lambda rows, root, load: settled.append(rows.columns) or whole(rows, root, load))
+    names = spark.range(300).select("id", F.concat(F.lit("name "), F.col("id")).alias("name"))
+    root = fresh_path(spark, "names")
+    search.add_names(names.where("id < 200"), "id", "name", root, 0)
+    short = spark.createDataFrame([(900, "ab"), (901, None)], "id long, name string")
+    for _ in range(2):  # the second time it replaces itself
+        search.add_names(names.where("id >= 100").union(names.where("id >= 250")).union(short), "id", "name", root, 1)
+    assert settled == [["id", "name"]] * 3
+    index, frequency = search.stored_index(spark, root)
+    want = search.trigram_index(names, "id", "name", keep_name=True)
+    assert index.count() == want.count() and index.select(want.columns).exceptAll(want).isEmpty()
+    assert frequency.exceptAll(search.trigram_frequency(want)).isEmpty()
+    assert sorted((r.load, r.id) for r in spark.read.parquet(f"{root}/ids").collect()) == [(int(i >= 200), i) for i in range(300)]
