@@ -71,3 +71,14 @@ def test_a_grid_has_parts_by_its_cells(spark, monkeypatch):
     monkeypatch.setattr(series, "CELLS", 100)
     grid = series.device_grid(spark, NOON, NOON + dt.timedelta(hours=9), dt.timedelta(hours=1), 200)
     assert grid.rdd.getNumPartitions() == 20 and grid.distinct().count() == 2000
+
+
+def test_two_rollups_move_the_lines_once(spark, monkeypatch):
+    from registry import reports
+
+    calls, whole = [], reports.rollup.sales_rollup
+    monkeypatch.setattr(reports.rollup, "sales_rollup", lambda *args: calls.append(args) or whole(*args))
+    merged = reports.version_merge(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
+    plain = reports._money(whole(*reports._sales_inputs(spark, "/root/testdata/sf0.001")))
+    assert merged.count() == plain.count() and merged.exceptAll(plain).isEmpty()
