@@ -286,6 +286,7 @@ class Decoder:
         self.steps = {b"": {rank: Utf8Decoder.step(b"", token) for rank, token in self.tokens.items()}}
         #: texts of the tokens that leave no character open when none is
         self.closed = {rank: text for rank, (open_, text) in self.steps[b""].items() if not open_}
+        self.bytes_at = pa.array(map(self.tokens.get, range(max(self.tokens) + 1)), pa.binary())
 
     def parts(self, ids: Iterable[int]) -> Iterator[str]:
         """Text told by each token in turn, and at the end."""
@@ -318,6 +319,24 @@ class Decoder:
                 texts.append("\ufffd")
         return "".join(texts)
 
+    def texts(self, ids: pa.ListArray) -> pa.StringArray:
+        """Text of each list of ids; null ids are no ids. Only rows whose bytes are no UTF-8 are stepped through."""
+        ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(ids), 0).to_pylist()])
+        tokens = self.bytes_at.take(ids.flatten())
+        rows = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens), b"")
+        try:
+            if not rows.null_count:
+                return rows.cast(pa.string())
+        except pa.ArrowInvalid:
+            pass
+        return pa.array((self._read(row.as_py(), some) for row, some in zip(rows, ids)), pa.string())
+
+    def _read(self, row: bytes | None, ids: pa.ListScalar) -> str:
+        try:
+            return row.decode()
+        except (AttributeError, UnicodeDecodeError):
+            return self.text(ids.as_py())
+
 
 class Coder:
     """Ids of texts, cut into pre-tokens by a pattern."""
@@ -399,8 +418,7 @@ def decoded(rows: DataFrame, path: str, keep: dict[str, Column] | None = None) -
         for batch in stream:
             ids = batch.column("ids")
             for begin, number in _runs(4 * n for n in pc.fill_null(pc.list_value_length(ids), 0).to_pylist()):
-                texts = [own.text(some or []) for some in ids.slice(begin, number).to_pylist()]
                 kept = [batch.column(name).slice(begin, number) for name in names]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string())], names=[*names, "text"])
+                yield pa.RecordBatch.from_arrays([*kept, own.texts(ids.slice(begin, number))], names=[*names, "text"])
 
     return given.mapInArrow(batches, schema)

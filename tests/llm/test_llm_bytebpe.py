@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -89,6 +90,21 @@ def test_decoder_steps_over_open_characters(coder, decoder):
     assert decoder.text(ids) == "a中😀é�"
 
 
+def test_only_rows_that_are_no_utf8_are_stepped_through(coder, decoder, monkeypatch):
+    rows = ["a中😀é", "", "the end", "ü" * 50]
+    ids = [np.frombuffer(one, "<i4").tolist() for one in coder.ids(rows)]
+    byte = coder.encoder.merges.ranks
+    broken = [byte[bytes([b])] for b in b"a\xe4\xb8"]
+    given = pa.array([[5], *ids, None], pa.list_(pa.int32())).slice(1)
+    stepped = []
+    step_through = decoder.text
+    monkeypatch.setattr(decoder, "text", lambda some: stepped.append(some) or step_through(some))
+    assert decoder.texts(given).to_pylist() == [*rows, ""] and not stepped
+    assert decoder.texts(pa.array([*ids, broken, None])).to_pylist() == [*rows, "a\ufffd", ""] and stepped == [broken]
+    with pytest.raises(KeyError):
+        bytebpe.Decoder({bytes([b]): 2 * b for b in range(256)}).texts(pa.array([[2], [3]]))
+
+
 def test_rows(spark):
     texts = [(0, "The quick brown fox"), (1, None), (2, ""), (None, "no id"), (0, "The quick brown fox"), (3, "word " * 50_000)]
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in texts], "doc_id long, text string, ids int, n_tokens string")
