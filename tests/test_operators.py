@@ -205,6 +205,55 @@ def test_random_transcripts_equal_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("parts", [1, 5, 40])
+def test_transcripts_cut_into_parts_equal_brute_force(spark, monkeypatch, parts):
+    """Sessions that go on over many parts, one of them ever deeper and back; files before the first directory count nowhere."""
+    monkeypatch.setattr(hierarchy, "parts_of", lambda df: parts)
+    pick, sessions = random.Random(4), {7: [f"$ cd n{i}" for i in range(40)] + ["$ cd ..", "5 f"] * 39}
+    for session in (None, 1, 2, 8, 9):
+        lines, depth = ["12 f"], 0
+        for _ in range(150 if session != 2 else 2):
+            move = pick.random()
+            if move < 0.35 and depth > 0:
+                lines.append("$ cd ..")
+                depth -= 1
+            elif move < 0.7:
+                lines.append(f"$ cd d{pick.randint(1, 3)}")
+                depth += 1
+            else:
+                lines.append(f"{pick.randint(1, 999)} f")
+        sessions[session] = lines
+    data = [(session, i, line) for session, lines in sessions.items() for i, line in enumerate(lines)]
+    pick.shuffle(data)
+    direct = hierarchy.replay_transcripts(spark.createDataFrame(data, "session int, id bigint, line string"), "session", "id", "line")
+    assert direct.count() == sum(line.startswith("$ cd ") and line != "$ cd .." for _, _, line in data)
+    got = {(r["session"], tuple(r["dir"])): r["size"] or 0 for r in hierarchy.directory_totals(direct, ["session"]).collect()}
+    assert got == {(session, path): size for session, lines in sessions.items() for path, size in replay_by_force(lines).items()}
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_leaving_an_empty_path_in_a_later_part_is_an_error(spark, monkeypatch, parts):
+    monkeypatch.setattr(hierarchy, "parts_of", lambda df: parts)
+    lines = ["$ cd a", "$ cd b", "$ cd .."] * 10 + ["$ cd .."] * 11 + ["$ cd c"] * 9
+    data = [(s, i, line) for s in ("a", "b") for i, line in enumerate(lines if s == "b" else lines[:40])]
+    df = spark.createDataFrame(data, "session string, id bigint, line string")
+    with pytest.raises(PySparkException, match="cannot leave an empty path"):
+        hierarchy.replay_transcripts(df, "session", "id", "line")
+
+
+def test_transcripts_are_written_and_sorted_once(spark, monkeypatch):
+    """The moves, and a row for each entered directory; the old replay wrote and sorted copies of all of them several times."""
+    lines = ["$ cd /"] + [line for i in range(200) for line in (f"$ cd t{i % 5}", f"{i} f", f"$ cd d{i % 9}", "7 g", "$ cd ..", "$ cd ..")]
+    data = [(s, i, line) for s in range(4) for i, line in enumerate(lines)]
+    written = []
+    for module in (hierarchy, ordered):
+        plain = module.pin
+        monkeypatch.setattr(module, "pin", lambda df, *name, plain=plain: (out := plain(df, *name), written.append(out.count()))[0])
+    df = spark.createDataFrame(data, "session int, id bigint, line string")
+    assert hierarchy.replay_transcripts(df, "session", "id", "line").count() == 4 * 401
+    assert sum(written) < 2 * len(data)
+
+
 def test_leaving_an_empty_path_is_an_error(spark):
     df = spark.createDataFrame([("s", 1, "$ cd a"), ("s", 2, "$ cd .."), ("s", 3, "$ cd ..")], "session string, id bigint, line string")
     with pytest.raises(PySparkException):
