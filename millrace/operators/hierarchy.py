@@ -88,11 +88,12 @@ def replay_transcripts(lines: DataFrame, session: str, order: str, line: str) ->
     """
     target = F.regexp_extract(F.col(line), tx.CHANGE_DIR_PATTERN, 1)
     is_cd = F.col(line).rlike(tx.CHANGE_DIR_PATTERN)
-    size = F.nullif(F.regexp_extract(F.col(line), tx.FILE_PATTERN, 1), F.lit("")).cast("bigint")
-    moves = lines.select(
+    is_file = F.col(line).rlike(tx.FILE_PATTERN)
+    size = F.when(is_file, F.regexp_extract(F.col(line), tx.FILE_PATTERN, 1).cast("bigint"))
+    moves = lines.where(is_cd | is_file).select(
         F.col(session).alias("_s"), F.col(order).cast("bigint").alias("_id"),
         F.when(is_cd, target).alias("_dir"), size.alias("_size"),
-    ).where("_dir IS NOT NULL OR _size IS NOT NULL")
+    )
     moves = measured(moves)
     placed = moves.repartitionByRange(parts_of(moves), "_s", "_id").sortWithinPartitions("_s", "_id")
     schema = StructType([placed.schema["_s"], *(StructField(n, LongType()) for n in _REPLAYED), StructField("_path", ArrayType(StringType()))])
